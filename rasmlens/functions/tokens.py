@@ -1,7 +1,5 @@
 """Tokenising cleaned text and removing stop-words."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,31 +41,27 @@ def drop_stopwords_by_table(
 ) -> DataFrame:
     """Stop-word removal against a table of any size, as an anti-join.
 
-    ``keys`` identify a row of ``df``. A list of at most ``broadcast_limit`` words
-    is broadcast, so tokens are not moved by word. A longer one is first cut to the
-    words that the corpus uses; if that is still long, both sides are shuffled by
-    (word, salt), which spreads the rows of a very frequent word over ``salts``
-    tasks. Only the repeatable columns ``keys`` and tokens are moved.
+    Returns ``keys`` and ``tokens``; ``keys`` identify a row of ``df``. A list of at
+    most ``broadcast_limit`` words is broadcast, so tokens are not moved by word. A
+    longer one is first cut to the words that occur in ``df``. If it is long even
+    then, both sides are shuffled by (word, salt), which spreads the rows of a very
+    frequent word over ``salts`` tasks. Rows left without any word keep ``[]``.
     """
     banned = stopwords.select(F.col(word).alias("_word")).where("_word is not null").distinct()
-    pairs = df.select(*keys, F.posexplode(tokens).alias("_pos", "_word"))
+    pairs = df.select(*keys, F.posexplode_outer(tokens).alias("_pos", "_word"))
     if not _fits(banned, broadcast_limit):
-        vocabulary = pairs.select("_word").distinct()
-        banned = banned.join(vocabulary, "_word", "left_semi")
+        banned = banned.join(pairs.select("_word").distinct(), "_word", "left_semi")
     if _fits(banned, broadcast_limit):
-        kept = pairs.join(F.broadcast(banned), "_word", "left_anti")
+        flagged = pairs.join(F.broadcast(banned.withColumn("_banned", F.lit(True))), "_word", "left")
     else:
         salt = F.pmod(F.xxhash64(*keys, "_pos"), F.lit(salts)).cast("int")
-        spread = banned.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        kept = (pairs.withColumn("_salt", salt)
-                .join(spread, ["_word", "_salt"], "left_anti").drop("_salt"))
-    lists = kept.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
-        F.sort_array(F.collect_list(F.struct("_pos", "_word"))).alias("_kept"))
-    same_row = reduce(
-        lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
-    remaining = F.coalesce(F.col("_kept._word"), F.array().cast("array<string>"))
-    return df.join(lists, same_row, "left").select(
-        *[remaining.alias(c) if c == tokens else F.col(c) for c in df.columns])
+        copies = banned.select(
+            "_word", F.lit(True).alias("_banned"),
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+        flagged = pairs.withColumn("_salt", salt).join(copies, ["_word", "_salt"], "left")
+    kept = F.when(F.col("_banned").isNull() & F.col("_word").isNotNull(), F.struct("_pos", "_word"))
+    lists = flagged.groupBy(*keys).agg(F.sort_array(F.collect_list(kept)).alias("_kept"))
+    return lists.select(*keys, F.col("_kept._word").alias(tokens))
 
 
 def _fits(words: DataFrame, limit: int) -> bool:

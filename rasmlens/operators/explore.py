@@ -2,9 +2,8 @@
 
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from rasmlens import schema
 
@@ -46,17 +45,24 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson coefficients as rows ``(a, b, r)``; null where a column is constant.
 
     All pairs are computed in one aggregation; the output has ``len(columns)**2`` rows.
+    A pair uses the rows in which both columns are set. ``corr`` itself is not used:
+    in ANSI mode it fails on a constant column.
     """
-    names = {c: f"`{c}`" for c in columns}
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    stats = df.agg(*[
-        F.corr(F.col(names[a]).cast("double"), F.col(names[b]).cast("double")).alias(f"r{i}")
-        for i, (a, b) in enumerate(pairs)])
-    at = {pair: f"r{i}" for i, pair in enumerate(pairs)}
-
-    def cell(a: str, b: str):
-        r = F.col(at.get((a, b)) or at[(b, a)])
-        defined = F.when(~F.isnan(r), F.lit(1.0) if a == b else r)
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), defined.alias("r"))
-
-    return stats.select(F.inline(F.array(*[cell(a, b) for a, b in product(columns, columns)])))
+    stats = []
+    for i, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+        stats += [F.covar_pop(x, y).alias(f"cov{i}"), F.stddev_pop(x).alias(f"sx{i}"),
+                  F.stddev_pop(y).alias(f"sy{i}")]
+    number = {pair: i for i, pair in enumerate(pairs)}
+
+    def cell(a: str, b: str) -> Column:
+        i = number[a, b] if (a, b) in number else number[b, a]
+        spread = F.col(f"sx{i}") * F.col(f"sy{i}")
+        r = F.lit(1.0) if a == b else F.col(f"cov{i}") / spread
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
+                        F.when(spread > 0, r).alias("r"))
+
+    cells = F.array(*[cell(a, b) for a, b in product(columns, columns)])
+    return df.agg(*stats).select(F.inline(cells))

@@ -21,7 +21,7 @@ def term_counts(df: DataFrame, key: str, tokens: str = schema.TOKENS) -> DataFra
     """
     ordered = with_column_once(
         df.where(F.size(tokens) > 0).select(key, F.col(tokens).alias("_t")),
-        "_s", F.array_sort("_t"))
+        "_s", F.sort_array("_t"))
     word = F.col("_s")
     starts = F.filter(
         F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (word[i] != word[i - 1]))
@@ -52,7 +52,7 @@ def tfidf(
     """
     pairs = term_counts(df, key, tokens)
     terms = term_idf(df, tokens)
-    all_pairs = terms.agg(F.coalesce(F.sum("doc_freq"), F.lit(0))).scalar()
+    all_pairs = df.agg(F.sum(F.size(F.array_distinct(tokens)))).scalar()
     is_hot = F.col("doc_freq") * F.lit(hot_terms) > all_pairs
     hot = F.broadcast(terms.where(is_hot))
     frequent = pairs.join(hot, "w")

@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasmlens import schema, workspace
+from rasmlens.functions import normalize_arabic, split_words
 from rasmlens.operators import hash_split, prepare
 from rasmlens.operators.arena import ModelArena, default_estimators
 from rasmlens.operators.features import fit_features, vectorize
+from rasmlens.sources import spread
 
 # The synthetic alphabet, position by position.
 LATIN = "abcdefghijklmnopqrstuvwxyz" "ABCDEFGHIN" "|*#$"
@@ -44,8 +46,11 @@ def to_arabic(text: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: doc_id, text, lang, source."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", to_arabic(F.col("text")).alias("text"), "lang", "source")
+    return _arabic(spread(table(spark, sf_dir, "documents")))
+
+
+def _arabic(rows: DataFrame, *keep: str) -> DataFrame:
+    return rows.select("doc_id", to_arabic(F.col("text")).alias("text"), "lang", "source", *keep)
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +60,8 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``doc_id`` is unique on both sides: no key can be hot.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return documents(spark, sf_dir).join(labels, "doc_id").select(
+    labelled = spread(table(spark, sf_dir, "documents")).join(labels, "doc_id")
+    return _arabic(labelled, "label").select(
         "doc_id", "text", "label", F.col("lang").alias("model"), "source")
 
 
@@ -94,23 +100,40 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(once(spark, sf_dir, "prepared", write))
 
 
+def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as (doc_id, tokens), stop-words included, as a stored table."""
+    def write() -> str:
+        path = workspace.fresh_dir(spark, "tokenized")
+        documents(spark, sf_dir).select(
+            "doc_id", split_words(normalize_arabic(F.col("text"))).alias("tokens")
+        ).write.parquet(path)
+        return path
+
+    return spark.read.parquet(once(spark, sf_dir, "tokenized", write))
+
+
 class Lab:
-    """Fitted features, splits and classifiers of one data folder."""
+    """Fitted features, splits and classifiers of one data folder.
+
+    The feature vectors are stored once, so the passes of every fit and evaluation
+    read them instead of building them again, and a lost executor costs only the
+    partitions it was reading.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         rows = prepared(spark, sf_dir)
         self.features = fit_features(rows)
-        self.ready = vectorize(self.features, rows, keep=("doc_id",))
-        self.train, self.validation, self.test = hash_split(self.ready, "doc_id")
+        path = workspace.fresh_dir(spark, "vectors")
+        vectorize(self.features, rows, keep=("doc_id",)).write.parquet(path)
+        self.vectors = spark.read.parquet(path)
+        self.train, self.validation, self.test = hash_split(self.vectors, "doc_id")
         self.arena = ModelArena(self.train, self.validation)
 
     def fit(self, *names: str) -> ModelArena:
         """The arena with at least the named classifiers (all by default) fitted."""
         estimators = default_estimators()
         missing = [n for n in names or estimators if n not in self.arena.fitted]
-        if missing:
-            with self.arena:
-                self.arena.add_all({n: estimators[n] for n in missing})
+        self.arena.add_all({n: estimators[n] for n in missing})
         return self.arena
 
 

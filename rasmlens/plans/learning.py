@@ -86,20 +86,22 @@ def rf_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def save_load_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per classifier: rows, and rows on which the loaded copy agrees."""
+    """Per classifier: rows, and rows on which the loaded copies agree."""
     work = lab(spark, sf_dir)
     folder = workspace.fresh_dir(spark, "models")
     features = sources.load_features(
         sources.save_fitted(work.features, f"{folder}/prep_features"))
-    again = ops.vectorize(features, prepared(spark, sf_dir), keep=("doc_id",))
+    rows = prepared(spark, sf_dir)
+    inputs = [schema.TOKENS, schema.F023, schema.F046, schema.N_TOKENS]
     checks = []
     for name, model in work.fit().fitted.items():
         loaded = sources.load_classifier(spark, sources.save_classifier(model, folder, name))
-        before = model.transform(work.ready).select("doc_id", F.col("prediction").alias("a"))
-        after = loaded.transform(again).select("doc_id", F.col("prediction").alias("b"))
-        checks.append(before.join(after, "doc_id").agg(
+        before = model.transform(work.features.transform(rows)).select(
+            *inputs, F.col("prediction").alias("before"))
+        after = loaded.transform(features.transform(before))
+        checks.append(after.agg(
             F.lit(name).alias("model"), F.count("*").alias("n"),
-            F.count_if(F.col("a") == F.col("b")).alias("n_same")))
+            F.count_if(F.col("before") == F.col("prediction")).alias("n_same")))
     return ops.union_all(checks)
 
 

@@ -9,7 +9,7 @@ from rasmlens import schema
 from rasmlens.functions import DEFAULT, drop_stopwords_by_table, normalize, split_words
 from rasmlens.functions import looks_like_noun, normalize_arabic, syllables, tokenize
 from rasmlens.operators import add_stylometrics, add_tokens, clean, prepare, token_counts
-from rasmlens.plans.datasets import corpus, documents
+from rasmlens.plans.datasets import corpus, documents, tokenized
 
 UNIFORM = replace(DEFAULT, hamza="hamza")
 MAKSURA = replace(DEFAULT, fold_alef_maksura=True)
@@ -50,10 +50,8 @@ def _tokens(make):
 
 
 def stopword_filter_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = documents(spark, sf_dir).select(
-        "doc_id", split_words(normalize_arabic(F.col("text"))).alias("tokens"))
     banned = spark.createDataFrame([(w,) for w in DEFAULT.stopwords], "word string")
-    kept = drop_stopwords_by_table(rows, banned, ["doc_id"])
+    kept = drop_stopwords_by_table(tokenized(spark, sf_dir), banned, ["doc_id"])
     return kept.select(
         "doc_id", _words(F.col("tokens")).alias("tokens"), F.size("tokens").alias("n_tokens"))
 

@@ -52,3 +52,14 @@ def write_parquet_by(df: DataFrame, path: str, column: str = "label") -> str:
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly where the input has fewer partitions than the cluster cores.
+
+    Text rules cost far more time per byte than moving the raw text, so a few unsplittable
+    files should not decide the parallelism. An input with enough partitions, as any
+    large one, is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
