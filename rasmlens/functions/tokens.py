@@ -1,10 +1,15 @@
 """Tokenising cleaned text and removing stop-words."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasmlens.functions import lexicon as lex
-from rasmlens.functions.profile import DEFAULT, MAX_LITERAL_WORDS, TextProfile
+from rasmlens.functions.profile import DEFAULT, TextProfile
+
+#: Some tens of megabytes as a broadcast table.
+MAX_BROADCAST_WORDS = 500_000
 
 _WORD = rf"\p{{L}}\p{{N}}_{lex.DIACRITICS}'"
 _WORD_RUN = rf"[{_WORD}]{{2,}}"
@@ -36,32 +41,38 @@ def drop_stopwords_by_table(
     keys: list[str],
     tokens: str = "tokens",
     word: str = "word",
-    broadcast_limit: int = MAX_LITERAL_WORDS,
+    broadcast_limit: int = MAX_BROADCAST_WORDS,
     salts: int = 64,
 ) -> DataFrame:
-    """Stop-word removal against a table of any size, as an anti-join.
+    """Stop-word removal against a table of any size; ``keys`` identify a row.
+
+    The distinct words of each row are matched with the list, and the few that are
+    stop-words go back to their row, which filters its own tokens. Tokens are never
+    moved by word, and rows left without any word keep ``[]``.
 
-    Returns ``keys`` and ``tokens``; ``keys`` identify a row of ``df``. A list of at
-    most ``broadcast_limit`` words is broadcast, so tokens are not moved by word. A
-    longer one is first cut to the words that occur in ``df``. If it is long even
-    then, both sides are shuffled by (word, salt), which spreads the rows of a very
-    frequent word over ``salts`` tasks. Rows left without any word keep ``[]``.
+    A list of at most ``broadcast_limit`` words is broadcast. A longer one is first
+    cut to the words that occur in ``df``. If it is long even then, both sides are
+    shuffled by (word, salt), which spreads the rows of a very frequent word over
+    ``salts`` tasks.
     """
     banned = stopwords.select(F.col(word).alias("_word")).where("_word is not null").distinct()
-    pairs = df.select(*keys, F.posexplode_outer(tokens).alias("_pos", "_word"))
+    words = df.select(*keys, F.explode(F.array_distinct(tokens)).alias("_word"))
     if not _fits(banned, broadcast_limit):
-        banned = banned.join(pairs.select("_word").distinct(), "_word", "left_semi")
+        banned = banned.join(words.select("_word").distinct(), "_word", "left_semi")
     if _fits(banned, broadcast_limit):
-        flagged = pairs.join(F.broadcast(banned.withColumn("_banned", F.lit(True))), "_word", "left")
+        hits = words.join(F.broadcast(banned), "_word", "left_semi")
     else:
-        salt = F.pmod(F.xxhash64(*keys, "_pos"), F.lit(salts)).cast("int")
-        copies = banned.select(
-            "_word", F.lit(True).alias("_banned"),
-            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-        flagged = pairs.withColumn("_salt", salt).join(copies, ["_word", "_salt"], "left")
-    kept = F.when(F.col("_banned").isNull() & F.col("_word").isNotNull(), F.struct("_pos", "_word"))
-    lists = flagged.groupBy(*keys).agg(F.sort_array(F.collect_list(kept)).alias("_kept"))
-    return lists.select(*keys, F.col("_kept._word").alias(tokens))
+        salt = F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
+        copies = banned.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        hits = words.withColumn("_salt", salt).join(copies, ["_word", "_salt"], "left_semi")
+    found = hits.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
+        F.collect_list("_word").alias("_found"))
+    same_row = reduce(
+        lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    kept = F.filter(tokens, lambda w: ~F.array_contains("_found", w))
+    remaining = F.when(F.col("_found").isNull(), F.col(tokens)).otherwise(kept)
+    return df.join(found, same_row, "left").select(
+        *[remaining.alias(c) if c == tokens else F.col(c) for c in df.columns])
 
 
 def _fits(words: DataFrame, limit: int) -> bool:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rasmlens import schema
 from rasmlens.functions import is_blank
-from rasmlens.sources.tables import read_csv
+from rasmlens.sources.tables import read_csv, spread
 
 
 def melt(
@@ -43,4 +43,4 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def ingest(spark: SparkSession, splits: dict[str, str]) -> DataFrame:
     """Read one CSV per split name and return the long corpus of all splits."""
-    return union_all([melt(read_csv(spark, path), name) for name, path in splits.items()])
+    return union_all([melt(spread(read_csv(spark, path)), name) for name, path in splits.items()])

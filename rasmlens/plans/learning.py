@@ -13,19 +13,28 @@ from rasmlens.plans.datasets import lab, prepared
 RULE_TOKENS = 150
 
 
-def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _vector_facts(features, rows: DataFrame) -> DataFrame:
     """Per row: vector size, hashed term total, and the three scaled values."""
-    features = lab(spark, sf_dir).features.transform(prepared(spark, sf_dir))
     values = vector_to_array("features")
-    rows = features.select(
+    facts = features.transform(rows).select(
         "doc_id", F.size(values).alias("dim"),
         F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, v: a + v).alias("tf_total"),
         F.slice(values, TF_DIM + 1, 3).alias("style"))
-    return rows.select("doc_id", "dim", "tf_total", *[
+    return facts.select("doc_id", "dim", "tf_total", *[
         F.round(F.get("style", F.lit(i)), 6).alias(name)
         for i, name in enumerate(("f023_scaled", "f046_scaled", "n_tokens_scaled"))])
 
 
+def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vector_facts(lab(spark, sf_dir).features, prepared(spark, sf_dir))
+
+
+def feature_vectors_fit_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prepared(spark, sf_dir)
+    train, _, _ = ops.hash_split(rows, "doc_id")
+    return _vector_facts(ops.fit_features(rows, train=train), rows)
+
+
 def _train(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         arena = lab(spark, sf_dir).fit(name)
@@ -113,6 +122,7 @@ def inference_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "feature_vectors": feature_vectors,
+    "feature_vectors_fit_on_train": feature_vectors_fit_on_train,
     "train_naive_bayes": _train("NaiveBayes"),
     "train_log_reg": _train("LogReg"),
     "train_random_forest": _train("RandomForest"),

@@ -165,11 +165,15 @@ TERMS = """term_df AS (SELECT w, count(*) AS doc_freq FROM (
 idfs AS (SELECT w, doc_freq, ln(((SELECT count(*) FROM prepared) + 1) / (doc_freq + 1)) AS idf
          FROM term_df)"""
 
-SCALED = ", ".join(
-    f"round({c} / (SELECT stddev_samp({c}) FROM prepared), 6) AS {c}_scaled"
-    for c in ("f023", "f046", "n_tokens"))
 
-SPLIT = f"""placed AS (SELECT label, CASE WHEN {position('doc_id', 2026)} < {int(0.70 * 2**32)}
+
+def scaled(fitted_on: str = "prepared") -> str:
+    return ", ".join(
+        f"round({c} / (SELECT stddev_samp({c}) FROM {fitted_on}), 6) AS {c}_scaled"
+        for c in ("f023", "f046", "n_tokens"))
+
+
+SPLIT = f"""placed AS (SELECT *, CASE WHEN {position('doc_id', 2026)} < {int(0.70 * 2**32)}
   THEN 'train' WHEN {position('doc_id', 2026)} < {int((0.70 + 0.15) * 2**32)}
   THEN 'validation' ELSE 'test' END AS split FROM prepared)"""
 
@@ -251,7 +255,7 @@ SQL = {
     "tfidf_exact": over_prepared("""SELECT doc_id, w, tf, round(tf * idf, 6) AS tfidf
   FROM (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS w FROM prepared)
         GROUP BY doc_id, w) JOIN idfs USING (w)""", TERMS),
-    "stylo_scaled": over_prepared(f"SELECT doc_id, {SCALED} FROM prepared"),
+    "stylo_scaled": over_prepared(f"SELECT doc_id, {scaled()} FROM prepared"),
     "sample_hash": f"""SELECT doc_id, lang FROM documents
   WHERE {position('doc_id', 3)} < {int(0.5 * 2**32)}""",
     "sample_limit": f"""SELECT doc_id, lang FROM documents
@@ -260,7 +264,10 @@ SQL = {
         "SELECT split, label, count(*) AS n FROM placed GROUP BY split, label", SPLIT),
     "random_split_cover": over_prepared("SELECT doc_id, 1::BIGINT AS splits FROM prepared"),
     "feature_vectors": over_prepared(f"""SELECT doc_id, 4099 AS dim,
-  n_tokens::DOUBLE AS tf_total, {SCALED} FROM prepared"""),
+  n_tokens::DOUBLE AS tf_total, {scaled()} FROM prepared"""),
+    "feature_vectors_fit_on_train": over_prepared(f"""SELECT doc_id, 4099 AS dim,
+  n_tokens::DOUBLE AS tf_total, {scaled("(SELECT * FROM placed WHERE split = 'train')")}
+  FROM prepared""", SPLIT),
     "rule_metrics": over_prepared("""SELECT (SELECT count(*) FROM ruled) AS n,
   round((SELECT avg((label = prediction)::INTEGER) FROM ruled), 6) AS accuracy,
   round((SELECT sum(f1 * actual) / sum(actual) FROM classes), 6) AS f1,

@@ -59,7 +59,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     Text rules cost far more time per byte than moving the raw text, so a few unsplittable
     files should not decide the parallelism. An input with enough partitions, as any
-    large one, is returned as it is, without a shuffle.
+    large one, is returned as it is, without a shuffle. Meant for plain scans: asking
+    a plan that shuffles for its partitions would run part of it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

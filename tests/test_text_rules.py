@@ -122,8 +122,9 @@ def test_stopword_antijoin_equals_literal_filter(spark, limit, extra):
     words = spark.createDataFrame(
         [(w,) for w in banned + [f"unused{i}" for i in range(extra)]], "word string")
     got = drop_stopwords_by_table(df, words, ["id", "part"], broadcast_limit=limit, salts=5)
-    assert {(r["id"], r["part"]): r["tokens"] for r in got.collect()} == {
-        (i, p): [t for t in ts if t not in banned] for i, p, ts, _ in rows}
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [
+        (i, p, [t for t in ts if t not in banned], o) for i, p, ts, o in rows]
 
 
 def test_syllables(spark):
