@@ -1,8 +1,8 @@
 from rasmlens.streaming.flow import (
-    classify, read_output, read_stream, run_for, run_stream, stream_accuracy, write_console,
-    write_feed, write_stream)
+    classify, evaluate_output, read_output, read_stream, run_for, run_stream, stream_accuracy,
+    write_console, write_feed, write_stream)
 
 __all__ = [
-    "classify", "read_output", "read_stream", "run_for", "run_stream", "stream_accuracy",
-    "write_console", "write_feed", "write_stream",
+    "classify", "evaluate_output", "read_output", "read_stream", "run_for", "run_stream",
+    "stream_accuracy", "write_console", "write_feed", "write_stream",
 ]

@@ -1,5 +1,6 @@
 """Structured Streaming inference over a folder of JSON files."""
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,18 @@ def stream_accuracy(output: DataFrame) -> DataFrame:
     return output.agg(F.count("*").alias("n"), F.coalesce(right, F.lit(0.0)).alias("accuracy"))
 
 
+def evaluate_output(spark: SparkSession, path: str) -> tuple[DataFrame | None, float]:
+    """The written predictions and their accuracy; ``(None, 0.0)`` if there are none."""
+    try:
+        output = read_output(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, 0.0
+    row = stream_accuracy(output).first()
+    return (output, row["accuracy"]) if row["n"] else (None, 0.0)
+
+
 def run_stream(
     spark: SparkSession,
     feed: str,
@@ -88,11 +101,10 @@ def run_stream(
     max_files_per_trigger: int = 5,
     interval: str | None = "3 seconds",
     seconds: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame | None, float]:
     """Load the saved models, classify the feed and evaluate what was written.
 
-    Runs until the feed is used up (``interval=None``) or for ``seconds``. Returns
-    the predictions and their accuracy.
+    Runs until the feed is used up (``interval=None``) or for ``seconds``.
     """
     if interval is not None and seconds is None:
         raise ValueError("an endless trigger needs a time limit")
@@ -104,5 +116,4 @@ def run_stream(
         query.awaitTermination()
     else:
         run_for(query, seconds)
-    result = read_output(spark, output)
-    return result, stream_accuracy(result)
+    return evaluate_output(spark, output)
