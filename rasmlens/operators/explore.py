@@ -2,7 +2,7 @@
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasmlens import schema
@@ -17,8 +17,8 @@ def label_counts(df: DataFrame) -> DataFrame:
 
 
 def class_composition(df: DataFrame) -> DataFrame:
-    """Rows per label and their share in percent; the window sees one row per label."""
-    total = F.sum("n").over(Window.partitionBy())
+    """Rows per label and their share in percent."""
+    total = row_count(df).scalar()
     return label_counts(df).withColumn("percent", F.round(100.0 * F.col("n") / total, 1))
 
 

@@ -38,7 +38,7 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace.fresh_dir(spark, "documents.csv")
     sources.write_csv(documents(spark, sf_dir).select("doc_id", "text"), path)
-    back = sources.read_csv(spark, path, ["doc_id", "text"])
+    back = sources.read_csv(spark, path, ["doc_id", "text"], missing=())
     return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 

@@ -1,6 +1,5 @@
 """The same results as DuckDB SQL over the driver's views."""
 
-from rasmlens import schema
 from rasmlens.functions import lexicon as lex
 from rasmlens.plans.datasets import ARABIC, LATIN
 from rasmlens.plans.learning import RULE_TOKENS

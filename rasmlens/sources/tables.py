@@ -1,23 +1,38 @@
 """CSV and Parquet sources and sinks."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasmlens import schema
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+# The cells that pandas' CSV reader takes as missing.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    columns: list[str] | None = None,
+    missing: tuple[str, ...] = MISSING,
+) -> DataFrame:
     """CSV with header, quoted fields that may span lines, and an optional BOM.
 
-    Every column is a string and empty fields are null. A multi-line file is read by
-    one task, so large splits should be stored as many files.
+    Every column is a string, and cells in ``missing`` are null. A multi-line file is
+    read by one task, so large splits should be stored as many files.
     """
     reader = (spark.read.option("header", True).option("multiLine", True)
               .option("quote", '"').option("escape", '"').option("encoding", "UTF-8"))
     if columns:
         fields = [T.StructField(c, T.StringType(), True) for c in columns]
         reader = reader.schema(T.StructType(fields)).option("enforceSchema", False)
-    return reader.csv(path)
+    cells = reader.csv(path)
+    return cells.select(*[
+        F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in cells.columns])
 
 
 def write_csv(df: DataFrame, path: str) -> str:

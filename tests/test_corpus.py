@@ -41,6 +41,15 @@ def test_csv_with_bom_newlines_and_quotes(spark, tmp_path):
         (f.name, f.dataType) for f in schema.CORPUS]
 
 
+def test_cells_that_pandas_takes_as_missing(spark, tmp_path):
+    path = tmp_path / "cells.csv"
+    path.write_text('a,b\nNA,"null"\n" NA",nan text\n', encoding="utf-8")
+    assert [tuple(r) for r in sources.read_csv(spark, str(path)).collect()] == [
+        (None, None), (" NA", "nan text")]
+    kept = sources.read_csv(spark, str(path), missing=("",)).collect()
+    assert tuple(kept[0]) == ("NA", "null")
+
+
 def test_csv_sink_keeps_existing_files(spark, tmp_path):
     first = spark.createDataFrame([(" a\r\nb ", 'q"q', "\\")], "x string, y string, z string")
     paths = sources.write_splits({"test": first}, str(tmp_path))
