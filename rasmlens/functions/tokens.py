@@ -1,7 +1,5 @@
 """Tokenising cleaned text and removing stop-words."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +42,7 @@ def drop_stopwords_by_table(
     broadcast_limit: int = MAX_BROADCAST_WORDS,
     salts: int = 64,
 ) -> DataFrame:
-    """Stop-word removal against a table of any size; ``keys`` identify a row.
+    """Stop-word removal against a table of any size; ``keys`` identify a row, without nulls.
 
     The distinct words of each row are matched with the list, and the few that are
     stop-words go back to their row, which filters its own tokens. Tokens are never
@@ -65,13 +63,10 @@ def drop_stopwords_by_table(
         salt = F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
         copies = banned.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         hits = words.withColumn("_salt", salt).join(copies, ["_word", "_salt"], "left_semi")
-    found = hits.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
-        F.collect_list("_word").alias("_found"))
-    same_row = reduce(
-        lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    found = hits.groupBy(*keys).agg(F.collect_list("_word").alias("_found"))
     kept = F.filter(tokens, lambda w: ~F.array_contains("_found", w))
     remaining = F.when(F.col("_found").isNull(), F.col(tokens)).otherwise(kept)
-    return df.join(found, same_row, "left").select(
+    return df.join(found, keys, "left").select(
         *[remaining.alias(c) if c == tokens else F.col(c) for c in df.columns])
 
 
