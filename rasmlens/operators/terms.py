@@ -22,9 +22,9 @@ def term_counts(df: DataFrame, key: str, tokens: str = schema.TOKENS) -> DataFra
     ordered = with_column_once(
         df.where(F.size(tokens) > 0).select(key, F.col(tokens).alias("_t")),
         "_s", F.sort_array("_t"))
-    word = F.col("_s")
     starts = F.filter(
-        F.sequence(F.lit(0), F.size("_s") - 1), lambda i: (i == 0) | (word[i] != word[i - 1]))
+        F.sequence(F.lit(0), F.size("_s") - 1),
+        lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
     runs = with_column_once(ordered.select(key, "_s"), "_at", starts)
     following = F.coalesce(F.get("_at", F.col("_j") + 1), F.size("_s"))
     return (runs.select(key, "_s", "_at", F.posexplode("_at").alias("_j", "_i"))
@@ -54,9 +54,10 @@ def tfidf(
     terms = term_idf(df, tokens)
     all_pairs = df.agg(F.sum(F.size(F.array_distinct(tokens)))).scalar()
     is_hot = F.col("doc_freq") * F.lit(hot_terms) > all_pairs
-    hot = F.broadcast(terms.where(is_hot))
-    frequent = pairs.join(hot, "w")
-    rare = pairs.join(hot.select("w"), "w", "left_anti").join(terms.where(~is_hot), "w")
+    hot = terms.where(is_hot)
+    frequent = pairs.join(F.broadcast(hot), "w")
+    rare = (pairs.join(F.broadcast(hot.select("w")), "w", "left_anti")
+            .join(terms.where(~is_hot), "w"))
     columns = [key, "w", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")]
     return frequent.select(*columns).unionByName(rare.select(*columns))
 
