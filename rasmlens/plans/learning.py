@@ -35,6 +35,46 @@ def feature_vectors_fit_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vector_facts(ops.fit_features(rows, train=train), rows)
 
 
+def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of every hashed TF-IDF vector, as rows.
+
+    Stored vectors are read back as the plain structs they are stored as, which keeps
+    them sparse.
+    """
+    path = workspace.fresh_dir(spark, "tfidf")
+    features = lab(spark, sf_dir).features.transform(prepared(spark, sf_dir))
+    features.select("doc_id", "tf", "tfidf").write.parquet(path)
+    sparse = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    stored = spark.read.schema(f"doc_id bigint, tf {sparse}, tfidf {sparse}").parquet(path)
+    entries = F.arrays_zip("tf.indices", F.col("tf.values").alias("tf"),
+                           F.col("tfidf.values").alias("tfidf"))
+    return stored.select("doc_id", F.inline(entries)).select(
+        "doc_id", F.col("indices").alias("bucket"), F.col("tf").cast("bigint").alias("tf"),
+        F.round("tfidf", 6).alias("tfidf"))
+
+
+def naive_bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for the whole corpus of the model fitted on the training split."""
+    work = lab(spark, sf_dir)
+    model = work.fit("NaiveBayes").fitted["NaiveBayes"]
+    return model.transform(work.vectors).select("doc_id", "label", "prediction")
+
+
+def naive_bayes_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = lab(spark, sf_dir)
+    predictions = work.fit("NaiveBayes").fitted["NaiveBayes"].transform(work.test)
+    auc = ops.roc_auc(predictions, bins=0)
+    return ops.accuracy_and_f1(predictions).select(
+        "n", F.round("accuracy", 6).alias("accuracy"), F.round("f1", 6).alias("f1"),
+        F.round(F.lit(auc), 6).alias("auc"))
+
+
+def naive_bayes_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = lab(spark, sf_dir)
+    model = work.fit("NaiveBayes").fitted["NaiveBayes"]
+    return ops.confusion_matrix(model.transform(work.test))
+
+
 def _train(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         arena = lab(spark, sf_dir).fit(name)
@@ -123,6 +163,10 @@ def inference_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "feature_vectors": feature_vectors,
     "feature_vectors_fit_on_train": feature_vectors_fit_on_train,
+    "hashed_tfidf": hashed_tfidf,
+    "naive_bayes_predictions": naive_bayes_predictions,
+    "naive_bayes_test": naive_bayes_test,
+    "naive_bayes_confusion": naive_bayes_confusion,
     "train_naive_bayes": _train("NaiveBayes"),
     "train_log_reg": _train("LogReg"),
     "train_random_forest": _train("RandomForest"),

@@ -185,6 +185,79 @@ CLASS_F1 = """classes AS (SELECT c, count(*) FILTER (WHERE label = c) AS actual,
 RANKS = """ranks AS (SELECT label, rank() OVER (ORDER BY score)
   + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM ruled)"""
 
+
+# Murmur3 (32 bits, seed 42) of a word's UTF-8 bytes, modulo 4096.
+M32 = 4294967295
+
+
+def rotated(x: str, bits: int) -> str:
+    return f"((({x} & {(1 << (32 - bits)) - 1}) << {bits}) | ({x} >> {32 - bits}))"
+
+
+def mixed(k: str) -> str:
+    first = f"(({k} * 3432918353) & {M32})"
+    return f"(({rotated(first, 15)} * 461845907) & {M32})"
+
+
+def scrambled(x: str, shift: int, factor: int | None = None) -> str:
+    folded = f"xor({x}, {x} >> {shift})"
+    return f"(({folded} * {factor}) & {M32})" if factor else folded
+
+
+def number(*positions: str) -> str:
+    pieces = " || ".join(f"substr(hx, {p}, 2)" for p in positions)
+    return f"CAST('0x' || {pieces} AS UBIGINT)"
+
+
+BLOCK = number("8 * i + 7", "8 * i + 5", "8 * i + 3", "8 * i + 1")
+TAIL = number("8 * (n // 4) + 5", "8 * (n // 4) + 3", "8 * (n // 4) + 1")
+STEP = f"(({rotated('xor(h, k)', 13)} * 5 + 3864292196) & {M32})"
+BUCKETS = f"""vocab AS (SELECT w, hex(w) AS hx, strlen(w) AS n
+  FROM (SELECT DISTINCT unnest(tokens) AS w FROM prepared)),
+body AS (SELECT w, n, list_reduce([42::UBIGINT] || list_transform(
+    list_transform(range(n // 4), lambda i: {BLOCK}), lambda k: {mixed('k')}),
+    lambda h, k: {STEP}) AS h, CASE WHEN n % 4 > 0 THEN {TAIL} ELSE 0 END::UBIGINT AS k FROM vocab),
+ended AS (SELECT w, xor(xor(h, {mixed('k')}), n::UBIGINT) AS h FROM body),
+once AS (SELECT w, {scrambled('h', 16, 2246822507)} AS h FROM ended),
+twice AS (SELECT w, {scrambled('h', 13, 3266489909)} AS h FROM once),
+buckets AS (SELECT w, ({scrambled('h', 16)} & 4095)::INTEGER AS bucket FROM twice)"""
+HASHED = f"""{BUCKETS},
+hashed AS (SELECT doc_id, bucket, count(*) AS tf
+  FROM (SELECT doc_id, unnest(tokens) AS w FROM prepared) JOIN buckets USING (w)
+  GROUP BY doc_id, bucket),
+bucket_idf AS (SELECT bucket, ln(((SELECT count(*) FROM prepared) + 1) / (count(*) + 1)) AS idf
+  FROM hashed GROUP BY bucket),
+weighted AS (SELECT doc_id, bucket, tf, tf * idf AS tfidf FROM hashed JOIN bucket_idf USING (bucket))"""
+
+# Multinomial naive Bayes with smoothing 1 over the 4,099 values, fitted on the training rows.
+STYLE_VALUES = " UNION ALL ".join(
+    f"SELECT doc_id, {4096 + i}, {c} / (SELECT stddev_samp({c}) FROM prepared) FROM prepared"
+    for i, c in enumerate(("f023", "f046", "n_tokens")))
+BAYES = f"""{HASHED}, {SPLIT},
+cells AS (SELECT doc_id, bucket AS j, tfidf AS x FROM weighted UNION ALL {STYLE_VALUES}),
+train AS (SELECT doc_id, label FROM placed WHERE split = 'train'),
+priors AS (SELECT label AS c, ln(count(*) + 1) - ln((SELECT count(*) FROM train) + 2) AS pi
+  FROM train GROUP BY label),
+masses AS (SELECT label AS c, j, sum(x) AS s FROM cells JOIN train USING (doc_id) GROUP BY ALL),
+totals AS (SELECT c, sum(s) AS total FROM masses GROUP BY c),
+scored AS (SELECT d.doc_id, t.c,
+    any_value(p.pi) + sum(d.x * (ln(coalesce(m.s, 0) + 1) - ln(t.total + 4099))) AS score
+  FROM cells d CROSS JOIN totals t JOIN priors p USING (c)
+  LEFT JOIN masses m ON m.c = t.c AND m.j = d.j GROUP BY d.doc_id, t.c),
+guessed AS (SELECT doc_id, p.label, p.split, arg_max(c, score)::DOUBLE AS prediction,
+    round(max(score) FILTER (WHERE c = 1), 8) AS score
+  FROM scored JOIN placed p USING (doc_id) GROUP BY ALL)"""
+GUESSED_TEST = """ruled AS (SELECT label, prediction, score FROM guessed WHERE split = 'test')"""
+
+METRICS = """SELECT (SELECT count(*) FROM ruled) AS n,
+  round((SELECT avg((label = prediction)::INTEGER) FROM ruled), 6) AS accuracy,
+  round((SELECT sum(f1 * actual) / sum(actual) FROM classes), 6) AS f1,
+  round((SELECT (sum(r) FILTER (WHERE label = 1) - p * (p + 1) / 2.0) / (p * (t - p)) FROM ranks,
+    (SELECT count(*) AS t, count(*) FILTER (WHERE label = 1) AS p FROM ruled) GROUP BY p, t), 6)
+    AS auc"""
+CONFUSION = """SELECT label, count(*) FILTER (WHERE prediction = 0)::INTEGER AS pred_0,
+  count(*) FILTER (WHERE prediction = 1)::INTEGER AS pred_1 FROM ruled GROUP BY label"""
+
 ROWS_IN_AND_OUT = "(SELECT count(*) FROM prepared)"
 
 SQL = {
@@ -267,15 +340,14 @@ SQL = {
     "feature_vectors_fit_on_train": over_prepared(f"""SELECT doc_id, 4099 AS dim,
   n_tokens::DOUBLE AS tf_total, {scaled("(SELECT * FROM placed WHERE split = 'train')")}
   FROM prepared""", SPLIT),
-    "rule_metrics": over_prepared("""SELECT (SELECT count(*) FROM ruled) AS n,
-  round((SELECT avg((label = prediction)::INTEGER) FROM ruled), 6) AS accuracy,
-  round((SELECT sum(f1 * actual) / sum(actual) FROM classes), 6) AS f1,
-  round((SELECT (sum(r) FILTER (WHERE label = 1) - p * (p + 1) / 2.0) / (p * (t - p)) FROM ranks,
-    (SELECT count(*) AS t, count(*) FILTER (WHERE label = 1) AS p FROM ruled) GROUP BY p, t), 6)
-    AS auc""", RULED, CLASS_F1, RANKS),
-    "rule_confusion": over_prepared("""SELECT label,
-  count(*) FILTER (WHERE prediction = 0)::INTEGER AS pred_0,
-  count(*) FILTER (WHERE prediction = 1)::INTEGER AS pred_1 FROM ruled GROUP BY label""", RULED),
+    "hashed_tfidf": over_prepared(
+        "SELECT doc_id, bucket, tf, round(tfidf, 6) AS tfidf FROM weighted", HASHED),
+    "naive_bayes_predictions": over_prepared(
+        "SELECT doc_id, label, prediction FROM guessed", BAYES),
+    "naive_bayes_test": over_prepared(METRICS, BAYES, GUESSED_TEST, CLASS_F1, RANKS),
+    "naive_bayes_confusion": over_prepared(CONFUSION, BAYES, GUESSED_TEST),
+    "rule_metrics": over_prepared(METRICS, RULED, CLASS_F1, RANKS),
+    "rule_confusion": over_prepared(CONFUSION, RULED),
     "rule_confusion_counts": over_prepared(
         "SELECT label, prediction, count(*) AS n FROM ruled GROUP BY label, prediction", RULED),
     "save_load_predict": over_prepared("""SELECT model, (SELECT count(*) FROM prepared) AS n,
@@ -283,6 +355,11 @@ SQL = {
   FROM (VALUES ('NaiveBayes'), ('LogReg'), ('RandomForest'), ('LinearSVC')) m(model)"""),
     "stream_prepare": over_prepared(
         "SELECT md5(text) AS text_md5, label, n_tokens, f023, f046 FROM prepared"),
+    "stream_naive_bayes": over_prepared(
+        "SELECT md5(p.text) AS text_md5, label, prediction FROM guessed g JOIN "
+        "(SELECT doc_id, text FROM prepared) p USING (doc_id)", BAYES),
+    "stream_naive_bayes_accuracy": over_prepared("""SELECT count(*) AS n,
+  round(avg((label = prediction)::INTEGER), 6) AS accuracy FROM guessed""", BAYES),
     "stream_matches_batch": over_prepared(f"""SELECT {ROWS_IN_AND_OUT} AS n_stream,
   {ROWS_IN_AND_OUT} AS n_batch, {ROWS_IN_AND_OUT} AS n_shared"""),
 }

@@ -35,28 +35,34 @@ def stream_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.read_output(spark, output, PREPARED_OUT)
 
 
-def _predicted(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the predictions of one run with saved models."""
+def _predicted(spark: SparkSession, sf_dir: str, name: str | None = None) -> str:
+    """Folder of the predictions of one run with the saved named, or best, classifier."""
     def run() -> str:
         work = lab(spark, sf_dir)
+        chosen = name or work.fit().best("f1")[0]
+        model = work.fit(chosen).fitted[chosen]
         folder = workspace.fresh_dir(spark, "served")
-        name, model = work.fit().best("f1")
         output = f"{folder}/predictions"
         streaming.run_stream(
             spark, _feed(spark, sf_dir), output, f"{folder}/checkpoint",
             sources.save_fitted(work.features, f"{folder}/prep_features"),
-            sources.save_classifier(model, folder, name), interval=None)
+            sources.save_classifier(model, folder, chosen), interval=None)
         return output
-    return once(spark, sf_dir, "predicted", run)
+    return once(spark, sf_dir, f"predicted by {name}", run)
 
 
-def stream_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    output = streaming.read_output(spark, _predicted(spark, sf_dir))
-    return output.select(F.md5("text").alias("text_md5"), "label", "prediction")
+def _predictions(name: str | None = None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        output = streaming.read_output(spark, _predicted(spark, sf_dir, name))
+        return output.select(F.md5("text").alias("text_md5"), "label", "prediction")
+    return run
 
 
-def stream_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streaming.stream_accuracy(streaming.read_output(spark, _predicted(spark, sf_dir)))
+def _accuracy(name: str | None = None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        output = streaming.read_output(spark, _predicted(spark, sf_dir, name))
+        return streaming.stream_accuracy(output).withColumn("accuracy", F.round("accuracy", 6))
+    return run
 
 
 def stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +86,9 @@ def stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "stream_prepare": stream_prepare,
-    "stream_predict": stream_predict,
-    "stream_accuracy": stream_accuracy,
+    "stream_naive_bayes": _predictions("NaiveBayes"),
+    "stream_naive_bayes_accuracy": _accuracy("NaiveBayes"),
+    "stream_predict": _predictions(),
+    "stream_accuracy": _accuracy(),
     "stream_matches_batch": stream_matches_batch,
 }
