@@ -157,7 +157,9 @@ def save_load_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inference_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = lab(spark, sf_dir)
     _, model = work.fit().best("f1")
-    return ops.inference_sweep(model, work.test)
+    cores = spark.sparkContext.defaultParallelism
+    partitions = tuple(max(1, cores * f // 4) for f in (1, 2, 4, 8))  # 2, 4, 8, 16 on 8 cores
+    return ops.inference_sweep(model, work.test, partitions)
 
 
 QUERIES = {

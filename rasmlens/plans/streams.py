@@ -24,8 +24,14 @@ def _feed(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "feed", write)
 
 
+def _files_per_trigger(spark: SparkSession) -> int:
+    """Five on a small machine, enough to keep the tasks of a larger one busy."""
+    return max(5, spark.sparkContext.defaultParallelism // 2)
+
+
 def stream_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare(streaming.read_stream(spark, _feed(spark, sf_dir))).select(
+    feed = streaming.read_stream(spark, _feed(spark, sf_dir), _files_per_trigger(spark))
+    rows = prepare(feed).select(
         F.md5("text").alias("text_md5"), "label", schema.N_TOKENS,
         F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
     output = workspace.fresh_dir(spark, "prepared_stream")
@@ -46,7 +52,8 @@ def _predicted(spark: SparkSession, sf_dir: str, name: str | None = None) -> str
         streaming.run_stream(
             spark, _feed(spark, sf_dir), output, f"{folder}/checkpoint",
             sources.save_fitted(work.features, f"{folder}/prep_features"),
-            sources.save_classifier(model, folder, chosen), interval=None)
+            sources.save_classifier(model, folder, chosen),
+            max_files_per_trigger=_files_per_trigger(spark), interval=None)
         return output
     return once(spark, sf_dir, f"predicted by {name}", run)
 

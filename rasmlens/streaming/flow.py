@@ -13,16 +13,13 @@ from rasmlens.operators.clean import prepare
 from rasmlens.sources.models import load_classifier, load_features
 
 
-def write_feed(
-    df: DataFrame, path: str, files: int = 20, rows_per_file: int = 0
-) -> str:
+def write_feed(df: DataFrame, path: str, rows_per_file: int = 0) -> str:
     """Write all ``(text, label)`` rows as JSON files for the stream to pick up.
 
-    The rows are dealt out to at most ``files`` files; ``rows_per_file`` cuts these
-    into more and smaller ones.
+    Each partition becomes a file, or several of at most ``rows_per_file`` rows.
     """
-    rows = df.select("text", "label").repartition(files)
-    rows.write.mode("append").option("maxRecordsPerFile", rows_per_file).json(path)
+    writer = df.select("text", "label").write.mode("append")
+    writer.option("maxRecordsPerFile", rows_per_file).json(path)
     return path
 
 
