@@ -1,4 +1,4 @@
-"""Character classes and word lists of the Arabic text rules."""
+"""Characters and word lists of the Arabic text rules."""
 
 # Results depend on these exact characters and words.
 
@@ -46,3 +46,18 @@ DEFAULT_STOPWORDS = tuple("""
     له لها لهم لي لك لنا به بها بهم بي بك بنا فيه فيها فيهم منه منها منهم عليه عليها إليه إليها عنه عنها
     يا أيها نعم كم كيف متى أين لماذا ماذا هل أيضا فقط جدا
 """.split())
+
+
+def ranges(characters: str) -> str:
+    """The characters as the inside of a regex class, neighbours joined to ranges.
+
+    A class of few ranges is matched clearly faster than one that lists its members.
+    """
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, set(characters))):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    runs.sort(key=lambda run: run[0] - run[1])
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in runs)

@@ -12,11 +12,11 @@ from rasmlens.functions.profile import DEFAULT, TextProfile
 
 _LIGATURE_CLASS = "[{}-{}]".format(*lex.LAM_ALEF_LIGATURES)
 # (?U) makes \s cover all Unicode white space; Python's \s also has U+001C-001F.
-_DROPPED_CLASS = rf"[^\u0600-\u06FF\s\x1C-\x1FA-Za-z0-9{lex.KEPT_PUNCTUATION}]"
+_DROPPED_CLASS = rf"[^\u0600-\u06FFA-Za-z0-9{lex.KEPT_PUNCTUATION}\x1C-\x1F\s]"
 
 
 def strip_diacritics(text: Column) -> Column:
-    return F.regexp_replace(text, f"[{lex.DIACRITICS}]", "")
+    return F.regexp_replace(text, f"[{lex.ranges(lex.DIACRITICS)}]", "")
 
 
 def strip_tatweel(text: Column) -> Column:
@@ -25,9 +25,9 @@ def strip_tatweel(text: Column) -> Column:
 
 def fold_hamza(text: Column, mode: str = "alef") -> Column:
     if mode == "alef":
-        return F.regexp_replace(text, f"[{lex.HAMZA_TO_ALEF}]", lex.ALEF)
+        return F.regexp_replace(text, f"[{lex.ranges(lex.HAMZA_TO_ALEF)}]", lex.ALEF)
     spread = F.replace(text, F.lit(lex.ALEF_MADDA), F.lit(lex.HAMZA * 2))
-    return F.regexp_replace(spread, f"[{lex.HAMZA_CARRIERS}]", lex.HAMZA)
+    return F.regexp_replace(spread, f"[{lex.ranges(lex.HAMZA_CARRIERS)}]", lex.HAMZA)
 
 
 def fold_alef(text: Column, maksura: bool = False) -> Column:
@@ -57,11 +57,11 @@ def normalize_arabic(text: Column, profile: TextProfile = DEFAULT) -> Column:
     Neighbouring rules that write the same thing share one pass: marks and tatweel,
     hamza and alef forms, dropped characters and blank runs.
     """
-    bare = F.regexp_replace(text, f"[{lex.DIACRITICS}{lex.TATWEEL}]", "")
+    bare = F.regexp_replace(text, f"[{lex.ranges(lex.DIACRITICS + lex.TATWEEL)}]", "")
     if profile.hamza == "alef":
         variants = lex.HAMZA_TO_ALEF + lex.ALEF_WASLA
         variants += lex.ALEF_MAKSURA if profile.fold_alef_maksura else ""
-        folded = F.regexp_replace(bare, f"[{variants}]", lex.ALEF)
+        folded = F.regexp_replace(bare, f"[{lex.ranges(variants)}]", lex.ALEF)
     else:
         folded = fold_alef(fold_hamza(bare, profile.hamza), profile.fold_alef_maksura)
     spelled = split_ligatures(folded)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rasmlens.functions import lexicon as lex
 from rasmlens.functions.profile import DEFAULT, TextProfile
 
-_VOWEL_RUN = f"[{lex.LONG_VOWELS}{lex.SHORT_VOWELS}]+"
+_VOWEL_RUN = f"[{lex.ranges(lex.LONG_VOWELS + lex.SHORT_VOWELS)}]+"
 
 
 def syllables(word: Column) -> Column:
