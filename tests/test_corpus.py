@@ -96,6 +96,28 @@ def test_workspace_uses_the_configured_folder(spark):
     assert a != b and a.startswith(folder) and not glob.glob(a)
 
 
+def test_workspace_without_a_configured_folder():
+    class Context:
+        master, folder = "local[2]", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, path):
+            self.folder = path
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    local = Session()
+    assert workspace.shared_dir(local) == local.sparkContext.folder
+    Session.sparkContext = Context()
+    Session.sparkContext.master = "spark://cluster:7077"
+    with pytest.raises(ValueError):
+        workspace.shared_dir(Session())
+
+
 def test_counts_and_composition(spark):
     df = spark.createDataFrame([(0,), (1,), (1,)], "label int")
     assert ops.row_count(df).first()["n"] == 3
