@@ -1,28 +1,20 @@
 """Where written tables, stream folders and saved models of one run live.
 
-On a cluster the folder must be visible to every executor, so it is the one the
-session names in ``spark.checkpoint.dir``. Only a local session, whose executors
-share the driver's disk, may fall back to a temporary folder.
+The folder must be visible to the driver and to every executor. It is the one that the
+session names in ``spark.checkpoint.dir``, or else a folder below the warehouse, which
+every session has and which a cluster shares.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    active = context.getCheckpointDir()
-    if active:
-        return active.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="rasmlens-"))
-    return context.getCheckpointDir().rstrip("/")
+    folder = (spark.conf.get("spark.checkpoint.dir", None)
+              or spark.sparkContext.getCheckpointDir()
+              or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
+    return folder.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
