@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasmlens.llm import chat, packing, urls
-from rasmlens.llm.frames import table
+from rasmlens.llm import (
+    chat, language, lines, mixing, packing, rules, search, sharding, simhash, urls)
+from rasmlens.llm.frames import stored, table
 
 # The url rules.
 URL_RULES = (
@@ -17,6 +18,16 @@ URL_RULES = (
 CONTROL_TEXT = r"\### Assistant: </turn> ok"
 
 
+#: Sites on which a line becomes boilerplate.
+MIN_SITES = 10
+
+
+def op1_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_shared_lines(
+        table(spark, sf_dir, "documents"), MIN_SITES, n_lines="n_lines", n_removed="n_removed")
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op2_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), max_length=1024)
     return pieces.select(
@@ -24,6 +35,53 @@ def op2_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language.held_out(F.col("doc_id"))
+    model = language.train(docs.where(F.col("doc_id").isNotNull() & ~out))
+    return language.identify(docs, model, ["doc_id"]).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score", "languages")
+
+
+# The levels of the mixing tree: a domain has five of the numbered sources.
+DOMAINS = ("web", "books", "news", "forum")
+#: Weights of the tree's nodes by path; all others weigh 1.
+MIX_WEIGHTS = {
+    ("web",): 4, ("books",): 2, ("news",): 2,
+    ("web", "en"): 3, ("books", "en"): 2, ("books", "de"): 2,
+    ("web", "en", "src0"): 2,
+}
+#: The mixture's size as a share of all words, and how often a leaf may be read.
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.75, 2, 17
+
+
+def mix_levels() -> dict:
+    number = F.regexp_extract("source", "^src([0-9]{1,4})$", 1).try_cast("int")
+    domain = F.element_at(F.array(*map(F.lit, DOMAINS)), F.floor(number / 5).cast("int") + 1)
+    known = number.isNotNull() & (number < 5 * len(DOMAINS))
+    return {"domain": F.when(known, domain).otherwise("other"), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op5_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = mix_levels()
+    counted = stored(table(spark, sf_dir, "documents").select(
+        "doc_id", levels["domain"].alias("domain"), "lang", "source",
+        mixing.word_count(F.col("text")).alias("n_words")), "counted")
+    return mixing.mix(
+        counted, {c: F.col(c) for c in levels}, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED,
+        tokens=F.col("n_words"), leaf_budget="leaf_budget")
+
+
+def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def listed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in for a block list from outside: one in 16 of the keys, by their MD5."""
     host, path = urls.host_and_path(F.col("url"))
@@ -55,14 +113,104 @@ def op8_chat_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op9_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op10_norm_sorted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, scale=64.0).select(
+        F.col("query_id"), "rank", "vec_id", "score")
+
+
 QUERIES = {
+    "op1_line_spread": op1_line_spread,
     "op2_pack_powers_of_two": op2_pack_powers_of_two,
+    "op3_simhash_golay": op3_simhash_golay,
+    "op4_language_mixture": op4_language_mixture,
+    "op5_hierarchical_mix": op5_hierarchical_mix,
+    "op6_sampled_splitters": op6_sampled_splitters,
     "op7_url_cascade": op7_url_cascade,
     "op8_chat_fingerprint": op8_chat_fingerprint,
+    "op9_adaptive_rules": op9_adaptive_rules,
+    "op10_norm_sorted_search": op10_norm_sorted_search,
 }
 
+def _mix_sql() -> str:
+    """The budgets of three levels, one after the other, and then the prefixes."""
+    levels = ("domain", "lang", "source")
+    sql = [f"""
+WITH docs AS (
+  SELECT doc_id, CASE WHEN regexp_matches(source, '^src[0-9]{{1,4}}$')
+             AND try_cast(substr(source, 4) AS INT) < {5 * len(DOMAINS)}
+           THEN {list(DOMAINS)}[1 + try_cast(substr(source, 4) AS INT) // 5] ELSE 'other' END AS domain, lang, source,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_words
+  FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n_words)::BIGINT AS leaf_tokens FROM docs GROUP BY ALL),
+b0 AS (SELECT floor(sum(leaf_tokens) * {MIX_SHARE}::DOUBLE) AS budget FROM leaves)"""]
+    for depth in range(1, 4):
+        keys, parent = levels[:depth], levels[:depth - 1]
+        cases = " ".join(
+            "WHEN " + " AND ".join(f"{k} = '{v}'" for k, v in zip(keys, path)) + f" THEN {weight}"
+            for path, weight in MIX_WEIGHTS.items() if len(path) == depth)
+        on = " AND ".join(f"n.{p} IS NOT DISTINCT FROM a.{p}" for p in parent) or "true"
+        over = f"PARTITION BY {', '.join(f'n.{p}' for p in parent)}" if parent else ""
+        order = f"ORDER BY ratio NULLS LAST, {', '.join(f'n.{k}' for k in keys)}"
+        sql.append(f"""
+n{depth} AS (
+  SELECT *, capacity / weight AS ratio FROM (
+    SELECT {', '.join(keys)}, sum(leaf_tokens)::BIGINT * {MIX_EPOCHS} AS capacity,
+           CASE {cases} ELSE 1 END AS weight
+    FROM leaves GROUP BY {', '.join(keys)})),
+r{depth} AS (
+  SELECT n.*, a.budget,
+    coalesce(sum(capacity) OVER ({over} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+    sum(weight) OVER ({over} {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM n{depth} n JOIN b{depth - 1} a ON {on}),
+f{depth} AS (SELECT *, used + ratio * weights <= budget AS filled FROM r{depth}),
+b{depth} AS (
+  SELECT {', '.join(f'n.{k}' for k in keys)}, CASE WHEN filled THEN capacity::DOUBLE
+    ELSE greatest((budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({over}))
+      / sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({over}), 0) * weight END AS budget
+  FROM f{depth} n)""".replace("( )", "()"))
+    sql.append(f"""
+budgets AS (
+  SELECT l.*, floor(b.budget)::BIGINT AS leaf_budget,
+         CASE WHEN leaf_tokens > 0 THEN floor(b.budget)::BIGINT // leaf_tokens ELSE 0 END AS epochs
+  FROM leaves l JOIN b3 b ON l.domain IS NOT DISTINCT FROM b.domain
+    AND l.lang IS NOT DISTINCT FROM b.lang AND l.source IS NOT DISTINCT FROM b.source),
+keyed AS (
+  SELECT d.*, leaf_budget, epochs, leaf_budget - epochs * leaf_tokens AS rest,
+         md5('{MIX_SEED}:' || epochs || ':' || coalesce(doc_id::VARCHAR, '')) AS key
+  FROM docs d JOIN budgets b ON d.domain IS NOT DISTINCT FROM b.domain
+    AND d.lang IS NOT DISTINCT FROM b.lang AND d.source IS NOT DISTINCT FROM b.source),
+placed AS (
+  SELECT *, sum(n_words) OVER (PARTITION BY domain, lang, source ORDER BY key) - n_words AS before FROM keyed),
+counted AS (SELECT *, epochs + CASE WHEN before < rest THEN 1 ELSE 0 END AS copies FROM placed)
+SELECT doc_id, domain, lang, source, n_words, copies, leaf_budget FROM counted WHERE copies > 0""")
+    return ",".join(sql)
+
+
 _ESCAPED = "replace(replace({0}, '&', '&amp;'), '<', '&lt;')"
 ORACLE_SQL = {
+    "op1_line_spread": rf"""
+WITH cut AS (
+  SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+numbered AS (
+  SELECT doc_id, source, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM cut),
+said AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS content FROM numbered),
+shared AS (
+  SELECT content, min(doc_id) AS owner FROM said WHERE content <> '' GROUP BY content
+  HAVING count(DISTINCT coalesce(source, '')) >= {MIN_SITES}),
+marked AS (
+  SELECT doc_id, pos, line, owner IS NOT NULL AND doc_id <> owner AS gone
+  FROM said LEFT JOIN shared USING (content))
+SELECT doc_id,
+       CASE WHEN any_value(d.text) IS NULL THEN NULL
+            ELSE coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') END AS text,
+       count(line) AS n_lines, count(*) FILTER (gone) AS n_removed
+FROM documents d LEFT JOIN marked USING (doc_id) GROUP BY doc_id""",
     "op7_url_cascade": r"""
 WITH cut AS (
   SELECT page_id,
@@ -98,4 +246,16 @@ SELECT conv_id, count(*) AS n_turns,
   sum({len("<turn></turn>") + 2} + length(replace({_ESCAPED.format('role')}, chr(10), '&#10;'))
       + length({_ESCAPED.format('text')}))::BIGINT AS formatted_chars
 FROM named GROUP BY conv_id""",
+    "op5_hierarchical_mix": _mix_sql(),
+    "op10_norm_sorted_search": """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
 }
