@@ -1,0 +1,130 @@
+import random
+
+import numpy as np
+import pytest
+
+from rasmlens.llm import golay, simhash
+
+xxhash = pytest.importorskip("xxhash")
+
+
+def plain_fingerprint(text, window=4):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\r\x0b\x0c":
+        lower = lower.replace(c, " ")
+    words = [w for w in lower.split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + window]) for i in range(max(1, len(words) - window + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, ids, bits=4):
+    """Smallest reachable id by breadth-first search over all pairs."""
+    name = [None] * len(prints)
+    for i in sorted(range(len(prints)), key=lambda i: (ids[i] is None, ids[i])):
+        if name[i] is None:
+            queue, name[i] = [i], (ids[i],)
+            while queue:
+                at = queue.pop()
+                for j in range(len(prints)):
+                    if name[j] is None and bin(prints[at] ^ prints[j]).count("1") <= bits:
+                        name[j] = name[i]
+                        queue.append(j)
+    return [n[0] for n in name]
+
+
+def test_golay_keys_are_fuzzy():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 1 << 23, 3000).astype("u4")
+    keys, n = golay.keys(words)
+    assert set(n.tolist()) == {1, 6}
+    for _ in range(300):
+        i = int(rng.integers(len(words)))
+        a, b = rng.choice(23, 2, replace=False)
+        for flips, nearest in (([a], True), ([a, b], False)):
+            other = words[i] ^ np.uint32(sum(1 << int(f) for f in flips))
+            there, m = golay.keys(np.array([other]))
+            mine, theirs = set(keys[i, :n[i]].tolist()), set(there[0, :m[0]].tolist())
+            assert mine & theirs
+            if nearest:
+                assert int(keys[i, 0]) in theirs and int(there[0, 0]) in mine
+
+
+def test_fuzzy_keys_lose_no_pair():
+    rng = np.random.default_rng(2)
+    for _ in range(600):
+        a = int(rng.integers(0, 1 << 63)) * 2 + int(rng.integers(2))
+        flips = rng.choice(64, int(rng.integers(1, 5)), replace=False)
+        b = a ^ sum(1 << int(f) for f in flips)
+        place, key = simhash.fuzzy_keys(np.array([a, b], "u8"))
+        assert set(key[place == 0].tolist()) & set(key[place == 1].tolist())
+
+
+def test_fingerprints_against_plain():
+    rng = random.Random(4)
+    for _ in range(100):
+        text = "".join(rng.choice(["Aa", "b", "é", " ", "\n", "\t", "\x85", "\xa0", "Ω"]) for _ in range(rng.randint(0, 80)))
+        assert simhash.fingerprint(text) == plain_fingerprint(text)
+    for text in (None, "", " \n", "one", "one two three"):
+        assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def near_texts():
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(500)]
+    texts = []
+    for _ in range(12):
+        base = [rng.choice(words) for _ in range(rng.randint(30, 400))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 25)):
+            base = list(base)
+            base[rng.randrange(len(base))] = rng.choice(words)
+            texts.append(" ".join(base))
+    return texts + texts[:10] + ["", None, "a", "a b", "   "]
+
+
+@pytest.mark.parametrize("most_held", [simhash.MOST_HELD, 1])
+def test_components_against_plain(documents, most_held):
+    texts = near_texts()
+    rng = random.Random(1)
+    ids = list(range(100, 100 + len(texts)))
+    rng.shuffle(ids)
+    got = {r["doc_id"]: r for r in simhash.near_duplicates(
+        documents([(i, t) for i, t in zip(ids, texts)]), most_held=most_held).collect()}
+    prints = [plain_fingerprint(t) for t in texts]
+    names = plain_components(prints, ids)
+    assert len(got) == len(ids)
+    for i, p, n in zip(ids, prints, names):
+        assert got[i]["fingerprint"] == f"{p:016x}"
+        assert got[i]["component_id"] == n
+
+
+def test_linked_words_far_from_texts(spark):
+    """Random fingerprints with planted neighbours of every distance, without any text."""
+    rng = np.random.default_rng(9)
+    prints = rng.integers(0, 1 << 62, 400).astype("u8")
+    near = [p ^ np.uint64(sum(1 << int(f) for f in rng.choice(64, int(d), replace=False)))
+            for p, d in zip(prints, rng.integers(1, 7, 400))]
+    every = np.unique(np.concatenate([prints, np.array(near, "u8")]))
+    found = simhash.groups(spark.createDataFrame([(int(x),) for x in every.view("i8")], "fp long"))
+    roots = {r["fp"]: r["root"] for r in found.collect()}
+    mine = [int(x) for x in every.view("i8")]
+    names = plain_components([x % (1 << 64) for x in mine], mine)
+    assert [roots.get(x, x) for x in mine] == names
+
+
+def test_odd_rows(documents):
+    rows = [(5, "same text of some words"), (5, "same text of some words"), (None, "same text of some words"),
+            (None, "lonely words without any id here"), (7, "y " * 100_000), (8, None), (9, "")]
+    got = sorted(((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(documents(rows)).collect()), key=str)
+    assert got == sorted([(5, 5), (5, 5), (None, 5), (None, None), (7, 7), (8, 8), (9, 8)], key=str)
+    kept = simhash.drop_near_duplicates(documents(rows))
+    assert kept.columns == documents(rows).columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([5, None, 7, 8], key=str)
+
+
+def test_empty(documents):
+    assert simhash.near_duplicates(documents([])).count() == 0
+    assert simhash.drop_near_duplicates(documents([])).count() == 0
