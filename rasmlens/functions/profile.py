@@ -3,13 +3,10 @@
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 
 from rasmlens.functions import lexicon as lex
 
-#: More list entries than this belong in a table, see ``drop_stopwords_by_table``.
-MAX_LITERAL_WORDS = 20_000
-
 
 @dataclass(frozen=True)
 class TextProfile:
@@ -22,6 +19,7 @@ class TextProfile:
     ``normalize_lexicon``: bring word lists to the spelling of cleaned text. Off by
     default, so that entries whose spelling cleaning changes never match.
     ``noun_counter``: replaces the noun heuristic; gets the token array column.
+    ``stopwords`` become part of the query; ``prepare`` takes long lists as a table.
     """
 
     stopwords: tuple[str, ...] = lex.DEFAULT_STOPWORDS
@@ -37,17 +35,10 @@ class TextProfile:
     def __post_init__(self):
         if self.hamza not in ("alef", "hamza"):
             raise ValueError(f"unknown hamza mode {self.hamza!r}")
-        if len(self.stopwords) > MAX_LITERAL_WORDS:
-            raise ValueError("too many stop-words for a literal set; use drop_stopwords_by_table")
 
     def with_stopwords(self, words: Iterable[str]) -> "TextProfile":
         return replace(self, stopwords=tuple(words))
 
-    def with_stopword_table(self, table: DataFrame, column: str = "word") -> "TextProfile":
-        """Take the list from a table, after checking that it is small."""
-        rows = table.select(column).distinct().limit(MAX_LITERAL_WORDS + 1).collect()
-        return self.with_stopwords(sorted(row[0] for row in rows if row[0]))
-
     def fold_word(self, word: str) -> str:
         """Spelling of a list entry after cleaning."""
         word = word.translate({ord(c): None for c in lex.DIACRITICS + lex.TATWEEL})

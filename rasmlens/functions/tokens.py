@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 from rasmlens.functions import lexicon as lex
 from rasmlens.functions.profile import DEFAULT, TextProfile
 
-#: Some tens of megabytes as a broadcast table.
-MAX_BROADCAST_WORDS = 500_000
-
 # Letters, digits, underscore, diacritics, apostrophe. The first range, Arabic letters
 # and diacritics, is there for speed: it decides most characters of an Arabic text.
 _WORD = r"\u0620-\u0652\p{L}\p{N}_'"
@@ -41,36 +38,24 @@ def drop_stopwords_by_table(
     keys: list[str],
     tokens: str = "tokens",
     word: str = "word",
-    broadcast_limit: int = MAX_BROADCAST_WORDS,
-    salts: int = 64,
+    salts: int = 16,
 ) -> DataFrame:
     """Stop-word removal against a table of any size; ``keys`` identify a row, without nulls.
 
     The distinct words of each row are matched with the list, and the few that are
     stop-words go back to their row, which filters its own tokens. Tokens are never
-    moved by word, and rows left without any word keep ``[]``.
-
-    A list of at most ``broadcast_limit`` words is broadcast. A longer one is first
-    cut to the words that occur in ``df``. If it is long even then, both sides are
-    shuffled by (word, salt), which spreads the rows of a very frequent word over
-    ``salts`` tasks.
+    moved by word, and rows left without any word keep ``[]``. Both sides are matched by
+    (word, salt), so the rows of a very frequent word meet in ``salts`` tasks; Spark
+    broadcasts a list that turns out to be small.
     """
     banned = stopwords.select(F.col(word).alias("_word")).where("_word is not null").distinct()
-    words = df.select(*keys, F.explode(F.array_distinct(tokens)).alias("_word"))
-    if not _fits(banned, broadcast_limit):
-        banned = banned.join(words.select("_word").distinct(), "_word", "left_semi")
-    if _fits(banned, broadcast_limit):
-        hits = words.join(F.broadcast(banned), "_word", "left_semi")
-    else:
-        salt = F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
-        copies = banned.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        hits = words.withColumn("_salt", salt).join(copies, ["_word", "_salt"], "left_semi")
-    found = hits.groupBy(*keys).agg(F.collect_list("_word").alias("_found"))
+    copies = banned.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    words = df.select(
+        *keys, F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int").alias("_salt"),
+        F.explode(F.array_distinct(tokens)).alias("_word"))
+    found = (words.join(copies, ["_word", "_salt"], "left_semi")
+             .groupBy(*keys).agg(F.collect_list("_word").alias("_found")))
     kept = F.filter(tokens, lambda w: ~F.array_contains("_found", w))
     remaining = F.when(F.col("_found").isNull(), F.col(tokens)).otherwise(kept)
     return df.join(found, keys, "left").select(
         *[remaining.alias(c) if c == tokens else F.col(c) for c in df.columns])
-
-
-def _fits(words: DataFrame, limit: int) -> bool:
-    return words.limit(limit + 1).count() <= limit

@@ -1,4 +1,5 @@
-from rasmlens.operators.arena import ModelArena, default_estimators, feature_importance
+from rasmlens.operators.arena import (
+    ModelArena, Trial, best_trial, default_estimators, feature_importance, fit_trial, ranking)
 from rasmlens.operators.clean import add_stylometrics, add_tokens, clean, prepare
 from rasmlens.operators.density import kernel_density
 from rasmlens.operators.explore import (
@@ -15,11 +16,11 @@ from rasmlens.operators.sweep import inference_sweep
 from rasmlens.operators.terms import scale_by_deviation, term_counts, term_idf, tfidf
 
 __all__ = [
-    "ModelArena", "accuracy_and_f1", "add_stylometrics", "add_tokens", "bernoulli_sample",
-    "class_composition", "clean", "confusion_counts", "confusion_matrix", "correlation_matrix",
+    "ModelArena", "Trial", "accuracy_and_f1", "add_stylometrics", "add_tokens", "bernoulli_sample",
+    "best_trial", "class_composition", "clean", "confusion_counts", "confusion_matrix", "correlation_matrix",
     "default_estimators", "distribution_by_class", "evaluate_on_test", "feature_importance",
-    "feature_stages", "fit_features", "hash_sample", "hash_split", "inference_sweep", "ingest",
-    "kernel_density", "label_counts", "melt", "prepare", "random_split",
+    "feature_stages", "fit_features", "fit_trial", "hash_sample", "hash_split", "inference_sweep", "ingest",
+    "kernel_density", "label_counts", "melt", "prepare", "random_split", "ranking",
     "random_split_two_stage", "roc_auc", "row_count", "sample_limit", "scale_by_deviation",
     "score", "split_index", "term_counts", "term_idf", "tfidf", "token_counts", "top_tokens",
     "union_all", "vectorize",

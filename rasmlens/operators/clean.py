@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rasmlens import schema
 from rasmlens.functions import DEFAULT, TextProfile, avg_syllables, count_nouns
-from rasmlens.functions import normalize_arabic, tokenize
+from rasmlens.functions import drop_stopwords_by_table, normalize_arabic, split_words, tokenize
 
 
 def with_column_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -18,16 +18,39 @@ def with_column_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
 
-def add_tokens(df: DataFrame, profile: TextProfile = DEFAULT, text: str = "text") -> DataFrame:
-    """Add the cleaned text, its tokens and their number."""
+def add_tokens(
+    df: DataFrame,
+    profile: TextProfile = DEFAULT,
+    text: str = "text",
+    stopwords: DataFrame | None = None,
+    keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """Add the cleaned text, its tokens and their number.
+
+    ``stopwords`` is a table of any size with the column ``word``, which then takes the
+    place of the profile's list; ``keys`` must identify a row. It regroups rows, so a stream
+    can use it inside ``foreachBatch`` only.
+    """
     cleaned = df.withColumn(schema.CLEAN, normalize_arabic(F.col(text), profile))
-    tokenized = with_column_once(cleaned, schema.TOKENS, tokenize(F.col(schema.CLEAN), profile))
+    if stopwords is None:
+        words = tokenize(F.col(schema.CLEAN), profile)
+        tokenized = with_column_once(cleaned, schema.TOKENS, words)
+    else:
+        listed = with_column_once(cleaned, schema.TOKENS, split_words(F.col(schema.CLEAN), profile))
+        tokenized = drop_stopwords_by_table(listed, stopwords, list(keys), schema.TOKENS)
     return tokenized.withColumn(schema.N_TOKENS, F.size(schema.TOKENS))
 
 
-def clean(df: DataFrame, profile: TextProfile = DEFAULT, text: str = "text") -> DataFrame:
+def clean(
+    df: DataFrame,
+    profile: TextProfile = DEFAULT,
+    text: str = "text",
+    stopwords: DataFrame | None = None,
+    keys: tuple[str, ...] = (),
+) -> DataFrame:
     """``add_tokens`` without the rows of fewer than ``profile.min_tokens`` tokens."""
-    return add_tokens(df, profile, text).where(F.col(schema.N_TOKENS) >= profile.min_tokens)
+    counted = add_tokens(df, profile, text, stopwords, keys)
+    return counted.where(F.col(schema.N_TOKENS) >= profile.min_tokens)
 
 
 def add_stylometrics(
@@ -40,6 +63,14 @@ def add_stylometrics(
     return df.withColumns({f023: avg_syllables(tokens), f046: count_nouns(tokens, profile)})
 
 
-def prepare(df: DataFrame, profile: TextProfile = DEFAULT, text: str = "text") -> DataFrame:
+def prepare(
+    df: DataFrame,
+    profile: TextProfile = DEFAULT,
+    text: str = "text",
+    f023: str = schema.F023,
+    f046: str = schema.F046,
+    stopwords: DataFrame | None = None,
+    keys: tuple[str, ...] = (),
+) -> DataFrame:
     """Cleaned rows with both stylometric features; works on batch and stream alike."""
-    return add_stylometrics(clean(df, profile, text), profile)
+    return add_stylometrics(clean(df, profile, text, stopwords, keys), profile, f023, f046)

@@ -5,8 +5,6 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasmlens import schema
-
 #: exp(-z*z/2) is 0.0 in double precision from here on.
 KERNEL_REACH = 39.0
 
@@ -14,24 +12,24 @@ KERNEL_REACH = 39.0
 def kernel_density(
     df: DataFrame,
     column: str,
-    classes: tuple[int, ...] = schema.CLASSES,
     points: int = 200,
 ) -> DataFrame:
     """Density of ``column`` per label at ``points`` places from its min to its max.
 
     Bandwidth is 1.06 * population deviation * n^(-1/5), or 1.0 where that is 0;
-    labels with fewer than two values are left out. Returns label, i, x, density.
+    labels with fewer than two values, and rows without a label, are left out. Returns
+    label, i, x, density for every label in the data.
 
     Equal values are counted first. A value then contributes only to the grid
     points its kernel reaches in double precision, summed before the shuffle, so
-    no more than ``points`` partial sums per label leave a task. The joined sides
-    hold one row, or ``points`` rows, per entry of ``classes``.
+    no more than ``points`` partial sums per label leave a task. The side that is joined
+    to the values has one row per label.
     """
     if points < 2:
         raise ValueError("the grid needs at least two points")
     value = F.col(column).cast("double")
     values = df.select("label", value.alias("v")).where(
-        F.col("label").isin(list(classes)) & F.col("v").isNotNull() & ~F.isnan("v"))
+        F.col("label").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
 
     bandwidth = 1.06 * F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-1 / 5))
     stats = (values.groupBy("label").agg(
@@ -53,7 +51,7 @@ def kernel_density(
     kernel = F.exp(-0.5 * F.pow((x - F.col("v")) / F.col("bw"), F.lit(2.0)))
 
     histogram = values.groupBy("label", "v").agg(F.count("*").alias("copies"))
-    sums = (histogram.join(F.broadcast(stats), "label")
+    sums = (histogram.join(stats, "label")
             .select("label", "v", "copies", "lo", "step", "bw", F.explode(reached).alias("i"))
             .groupBy("label", "i").agg(F.sum(F.col("copies") * kernel).alias("total")))
 

@@ -14,6 +14,7 @@ def feature_stages(
     tf_dim: int = TF_DIM, f023: str = schema.F023, f046: str = schema.F046
 ) -> Pipeline:
     """Vector layout: ``tf_dim`` TF-IDF values, then f023, f046 and n_tokens."""
+    # The columns between the stages, as saved pipelines name them.
     counts = HashingTF(inputCol=schema.TOKENS, outputCol="tf", numFeatures=tf_dim)
     weights = IDF(inputCol="tf", outputCol="tfidf")
     style = VectorAssembler(inputCols=[f023, f046, schema.N_TOKENS], outputCol="stylo_raw")
@@ -24,10 +25,14 @@ def feature_stages(
 
 
 def fit_features(
-    prepared: DataFrame, train: DataFrame | None = None, tf_dim: int = TF_DIM
+    prepared: DataFrame,
+    train: DataFrame | None = None,
+    tf_dim: int = TF_DIM,
+    f023: str = schema.F023,
+    f046: str = schema.F046,
 ) -> PipelineModel:
     """Fit on all prepared rows or, to keep held-out rows out of it, on ``train``."""
-    return feature_stages(tf_dim).fit(prepared if train is None else train)
+    return feature_stages(tf_dim, f023, f046).fit(prepared if train is None else train)
 
 
 def vectorize(

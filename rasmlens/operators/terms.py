@@ -7,12 +7,9 @@ hash collisions and in a form that plain SQL can check.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasmlens import schema
+from rasmlens import schema, workspace
 from rasmlens.operators.clean import with_column_once
 
-#: Entries of the term table that may be broadcast.
-HOT_TERMS = 100_000
-
 
 def term_counts(df: DataFrame, key: str, tokens: str = schema.TOKENS) -> DataFrame:
     """Rows ``(key, w, tf)``, counted inside each row so that no token is shuffled.
@@ -40,26 +37,21 @@ def term_idf(df: DataFrame, tokens: str = schema.TOKENS) -> DataFrame:
             .withColumn("idf", F.log((documents + 1) / (F.col("doc_freq") + 1))))
 
 
-def tfidf(
-    df: DataFrame, key: str, tokens: str = schema.TOKENS, hot_terms: int = HOT_TERMS
-) -> DataFrame:
+def tfidf(df: DataFrame, key: str, tokens: str = schema.TOKENS) -> DataFrame:
     """Rows ``(key, w, tf, idf, tfidf)``.
 
-    A frequent word pairs with most documents, so a join on the word would send
-    them to one task. Words holding more than 1/hot_terms of all pairs (fewer than
-    ``hot_terms`` words, by counting) are broadcast and their pairs stay where they
-    are; only the pairs of the other words are shuffled, at most that share per word.
+    The pairs are counted once and stored; document frequencies come from the stored
+    pairs. A word holds at most one pair per document; where a frequent one outgrows
+    the other partitions, adaptive execution splits it.
     """
-    pairs = term_counts(df, key, tokens)
-    terms = term_idf(df, tokens)
-    all_pairs = df.agg(F.sum(F.size(F.array_distinct(tokens)))).scalar()
-    is_hot = F.col("doc_freq") * F.lit(hot_terms) > all_pairs
-    hot = terms.where(is_hot)
-    frequent = pairs.join(F.broadcast(hot), "w")
-    rare = (pairs.join(F.broadcast(hot.select("w")), "w", "left_anti")
-            .join(terms.where(~is_hot), "w"))
-    columns = [key, "w", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")]
-    return frequent.select(*columns).unionByName(rare.select(*columns))
+    path = workspace.fresh_dir(df.sparkSession, "pairs")
+    term_counts(df, key, tokens).write.parquet(path)
+    pairs = df.sparkSession.read.parquet(path)
+    documents = df.agg(F.count("*")).scalar()
+    terms = pairs.groupBy("w").agg(F.count("*").alias("doc_freq")).select(
+        "w", F.log((documents + 1) / (F.col("doc_freq") + 1)).alias("idf"))
+    return pairs.join(terms, "w").select(
+        key, "w", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def scale_by_deviation(df: DataFrame, columns: list[str], suffix: str = "_scaled") -> DataFrame:

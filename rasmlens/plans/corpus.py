@@ -7,7 +7,7 @@ from rasmlens import operators as ops
 from rasmlens import schema, sources, workspace
 from rasmlens.functions import type_token_ratio
 from rasmlens.plans.datasets import (
-    corpus, documents, prepared, wide_conversations, wide_documents)
+    corpus, documents, labelled, prepared, prepared_labelled, table, wide_conversations, wide_documents)
 
 MEASURES = {
     schema.F023: "f023", schema.F046: "f046", schema.N_TOKENS: "n_tokens", "label": "label"}
@@ -54,7 +54,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace.fresh_dir(spark, "by_label.parquet")
     sources.write_parquet_by(
-        prepared(spark, sf_dir).select("doc_id", "n_tokens", "label"), path, "label")
+        prepared_labelled(spark, sf_dir).select("doc_id", "n_tokens", "label"), path, "label")
     return sources.read_parquet(spark, path)
 
 
@@ -63,11 +63,11 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.label_counts(prepared(spark, sf_dir))
+    return ops.label_counts(prepared_labelled(spark, sf_dir))
 
 
 def class_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.class_composition(prepared(spark, sf_dir))
+    return ops.class_composition(prepared_labelled(spark, sf_dir))
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,19 +88,20 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def ttr_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(ops.distribution_by_class(_with_ttr(spark, sf_dir), "ttr"))
+    rows = labelled(_with_ttr(spark, sf_dir))
+    return _rounded(ops.distribution_by_class(rows, "ttr"))
 
 
 def _distribution(column: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = prepared(spark, sf_dir).withColumn(column, F.col(column).cast("double"))
+        rows = prepared_labelled(spark, sf_dir).withColumn(column, F.col(column).cast("double"))
         return _rounded(ops.distribution_by_class(rows, column))
     return run
 
 
 def _density(column: str, sampled: bool = False):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = prepared(spark, sf_dir)
+        rows = prepared_labelled(spark, sf_dir)
         if sampled:
             rows = ops.hash_sample(rows, "doc_id", 0.5, seed=3)
         return ops.kernel_density(rows, column).select(
@@ -109,7 +110,7 @@ def _density(column: str, sampled: bool = False):
 
 
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepared(spark, sf_dir).select(
+    rows = prepared_labelled(spark, sf_dir).select(
         *[F.col(c).alias(short) for c, short in MEASURES.items()])
     return ops.correlation_matrix(rows, list(MEASURES.values())).withColumn("r", F.round("r", 6))
 
@@ -137,7 +138,22 @@ def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_bernoulli(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.bernoulli_sample(documents(spark, sf_dir), 0.5, seed=3).select("doc_id", "lang")
+    """Spark's own sample. It reads the table as it is, so that cores don't change the rows."""
+    return ops.bernoulli_sample(table(spark, sf_dir, "documents"), 0.5, seed=3).select("doc_id", "lang")
+
+
+def sample_bernoulli_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the table, rows drawn that it doesn't have or that were drawn twice, and whether
+    the share drawn lies within six standard deviations of one half."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    drawn = sample_bernoulli(spark, sf_dir).groupBy("doc_id", "lang").agg(F.count("*").alias("times"))
+    both = rows.join(drawn, ["doc_id", "lang"], "full").agg(
+        F.count("doc_id").alias("n"), F.count_if(F.col("times") > 1).alias("doubled"),
+        F.count("times").alias("drawn"))
+    n = rows.agg(F.count("*")).scalar()
+    return both.select(
+        n.alias("n"), (F.col("n") - n).alias("foreign"), "doubled",
+        (F.abs(F.col("drawn") - n / 2) <= 3 * F.sqrt(n)).alias("about_half"))
 
 
 def sample_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +189,29 @@ def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split_counts(parts).groupBy("doc_id").agg(F.count("*").alias("splits"))
 
 
+def random_split_two_stage_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In how many of the three splits each row landed (it must be one)."""
+    parts = ops.random_split_two_stage(prepared(spark, sf_dir).select("doc_id", "label"))
+    return _split_counts(parts).groupBy("doc_id").agg(F.count("*").alias("splits"))
+
+
+def ingest_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One split of three files: two with their columns in different orders, one without one of
+    them."""
+    path = workspace.fresh_dir(spark, "mixed")
+    wide = wide_documents(spark, sf_dir).drop("doc_id")
+    human, ai = wide.columns
+    turns = wide_conversations(spark, sf_dir).select(human)
+    for n, rows in enumerate((wide.select(human, ai), wide.select(ai, human), turns)):
+        sources.write_csv(rows, f"{path}/{n}")
+    return ops.ingest(spark, {"train": f"{path}/*"}).select(
+        F.md5("text").alias("text_md5"), "label", "model", "source")
+
+
 QUERIES = {
+    "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
+    "random_split_two_stage_cover": random_split_two_stage_cover,
+    "sample_bernoulli_subset": sample_bernoulli_subset,
     "melt_conversations": melt_conversations,
     "union_splits": union_splits,
     "ingest_csv": ingest_csv,

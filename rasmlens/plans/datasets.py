@@ -8,7 +8,9 @@ cleaning has to handle.
 """
 
 from collections.abc import Callable
+from functools import reduce
 from typing import TypeVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +27,27 @@ LATIN = "abcdefghijklmnopqrstuvwxyz" "ABCDEFGHIN" "|*#$"
 ARABIC = "ابسفيجغهعضشلحنوطذرمتكدقصةز" "أ\uFEF7آءإئٱؤ\uFEFBى" "\u064E\u0640\u0652\u064B"
 
 T = TypeVar("T")
-_per_session: dict[tuple[str, str, str], object] = {}
+_made: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when a file of the tables does that the stored results come from."""
+    files = reduce(DataFrame.unionByName, [
+        table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size",
+                                          "_metadata.file_modification_time").distinct()
+        for name in ("documents", "labels")])
+    return str(files.agg(F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()[0])
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], T]) -> T:
-    """Keep a written table or a fitted model for the other queries of the session."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _per_session:
-        _per_session[key] = make()
-    return _per_session[key]
+    """Keep a written table or a fitted model for the other queries of the session, for as
+    long as the input files stay as they are."""
+    kept = _made.setdefault(spark, {})
+    key = (sf_dir, name)
+    state = _state(spark, sf_dir)
+    if key not in kept or kept[key][0] != state:
+        kept[key] = (state, make())
+    return kept[key][1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,54 +68,59 @@ def _arabic(rows: DataFrame, *keep: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents: doc_id, text, label, model, source.
+    """All documents: doc_id, text, label (null where there is none), model, source.
 
-    The join comes before any text work, so that only labelled texts are processed:
-    the text rules cost more per byte than a shuffle does. ``doc_id`` is unique on
-    both sides, so no key can be hot; the join is broadcast only where Spark finds
-    the labels small.
+    The join comes before any text work. ``doc_id`` is unique on both sides, so no key can
+    be hot; the join is broadcast only where Spark finds the labels small.
     """
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    labelled = spread(table(spark, sf_dir, "documents")).join(labels, "doc_id")
-    return _arabic(labelled, "label").select(
+    rows = spread(table(spark, sf_dir, "documents")).join(labels, "doc_id", "left")
+    return _arabic(rows, "label").select(
         "doc_id", "text", "label", F.col("lang").alias("model"), "source")
 
 
+def labelled(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("label").isNotNull())
+
+
 def wide_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First user and first assistant text per conversation, as human and AI column."""
-    def first_by(role: str) -> Column:
-        return F.min_by("text", F.when(F.col("role") == role, F.col("turn")))
+    """One row per turn, with its text in the column of its role. A system turn is neither
+    human nor generated, so both columns are null."""
+    def said_by(role: str) -> Column:
+        return F.when(F.col("role") == role, to_arabic(F.col("text")))
 
-    return (table(spark, sf_dir, "conversations").groupBy("conv_id")
-            .agg(first_by("user").alias("human"), first_by("assistant").alias("ai"))
-            .select("conv_id",
-                    to_arabic(F.col("human")).alias(schema.HUMAN_COLUMN),
-                    to_arabic(F.col("ai")).alias("openai_generated_abstract")))
+    return table(spark, sf_dir, "conversations").select(
+        "conv_id", said_by("user").alias(schema.HUMAN_COLUMN),
+        said_by("assistant").alias("openai_generated_abstract"))
 
 
 def wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents with the text in the column of its label."""
     text, label = F.col("text"), F.col("label")
-    return corpus(spark, sf_dir).select(
+    return labelled(corpus(spark, sf_dir)).select(
         "doc_id",
         F.when(label == schema.HUMAN, text).alias(schema.HUMAN_COLUMN),
         F.when(label == schema.AI, text).alias("jais_generated_abstract"))
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled corpus, cleaned and with features, as a stored table.
+    """The corpus, cleaned and with features, as a stored table without the texts.
 
     Written once per session: every later query reads only the columns it needs, and
     the text rules are not evaluated again.
     """
     def write() -> str:
         path = workspace.fresh_dir(spark, "prepared")
-        prepare(corpus(spark, sf_dir)).write.parquet(path)
+        prepare(corpus(spark, sf_dir)).drop("text", schema.CLEAN).write.parquet(path)
         return path
 
     return spark.read.parquet(once(spark, sf_dir, "prepared", write))
 
 
+def prepared_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled(prepared(spark, sf_dir))
+
+
 def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as (doc_id, tokens), stop-words included, as a stored table."""
     def write() -> str:
@@ -115,9 +134,9 @@ def tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Lab:
-    """Fitted features, splits and classifiers of one data folder.
+    """Features fitted on all documents, and splits and classifiers of the labelled ones.
 
-    The feature vectors are stored once, one folder per split, so the passes of every
+    The labelled feature vectors are stored once, one folder per split, so the passes of every
     fit and evaluation read only their own rows and build nothing again. A lost
     executor costs only the partitions it was reading.
     """
@@ -126,7 +145,7 @@ class Lab:
         rows = prepared(spark, sf_dir)
         self.features = fit_features(rows)
         path = workspace.fresh_dir(spark, "vectors")
-        vectors = vectorize(self.features, rows, keep=("doc_id",))
+        vectors = vectorize(self.features, labelled(rows), keep=("doc_id",))
         vectors.withColumn("split", split_index("doc_id")).write.partitionBy("split").parquet(path)
         self.vectors = spark.read.parquet(path)
         self.train, self.validation, self.test = (
@@ -136,7 +155,7 @@ class Lab:
     def fit(self, *names: str) -> ModelArena:
         """The arena with at least the named classifiers (all by default) fitted."""
         estimators = default_estimators()
-        missing = [n for n in names or estimators if n not in self.arena.fitted]
+        missing = [n for n in names or estimators if n not in self.arena]
         self.arena.add_all({n: estimators[n] for n in missing})
         return self.arena
 

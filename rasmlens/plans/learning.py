@@ -1,28 +1,41 @@
 """Feature vectors, classifiers, metrics and saved models."""
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasmlens import operators as ops
 from rasmlens import schema, sources, workspace
 from rasmlens.operators.features import TF_DIM
-from rasmlens.plans.datasets import lab, prepared
+from rasmlens.plans.datasets import lab, prepared, prepared_labelled
 
 #: The rule whose predictions SQL can reproduce: more tokens than this means AI.
 RULE_TOKENS = 150
+#: A partial derivative below this counts as none.
+FLAT = 0.03
+RANKED_RULES = (50, 150, 400)
 
 
 def _vector_facts(features, rows: DataFrame) -> DataFrame:
-    """Per row: vector size, hashed term total, and the three scaled values."""
-    values = vector_to_array("features")
+    """Per row: vector size, hashed term total, and the three scaled values.
+
+    A vector's stored form is read in place, so vectors stay sparse: the three values are
+    those with the last indices, and a sparse vector leaves out zeros.
+    """
     facts = features.transform(rows).select(
-        "doc_id", F.size(values).alias("dim"),
-        F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, v: a + v).alias("tf_total"),
-        F.slice(values, TF_DIM + 1, 3).alias("style"))
-    return facts.select("doc_id", "dim", "tf_total", *[
-        F.round(F.get("style", F.lit(i)), 6).alias(name)
-        for i, name in enumerate(("f023_scaled", "f046_scaled", "n_tokens_scaled"))])
+        "doc_id", F.unwrap_udt("features").alias("v"), F.unwrap_udt("tf").alias("tf"))
+
+    def style(i: int) -> Column:
+        at = TF_DIM + i
+        sparse = F.get("v.values", F.array_position("v.indices", F.lit(at)).cast("int") - 1)
+        dense = F.get("v.values", F.lit(at))
+        return F.coalesce(F.when(F.col("v.indices").isNotNull(), sparse).otherwise(dense), F.lit(0.0))
+
+    names = ("f023_scaled", "f046_scaled", "n_tokens_scaled")
+    return facts.select(
+        "doc_id", F.coalesce(F.col("v.size"), F.size("v.values")).alias("dim"),
+        F.aggregate("tf.values", F.lit(0.0), lambda a, v: a + v).alias("tf_total"),
+        *[F.round(style(i), 6).alias(name) for i, name in enumerate(names)])
 
 
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,43 +49,86 @@ def feature_vectors_fit_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The entries of every hashed TF-IDF vector, as rows.
-
-    Stored vectors are read back as the plain structs they are stored as, which keeps
-    them sparse.
-    """
-    path = workspace.fresh_dir(spark, "tfidf")
-    features = lab(spark, sf_dir).features.transform(prepared(spark, sf_dir))
-    features.select("doc_id", "tf", "tfidf").write.parquet(path)
-    sparse = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
-    stored = spark.read.schema(f"doc_id bigint, tf {sparse}, tfidf {sparse}").parquet(path)
+    """The entries of every hashed TF-IDF vector, as rows."""
+    rows = lab(spark, sf_dir).features.transform(prepared(spark, sf_dir)).select(
+        "doc_id", F.unwrap_udt("tf").alias("tf"), F.unwrap_udt("tfidf").alias("tfidf"))
     entries = F.arrays_zip("tf.indices", F.col("tf.values").alias("tf"),
                            F.col("tfidf.values").alias("tfidf"))
-    return stored.select("doc_id", F.inline(entries)).select(
+    return rows.select("doc_id", F.inline(entries)).select(
         "doc_id", F.col("indices").alias("bucket"), F.col("tf").cast("bigint").alias("tf"),
         F.round("tfidf", 6).alias("tfidf"))
 
 
+def _scores(spark: SparkSession, scores: dict, digits: int) -> DataFrame:
+    row = spark.createDataFrame(
+        [(scores["n"], scores["acc"], scores["f1"], scores["auc"])],
+        "n long, accuracy double, f1 double, auc double")
+    return row.withColumns({c: F.round(c, digits) for c in ("accuracy", "f1", "auc")})
+
+
+def _naive_bayes(work):
+    return work.fit("NaiveBayes").model("NaiveBayes")
+
+
 def naive_bayes_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions for the whole corpus of the model fitted on the training split."""
+    """Predictions for the labelled corpus of the model fitted on the training split."""
     work = lab(spark, sf_dir)
-    model = work.fit("NaiveBayes").fitted["NaiveBayes"]
-    return model.transform(work.vectors).select("doc_id", "label", "prediction")
+    return _naive_bayes(work).transform(work.vectors).select("doc_id", "label", "prediction")
 
 
 def naive_bayes_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = lab(spark, sf_dir)
-    predictions = work.fit("NaiveBayes").fitted["NaiveBayes"].transform(work.test)
-    auc = ops.roc_auc(predictions, bins=0)
-    return ops.accuracy_and_f1(predictions).select(
-        "n", F.round("accuracy", 6).alias("accuracy"), F.round("f1", 6).alias("f1"),
-        F.round(F.lit(auc), 6).alias("auc"))
+    return _scores(spark, ops.score(_naive_bayes(work).transform(work.test), bins=0), 6)
+
+
+def naive_bayes_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out evaluation, four digits."""
+    work = lab(spark, sf_dir)
+    found = ops.evaluate_on_test(_naive_bayes(work), work.test, bins=0)
+    return spark.createDataFrame(
+        [(found["accuracy"], found["f1_score"], found["auc"])], "accuracy double, f1_score double, auc double")
 
 
 def naive_bayes_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = lab(spark, sf_dir)
-    model = work.fit("NaiveBayes").fitted["NaiveBayes"]
-    return ops.confusion_matrix(model.transform(work.test))
+    return ops.confusion_matrix(_naive_bayes(work).transform(work.test))
+
+
+def _by_hand(name: str):
+    """Whether a fitted linear model's predictions follow from its coefficients, per row."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        work = lab(spark, sf_dir)
+        model = work.fit(name).model(name)
+        weights = spark.createDataFrame(
+            [(i, float(w)) for i, w in enumerate(model.coefficients.toArray()) if w], "j int, w double")
+        rows = model.transform(work.vectors).select("doc_id", "prediction", F.unwrap_udt("features").alias("v"))
+        at = F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1))
+        cells = rows.select("doc_id", F.inline(F.arrays_zip(at.alias("j"), F.col("v.values").alias("x"))))
+        margins = cells.join(weights, "j").groupBy("doc_id").agg(F.sum(F.col("x") * F.col("w")).alias("margin"))
+        positive = F.coalesce("margin", F.lit(0.0)) + model.intercept > 0
+        return rows.join(margins, "doc_id", "left").select(
+            "doc_id", (F.col("prediction") == positive.cast("double")).alias("agrees"))
+    return run
+
+
+def log_reg_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the regularised loss is flat where logistic regression stopped after its 30
+    rounds: the largest partial derivative, in standardised features as it was fitted."""
+    work = lab(spark, sf_dir)
+    model = work.fit("LogReg").model("LogReg")
+    weights = spark.createDataFrame(
+        [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())], "j int, w double")
+    errors = model.transform(work.train).select(
+        "doc_id", (vector_to_array("probability")[1] - F.col("label")).alias("e"), F.unwrap_udt("features").alias("v"))
+    at = F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1))
+    cells = errors.select("e", F.inline(F.arrays_zip(at.alias("j"), F.col("v.values").alias("x"))))
+    n = errors.agg(F.count("*")).scalar()
+    slopes = cells.groupBy("j").agg(
+        F.sum(F.col("e") * F.col("x")).alias("g"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
+    deviation = F.sqrt((F.col("q") - F.col("s") * F.col("s") / n) / (n - 1))
+    step = F.col("g") / n / deviation + F.lit(0.01) * F.col("w") * deviation
+    return slopes.join(weights, "j").where(deviation > 0).agg(
+        (F.max(F.abs(step)) < FLAT).alias("flat"))
 
 
 def _train(name: str):
@@ -106,19 +162,27 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.confusion_matrix(model.transform(work.test))
 
 
-def _by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepared(spark, sf_dir).select(
-        "label", (F.col(schema.N_TOKENS) > RULE_TOKENS).cast("double").alias("prediction"),
+def _by_rule(spark: SparkSession, sf_dir: str, more_than: int = RULE_TOKENS) -> DataFrame:
+    return prepared_labelled(spark, sf_dir).select(
+        "label", (F.col(schema.N_TOKENS) > more_than).cast("double").alias("prediction"),
         F.col(schema.N_TOKENS).cast("double").alias("rawPrediction"))
 
 
 def rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predictions = _by_rule(spark, sf_dir)
-    auc = ops.roc_auc(predictions, bins=0)
-    scores = ops.accuracy_and_f1(predictions)
-    return scores.select(
-        "n", F.round("accuracy", 6).alias("accuracy"), F.round("f1", 6).alias("f1"),
-        F.round(F.lit(auc), 6).alias("auc"))
+    return _scores(spark, ops.score(_by_rule(spark, sf_dir), bins=0), 6)
+
+
+def _rule_trials(spark: SparkSession, sf_dir: str) -> list[ops.Trial]:
+    return [ops.Trial.of(f"over {n}", n, _by_rule(spark, sf_dir, n), auc_bins=0) for n in RANKED_RULES]
+
+
+def rule_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed rules ranked like fitted classifiers."""
+    return ops.ranking(spark, _rule_trials(spark, sf_dir)).select("model", "acc", "f1", "auc")
+
+
+def rule_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(ops.best_trial(_rule_trials(spark, sf_dir)).name,)], "model string")
 
 
 def rule_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,36 +194,55 @@ def rule_confusion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rf_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = lab(spark, sf_dir).fit("RandomForest").fitted["RandomForest"]
+    model = lab(spark, sf_dir).fit("RandomForest").model("RandomForest")
     return ops.feature_importance(spark, model)
 
 
+def rf_importance_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features that are reported, in order, and whether their weights can be shares."""
+    rows = rf_importance(spark, sf_dir).coalesce(1).withColumn("place", F.monotonically_increasing_id())
+    return rows.select("place", "feature", F.col("importance").between(0, 1).alias("is_share"))
+
+
+def _predict_all(models: dict, vectors: DataFrame, prefix: str) -> DataFrame:
+    for name, model in models.items():
+        vectors = model.transform(vectors).withColumnRenamed("prediction", f"{prefix}_{name}").drop(
+            "rawPrediction", "probability")
+    return vectors
+
+
 def save_load_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per classifier: rows, and rows on which the loaded copies agree."""
+    """Per classifier: rows, and rows on which the loaded copies agree.
+
+    One pass: the fitted features and then the loaded ones, each with all classifiers.
+    """
     work = lab(spark, sf_dir)
     folder = workspace.fresh_dir(spark, "models")
-    features = sources.load_features(
-        sources.save_fitted(work.features, f"{folder}/prep_features"))
-    rows = prepared(spark, sf_dir)
-    inputs = [schema.TOKENS, schema.F023, schema.F046, schema.N_TOKENS]
-    checks = []
-    for name, model in work.fit().fitted.items():
-        loaded = sources.load_classifier(spark, sources.save_classifier(model, folder, name))
-        before = model.transform(work.features.transform(rows)).select(
-            *inputs, F.col("prediction").alias("before"))
-        after = loaded.transform(features.transform(before))
-        checks.append(after.agg(
-            F.lit(name).alias("model"), F.count("*").alias("n"),
-            F.count_if(F.col("before") == F.col("prediction")).alias("n_same")))
-    return ops.union_all(checks)
+    fitted = {t.name: t.model for t in work.fit().trials}
+    features = sources.load_features(sources.save_fitted(work.features, f"{folder}/prep_features"))
+    loaded = {name: sources.load_classifier(spark, sources.save_classifier(model, folder, name))
+              for name, model in fitted.items()}
+    made = ["tf", "tfidf", "stylo_raw", "stylo", "features"]
+    before = _predict_all(fitted, work.features.transform(prepared_labelled(spark, sf_dir)), "before")
+    after = _predict_all(loaded, features.transform(before.drop(*made)), "after")
+    counted = after.agg(F.count("*").alias("n"), *[
+        F.count_if(F.col(f"before_{name}") == F.col(f"after_{name}")).alias(name) for name in fitted])
+    return counted.unpivot(["n"], list(fitted), "model", "n_same").select("model", "n", "n_same")
+
+
+def _sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = lab(spark, sf_dir)
+    _, model = work.fit().best("f1")
+    return ops.inference_sweep(model, work.test)
+
+
+def inference_sweep_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per setting the rows that were classified; the seconds are in ``inference_sweep``."""
+    return _sweep(spark, sf_dir).select("partitions", "rows")
 
 
 def inference_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = lab(spark, sf_dir)
-    _, model = work.fit().best("f1")
-    cores = spark.sparkContext.defaultParallelism
-    partitions = tuple(max(1, cores * f // 4) for f in (1, 2, 4, 8))  # 2, 4, 8, 16 on 8 cores
-    return ops.inference_sweep(model, work.test, partitions)
+    return _sweep(spark, sf_dir).select("partitions", "seconds")
 
 
 QUERIES = {
@@ -168,6 +251,10 @@ QUERIES = {
     "hashed_tfidf": hashed_tfidf,
     "naive_bayes_predictions": naive_bayes_predictions,
     "naive_bayes_test": naive_bayes_test,
+    "naive_bayes_evaluation": naive_bayes_evaluation,
+    "log_reg_by_hand": _by_hand("LogReg"),
+    "linear_svc_by_hand": _by_hand("LinearSVC"),
+    "log_reg_gradient": log_reg_gradient,
     "naive_bayes_confusion": naive_bayes_confusion,
     "train_naive_bayes": _train("NaiveBayes"),
     "train_log_reg": _train("LogReg"),
@@ -178,9 +265,13 @@ QUERIES = {
     "test_metrics": test_metrics,
     "confusion_matrix": confusion_matrix,
     "rule_metrics": rule_metrics,
+    "rule_ranking": rule_ranking,
+    "rule_best": rule_best,
     "rule_confusion": rule_confusion,
     "rule_confusion_counts": rule_confusion_counts,
     "rf_importance": rf_importance,
+    "rf_importance_range": rf_importance_range,
     "save_load_predict": save_load_predict,
     "inference_sweep": inference_sweep,
+    "inference_sweep_rows": inference_sweep_rows,
 }

@@ -1,8 +1,9 @@
 """The same results as DuckDB SQL over the driver's views."""
 
+from rasmlens import schema
 from rasmlens.functions import lexicon as lex
 from rasmlens.plans.datasets import ARABIC, LATIN
-from rasmlens.plans.learning import RULE_TOKENS
+from rasmlens.plans.learning import RANKED_RULES, RULE_TOKENS
 from rasmlens.plans.text import RESPELLED
 
 MARKS = r"\x{064B}-\x{0652}"
@@ -92,12 +93,12 @@ counted AS (SELECT *, len(tokens)::INTEGER AS n_tokens FROM tokenized),
 featured AS (SELECT *, CASE WHEN n_tokens > 0 THEN {F023} ELSE 0.0 END::DOUBLE AS f023,
                     {F046}::INTEGER AS f046 FROM counted)"""
 PREPARED = f"""{TOKENIZED},
-prepared AS (SELECT f.*, l.quality AS label, f.lang AS model
-             FROM featured f JOIN labels l USING (doc_id) WHERE n_tokens >= 5)"""
+everything AS (SELECT f.*, l.quality AS label, f.lang AS model
+               FROM featured f LEFT JOIN labels l USING (doc_id) WHERE n_tokens >= 5),
+prepared AS (SELECT * FROM everything WHERE label IS NOT NULL)"""
 WIDE = f"""wide AS (SELECT conv_id,
-  {arabic("arg_min(text, turn) FILTER (WHERE role = 'user')")} AS human,
-  {arabic("arg_min(text, turn) FILTER (WHERE role = 'assistant')")} AS ai
-  FROM conversations GROUP BY conv_id)"""
+  {arabic("CASE WHEN role = 'user' THEN text END")} AS human,
+  {arabic("CASE WHEN role = 'assistant' THEN text END")} AS ai FROM conversations)"""
 CONVERSATIONS = f"""conv AS (SELECT * FROM (
   SELECT conv_id, human AS text, 0 AS label, 'human' AS model, 'conversations' AS source FROM wide
   UNION ALL SELECT conv_id, ai, 1, 'openai', 'conversations' FROM wide)
@@ -160,13 +161,11 @@ def correlations() -> str:
 
 
 TERMS = """term_df AS (SELECT w, count(*) AS doc_freq FROM (
-  SELECT unnest(list_distinct(tokens)) AS w FROM prepared) GROUP BY w),
-idfs AS (SELECT w, doc_freq, ln(((SELECT count(*) FROM prepared) + 1) / (doc_freq + 1)) AS idf
+  SELECT unnest(list_distinct(tokens)) AS w FROM everything) GROUP BY w),
+idfs AS (SELECT w, doc_freq, ln(((SELECT count(*) FROM everything) + 1) / (doc_freq + 1)) AS idf
          FROM term_df)"""
 
-
-
-def scaled(fitted_on: str = "prepared") -> str:
+def scaled(fitted_on: str = "everything") -> str:
     return ", ".join(
         f"round({c} / (SELECT stddev_samp({c}) FROM {fitted_on}), 6) AS {c}_scaled"
         for c in ("f023", "f046", "n_tokens"))
@@ -174,7 +173,7 @@ def scaled(fitted_on: str = "prepared") -> str:
 
 SPLIT = f"""placed AS (SELECT *, CASE WHEN {position('doc_id', 2026)} < {int(0.70 * 2**32)}
   THEN 'train' WHEN {position('doc_id', 2026)} < {int((0.70 + 0.15) * 2**32)}
-  THEN 'validation' ELSE 'test' END AS split FROM prepared)"""
+  THEN 'validation' ELSE 'test' END AS split FROM everything)"""
 
 RULED = f"""ruled AS (SELECT label, CASE WHEN n_tokens > {RULE_TOKENS} THEN 1.0 ELSE 0.0 END::DOUBLE
   AS prediction, n_tokens AS score FROM prepared)"""
@@ -213,7 +212,7 @@ BLOCK = number("8 * i + 7", "8 * i + 5", "8 * i + 3", "8 * i + 1")
 TAIL = number("8 * (n // 4) + 5", "8 * (n // 4) + 3", "8 * (n // 4) + 1")
 STEP = f"(({rotated('xor(h, k)', 13)} * 5 + 3864292196) & {M32})"
 BUCKETS = f"""vocab AS (SELECT w, hex(w) AS hx, strlen(w) AS n
-  FROM (SELECT DISTINCT unnest(tokens) AS w FROM prepared)),
+  FROM (SELECT DISTINCT unnest(tokens) AS w FROM everything)),
 body AS (SELECT w, n, list_reduce([42::UBIGINT] || list_transform(
     list_transform(range(n // 4), lambda i: {BLOCK}), lambda k: {mixed('k')}),
     lambda h, k: {STEP}) AS h, CASE WHEN n % 4 > 0 THEN {TAIL} ELSE 0 END::UBIGINT AS k FROM vocab),
@@ -223,19 +222,19 @@ twice AS (SELECT w, {scrambled('h', 13, 3266489909)} AS h FROM once),
 buckets AS (SELECT w, ({scrambled('h', 16)} & 4095)::INTEGER AS bucket FROM twice)"""
 HASHED = f"""{BUCKETS},
 hashed AS (SELECT doc_id, bucket, count(*) AS tf
-  FROM (SELECT doc_id, unnest(tokens) AS w FROM prepared) JOIN buckets USING (w)
+  FROM (SELECT doc_id, unnest(tokens) AS w FROM everything) JOIN buckets USING (w)
   GROUP BY doc_id, bucket),
-bucket_idf AS (SELECT bucket, ln(((SELECT count(*) FROM prepared) + 1) / (count(*) + 1)) AS idf
+bucket_idf AS (SELECT bucket, ln(((SELECT count(*) FROM everything) + 1) / (count(*) + 1)) AS idf
   FROM hashed GROUP BY bucket),
 weighted AS (SELECT doc_id, bucket, tf, tf * idf AS tfidf FROM hashed JOIN bucket_idf USING (bucket))"""
 
 # Multinomial naive Bayes with smoothing 1 over the 4,099 values, fitted on the training rows.
 STYLE_VALUES = " UNION ALL ".join(
-    f"SELECT doc_id, {4096 + i}, {c} / (SELECT stddev_samp({c}) FROM prepared) FROM prepared"
+    f"SELECT doc_id, {4096 + i}, {c} / (SELECT stddev_samp({c}) FROM everything) FROM everything"
     for i, c in enumerate(("f023", "f046", "n_tokens")))
 BAYES = f"""{HASHED}, {SPLIT},
 cells AS (SELECT doc_id, bucket AS j, tfidf AS x FROM weighted UNION ALL {STYLE_VALUES}),
-train AS (SELECT doc_id, label FROM placed WHERE split = 'train'),
+train AS (SELECT doc_id, label FROM placed WHERE split = 'train' AND label IS NOT NULL),
 priors AS (SELECT label AS c, ln(count(*) + 1) - ln((SELECT count(*) FROM train) + 2) AS pi
   FROM train GROUP BY label),
 masses AS (SELECT label AS c, j, sum(x) AS s FROM cells JOIN train USING (doc_id) GROUP BY ALL),
@@ -247,7 +246,8 @@ scored AS (SELECT d.doc_id, t.c,
 guessed AS (SELECT doc_id, p.label, p.split, arg_max(c, score)::DOUBLE AS prediction,
     round(max(score) FILTER (WHERE c = 1), 8) AS score
   FROM scored JOIN placed p USING (doc_id) GROUP BY ALL)"""
-GUESSED_TEST = """ruled AS (SELECT label, prediction, score FROM guessed WHERE split = 'test')"""
+GUESSED_TEST = """ruled AS (SELECT label, prediction, score FROM guessed
+  WHERE split = 'test' AND label IS NOT NULL)"""
 
 METRICS = """SELECT (SELECT count(*) FROM ruled) AS n,
   round((SELECT avg((label = prediction)::INTEGER) FROM ruled), 6) AS accuracy,
@@ -258,7 +258,21 @@ METRICS = """SELECT (SELECT count(*) FROM ruled) AS n,
 CONFUSION = """SELECT label, count(*) FILTER (WHERE prediction = 0)::INTEGER AS pred_0,
   count(*) FILTER (WHERE prediction = 1)::INTEGER AS pred_1 FROM ruled GROUP BY label"""
 
-ROWS_IN_AND_OUT = "(SELECT count(*) FROM prepared)"
+ROWS_IN_AND_OUT = "(SELECT count(*) FROM everything)"
+
+
+def ruled(more_than: int) -> str:
+    return f"""ruled AS (SELECT label, CASE WHEN n_tokens > {more_than} THEN 1.0 ELSE 0.0 END::DOUBLE
+  AS prediction, n_tokens AS score FROM prepared)"""
+
+
+def ranked(more_than: int) -> str:
+    """The scores of one rule, four digits."""
+    return f"""SELECT 'over {more_than}' AS model, round(accuracy, 4) AS acc, round(f1, 4) AS f1, round(auc, 4) AS auc
+  FROM (WITH {ruled(more_than)}, {CLASS_F1}, {RANKS} {METRICS})"""
+
+
+RANKED = over_prepared(" UNION ALL ".join(map(ranked, RANKED_RULES)))
 
 SQL = {
     "class_profile": over_prepared("""SELECT label, count(*) AS n, round(avg(f023), 6) AS avg_f023,
@@ -284,6 +298,13 @@ SQL = {
     "stopword_filter_respelled": token_lists(
         without(words("clean"), RESPELLED.words(lex.DEFAULT_STOPWORDS))),
     "stopword_filter_antijoin": token_lists(without(words("clean"), lex.DEFAULT_STOPWORDS)),
+    "noun_hook": f"""WITH {TOKENIZED} SELECT doc_id,
+  len(list_filter(tokens, lambda w: starts_with(w, 'ال')))::INTEGER AS articles FROM counted""",
+    "prepare_stopword_table": f"""WITH {DOCS},
+cleaned AS (SELECT *, {normalized('text')} AS clean FROM docs),
+counted AS (SELECT *, len(tokens)::INTEGER AS n_tokens FROM (SELECT *, list_filter({words('clean')},
+    lambda w: length(w) <> 3 AND w NOT IN ({listed(lex.DEFAULT_STOPWORDS)})) AS tokens FROM cleaned))
+SELECT doc_id, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046 FROM counted WHERE n_tokens >= 5""",
     "min_token_filter": f"WITH {TOKENIZED} SELECT doc_id, n_tokens FROM counted WHERE n_tokens >= 5",
     "syllables_f023": features("f023"),
     "nouns_f046": features("f046"),
@@ -303,19 +324,19 @@ SQL = {
   UNION ALL SELECT md5(text), label, model, 'train' FROM labelled""",
     "csv_roundtrip": f"WITH {DOCS} SELECT doc_id, text FROM docs",
     "parquet_roundtrip": over_prepared("""SELECT md5(text) AS text_md5, clean AS clean_text_columns,
-  array_to_string(tokens, ' ') AS tokens, n_tokens, label, model, source FROM prepared"""),
+  array_to_string(tokens, ' ') AS tokens, n_tokens, label, model, source FROM everything"""),
     "parquet_partitioned": over_prepared("SELECT doc_id, n_tokens, label FROM prepared"),
-    "row_count": over_prepared("SELECT count(*) AS n FROM prepared"),
+    "row_count": over_prepared("SELECT count(*) AS n FROM everything"),
     "label_counts": over_prepared("SELECT label, count(*) AS n FROM prepared GROUP BY label"),
     "class_composition": over_prepared("""SELECT label, count(*) AS n,
   round(100.0 * count(*) / (SELECT count(*) FROM prepared), 1) AS percent
   FROM prepared GROUP BY label"""),
     "token_counts": over_prepared("""SELECT w, count(*) AS count
-  FROM (SELECT unnest(tokens) AS w FROM prepared) GROUP BY w"""),
+  FROM (SELECT unnest(tokens) AS w FROM everything) GROUP BY w"""),
     "top_tokens": over_prepared("""SELECT w, count(*) AS count
-  FROM (SELECT unnest(tokens) AS w FROM prepared) GROUP BY w ORDER BY count DESC, w LIMIT 20"""),
+  FROM (SELECT unnest(tokens) AS w FROM everything) GROUP BY w ORDER BY count DESC, w LIMIT 20"""),
     "type_token_ratio": over_prepared("""SELECT doc_id, label,
-  len(list_distinct(tokens)) / n_tokens AS ttr FROM prepared"""),
+  len(list_distinct(tokens)) / n_tokens AS ttr FROM everything"""),
     "ttr_by_class": distribution("len(list_distinct(tokens)) / n_tokens"),
     "token_distribution_by_class": distribution("n_tokens"),
     "noun_distribution_by_class": distribution("f046"),
@@ -325,26 +346,46 @@ SQL = {
     "corr_matrix": correlations(),
     "term_idf": over_prepared("SELECT w, doc_freq, round(idf, 9) AS idf FROM idfs", TERMS),
     "tfidf_exact": over_prepared("""SELECT doc_id, w, tf, round(tf * idf, 6) AS tfidf
-  FROM (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS w FROM prepared)
+  FROM (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS w FROM everything)
         GROUP BY doc_id, w) JOIN idfs USING (w)""", TERMS),
-    "stylo_scaled": over_prepared(f"SELECT doc_id, {scaled()} FROM prepared"),
+    "stylo_scaled": over_prepared(f"SELECT doc_id, {scaled()} FROM everything"),
     "sample_hash": f"""SELECT doc_id, lang FROM documents
   WHERE {position('doc_id', 3)} < {int(0.5 * 2**32)}""",
     "sample_limit": f"""SELECT doc_id, lang FROM documents
   WHERE {position('doc_id', 9)} < {int(0.05 * 2**32)} ORDER BY doc_id LIMIT 20""",
     "hash_split_counts": over_prepared(
         "SELECT split, label, count(*) AS n FROM placed GROUP BY split, label", SPLIT),
-    "random_split_cover": over_prepared("SELECT doc_id, 1::BIGINT AS splits FROM prepared"),
+    "random_split_cover": over_prepared("SELECT doc_id, 1::BIGINT AS splits FROM everything"),
+    "random_split_two_stage_cover": over_prepared("SELECT doc_id, 1::BIGINT AS splits FROM everything"),
+    "sample_bernoulli_subset": """SELECT count(*) AS n, 0::BIGINT AS foreign, 0::BIGINT AS doubled,
+  true AS about_half FROM documents""",
+    "ingest_csv_mixed_headers": f"""WITH {DOCS}, {WIDE}, {LABELLED}
+  SELECT md5(text) AS text_md5, label, model, 'train' AS source FROM (
+    SELECT text, label, model FROM labelled UNION ALL SELECT text, label, model FROM labelled
+    UNION ALL SELECT human, 0, 'human' FROM wide WHERE human IS NOT NULL AND {strip_ends('human')} <> '')""",
     "feature_vectors": over_prepared(f"""SELECT doc_id, 4099 AS dim,
-  n_tokens::DOUBLE AS tf_total, {scaled()} FROM prepared"""),
+  n_tokens::DOUBLE AS tf_total, {scaled()} FROM everything"""),
     "feature_vectors_fit_on_train": over_prepared(f"""SELECT doc_id, 4099 AS dim,
   n_tokens::DOUBLE AS tf_total, {scaled("(SELECT * FROM placed WHERE split = 'train')")}
-  FROM prepared""", SPLIT),
+  FROM everything""", SPLIT),
     "hashed_tfidf": over_prepared(
         "SELECT doc_id, bucket, tf, round(tfidf, 6) AS tfidf FROM weighted", HASHED),
     "naive_bayes_predictions": over_prepared(
-        "SELECT doc_id, label, prediction FROM guessed", BAYES),
+        "SELECT doc_id, label, prediction FROM guessed WHERE label IS NOT NULL", BAYES),
     "naive_bayes_test": over_prepared(METRICS, BAYES, GUESSED_TEST, CLASS_F1, RANKS),
+    "naive_bayes_evaluation": over_prepared(
+        f"SELECT round(accuracy, 4) AS accuracy, round(f1, 4) AS f1_score, round(auc, 4) AS auc FROM ({METRICS})",
+        BAYES, GUESSED_TEST, CLASS_F1, RANKS),
+    "log_reg_by_hand": over_prepared("SELECT doc_id, true AS agrees FROM prepared"),
+    "linear_svc_by_hand": over_prepared("SELECT doc_id, true AS agrees FROM prepared"),
+    "log_reg_gradient": "SELECT true AS flat",
+    "rf_importance_range": f"""SELECT place::BIGINT AS place, feature, true AS is_share
+  FROM (VALUES (0, '{schema.F023}'), (1, '{schema.F046}'), (2, '{schema.N_TOKENS}')) f(place, feature)""",
+    "inference_sweep_rows": over_prepared("""SELECT p::INTEGER AS partitions,
+  (SELECT count(*) FROM placed WHERE split = 'test' AND label IS NOT NULL) AS rows
+  FROM (VALUES (2), (4), (8), (16)) s(p)""", SPLIT),
+    "rule_ranking": RANKED,
+    "rule_best": f"SELECT arg_max(model, f1) AS model FROM ({RANKED})",
     "naive_bayes_confusion": over_prepared(CONFUSION, BAYES, GUESSED_TEST),
     "rule_metrics": over_prepared(METRICS, RULED, CLASS_F1, RANKS),
     "rule_confusion": over_prepared(CONFUSION, RULED),
@@ -354,12 +395,17 @@ SQL = {
   (SELECT count(*) FROM prepared) AS n_same
   FROM (VALUES ('NaiveBayes'), ('LogReg'), ('RandomForest'), ('LinearSVC')) m(model)"""),
     "stream_prepare": over_prepared(
-        "SELECT md5(text) AS text_md5, label, n_tokens, f023, f046 FROM prepared"),
+        "SELECT md5(text) AS text_md5, label, n_tokens, f023, f046 FROM everything"),
     "stream_naive_bayes": over_prepared(
         "SELECT md5(p.text) AS text_md5, label, prediction FROM guessed g JOIN "
-        "(SELECT doc_id, text FROM prepared) p USING (doc_id)", BAYES),
+        "(SELECT doc_id, text FROM everything) p USING (doc_id)", BAYES),
     "stream_naive_bayes_accuracy": over_prepared("""SELECT count(*) AS n,
-  round(avg((label = prediction)::INTEGER), 6) AS accuracy FROM guessed""", BAYES),
+  round(avg((label = prediction)::INTEGER), 6) AS accuracy FROM guessed WHERE label IS NOT NULL""", BAYES),
+    "stream_accuracy_with_unlabelled": over_prepared("""SELECT count(*) AS n,
+  round(avg(coalesce(label = prediction, false)::INTEGER), 6) AS accuracy FROM guessed""", BAYES),
+    "console_rows": "SELECT count(*) AS n FROM documents",
+    "timed_stream_rows": """SELECT quality AS label, count(*) AS n
+  FROM documents LEFT JOIN labels USING (doc_id) GROUP BY quality""",
     "stream_matches_batch": over_prepared(f"""SELECT {ROWS_IN_AND_OUT} AS n_stream,
   {ROWS_IN_AND_OUT} AS n_batch, {ROWS_IN_AND_OUT} AS n_shared"""),
 }

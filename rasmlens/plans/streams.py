@@ -1,4 +1,4 @@
-"""Structured Streaming over the labelled corpus."""
+"""Structured Streaming over the corpus; documents without a label have a null one."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from rasmlens import schema, sources, streaming, workspace
 from rasmlens.operators import prepare
-from rasmlens.plans.datasets import corpus, lab, once
+from rasmlens.plans.datasets import corpus, lab, labelled, once
 
 PREPARED_OUT = T.StructType([
     T.StructField("text_md5", T.StringType()),
@@ -24,13 +24,8 @@ def _feed(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "feed", write)
 
 
-def _files_per_trigger(spark: SparkSession) -> int:
-    """Five on a small machine, enough to keep the tasks of a larger one busy."""
-    return max(5, spark.sparkContext.defaultParallelism // 2)
-
-
 def stream_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = streaming.read_stream(spark, _feed(spark, sf_dir), _files_per_trigger(spark))
+    feed = streaming.read_stream(spark, _feed(spark, sf_dir))
     rows = prepare(feed).select(
         F.md5("text").alias("text_md5"), "label", schema.N_TOKENS,
         F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
@@ -46,14 +41,14 @@ def _predicted(spark: SparkSession, sf_dir: str, name: str | None = None) -> str
     def run() -> str:
         work = lab(spark, sf_dir)
         chosen = name or work.fit().best("f1")[0]
-        model = work.fit(chosen).fitted[chosen]
+        model = work.fit(chosen).model(chosen)
         folder = workspace.fresh_dir(spark, "served")
         output = f"{folder}/predictions"
         streaming.run_stream(
             spark, _feed(spark, sf_dir), output, f"{folder}/checkpoint",
             sources.save_fitted(work.features, f"{folder}/prep_features"),
             sources.save_classifier(model, folder, chosen),
-            max_files_per_trigger=_files_per_trigger(spark), interval=None)
+            interval=None)
         return output
     return once(spark, sf_dir, f"predicted by {name}", run)
 
@@ -65,9 +60,11 @@ def _predictions(name: str | None = None):
     return run
 
 
-def _accuracy(name: str | None = None):
+def _accuracy(name: str | None = None, unlabelled: bool = False):
+    """Accuracy on the labelled rows, or on all of them, those without a label being wrong."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         output = streaming.read_output(spark, _predicted(spark, sf_dir, name))
+        output = output if unlabelled else labelled(output)
         return streaming.stream_accuracy(output).withColumn("accuracy", F.round("accuracy", 6))
     return run
 
@@ -77,21 +74,42 @@ def stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = lab(spark, sf_dir)
     _, model = work.fit().best("f1")
     feed = spark.read.schema(schema.STREAM_IN).json(_feed(spark, sf_dir))
-    row = ["text_md5", "label", "prediction"]
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        digest = df.select(F.md5("text").alias("text_md5"), "label", "prediction")
-        return digest.groupBy(*row).agg(F.count("*").alias(name))
-
-    batch = counted(streaming.classify(feed, work.features, model), "in_batch")
-    stream = counted(streaming.read_output(spark, _predicted(spark, sf_dir)), "in_stream")
-    both = batch.join(stream, row, "full").na.fill(0, ["in_batch", "in_stream"])
+    def counted(df: DataFrame, batch: int, stream: int) -> DataFrame:
+        return df.select(F.md5("text").alias("text_md5"), "label", "prediction",
+                         F.lit(batch).alias("in_batch"), F.lit(stream).alias("in_stream"))
+
+    batch = counted(streaming.classify(feed, work.features, model), 1, 0)
+    stream = counted(streaming.read_output(spark, _predicted(spark, sf_dir)), 0, 1)
+    both = batch.unionByName(stream).groupBy("text_md5", "label", "prediction").agg(
+        F.sum("in_batch").alias("in_batch"), F.sum("in_stream").alias("in_stream"))
     return both.agg(
         F.sum("in_stream").alias("n_stream"), F.sum("in_batch").alias("n_batch"),
         F.sum(F.least("in_stream", "in_batch")).alias("n_shared"))
 
 
+def console_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a query to the console reported to have read."""
+    feed = streaming.read_stream(spark, _feed(spark, sf_dir)).select("label")
+    query = streaming.write_console(feed, interval=None)
+    query.awaitTermination()
+    return spark.createDataFrame([(sum(p["numInputRows"] for p in query.recentProgress),)], "n long")
+
+
+def timed_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written by a query on a timed trigger that is stopped once all have come."""
+    feed = streaming.read_stream(spark, _feed(spark, sf_dir))
+    output = workspace.fresh_dir(spark, "timed")
+    query = streaming.write_stream(
+        feed.select("text", "label"), output, workspace.fresh_dir(spark, "checkpoint"), interval="1 second")
+    query.processAllAvailable()
+    streaming.run_for(query, 1)
+    return streaming.read_output(spark, output, schema.STREAM_IN).groupBy("label").agg(F.count("*").alias("n"))
+
+
 QUERIES = {
+    "console_rows": console_rows,
+    "timed_stream_rows": timed_stream_rows,
+    "stream_accuracy_with_unlabelled": _accuracy("NaiveBayes", unlabelled=True),
     "stream_prepare": stream_prepare,
     "stream_naive_bayes": _predictions("NaiveBayes"),
     "stream_naive_bayes_accuracy": _accuracy("NaiveBayes"),

@@ -9,16 +9,18 @@ from rasmlens import schema
 from rasmlens.functions import DEFAULT, drop_stopwords_by_table, normalize, split_words
 from rasmlens.functions import looks_like_noun, normalize_arabic, syllables, tokenize
 from rasmlens.operators import add_stylometrics, add_tokens, clean, prepare, token_counts
-from rasmlens.plans.datasets import corpus, documents, tokenized
+from rasmlens.plans.datasets import corpus, documents, labelled, tokenized
 
 UNIFORM = replace(DEFAULT, hamza="hamza")
 MAKSURA = replace(DEFAULT, fold_alef_maksura=True)
 PUNCTUATION = replace(DEFAULT, punctuation_tokens=True)
 RESPELLED = replace(DEFAULT, normalize_lexicon=True)
+#: A noun counter from outside: tokens with the article.
+ARTICLES = replace(DEFAULT, noun_counter=lambda tokens: F.size(F.filter(tokens, lambda w: w.startswith("ال"))))
 
 
 def class_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare(corpus(spark, sf_dir))
+    rows = prepare(labelled(corpus(spark, sf_dir)))
     ttr = F.size(F.array_distinct(schema.TOKENS)) / F.col(schema.N_TOKENS)
     return rows.groupBy("label").agg(
         F.count("*").alias("n"),
@@ -68,6 +70,20 @@ def _features(*columns: str):
     return run
 
 
+def noun_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = add_stylometrics(add_tokens(documents(spark, sf_dir)), ARTICLES)
+    return rows.select("doc_id", F.col(schema.F046).alias("articles"))
+
+
+def prepare_stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole preparation with a table of stop-words: the list itself, and every word of
+    three letters that occurs."""
+    short = tokenized(spark, sf_dir).select(F.explode("tokens").alias("word")).where(F.length("word") == 3)
+    banned = spark.createDataFrame([(w,) for w in DEFAULT.stopwords], "word string").unionByName(short)
+    rows = prepare(documents(spark, sf_dir), stopwords=banned, keys=("doc_id",))
+    return rows.select("doc_id", schema.N_TOKENS, F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
+
+
 def _vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(add_tokens(documents(spark, sf_dir)))
 
@@ -101,6 +117,8 @@ QUERIES = {
     "stopword_filter_respelled": _tokens(lambda clean: tokenize(clean, RESPELLED)),
     "stopword_filter_antijoin": stopword_filter_antijoin,
     "min_token_filter": min_token_filter,
+    "noun_hook": noun_hook,
+    "prepare_stopword_table": prepare_stopword_table,
     "syllables_f023": _features("f023"),
     "nouns_f046": _features("f046"),
     "stylometrics": _features("f023", "f046", "n_tokens"),

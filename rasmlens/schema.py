@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Columns and types of the corpus, the stream and its output.
 CORPUS = T.StructType([
     T.StructField("text", T.StringType(), False),
     T.StructField("label", T.IntegerType(), False),
@@ -20,6 +21,7 @@ STREAM_OUT = T.StructType([
     T.StructField("prediction", T.DoubleType(), True),
 ])
 
+# Class numbers and the columns of raw and prepared tables.
 HUMAN, AI = 0, 1
 CLASSES = (HUMAN, AI)
 

@@ -1,5 +1,7 @@
 """CSV and Parquet sources and sinks."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,28 +24,59 @@ def read_csv(
 ) -> DataFrame:
     """CSV with header, quoted fields that may span lines, and an optional BOM.
 
-    Every column is a string, and cells in ``missing`` are null. A multi-line file is
-    read by one task, so large splits should be stored as many files.
+    Every column is a string, and cells in ``missing`` are null. Every file is read by its
+    own header: files of one folder may have their columns in any order, and a column that
+    a file lacks is null there. With ``columns``, a file with another header is an error.
+    Headers are told apart by their first line. A multi-line file is read by one task, so
+    large splits should be stored as many files.
     """
     reader = (spark.read.option("header", True).option("multiLine", True)
               .option("quote", '"').option("escape", '"').option("encoding", "UTF-8"))
     if columns:
         fields = [T.StructField(c, T.StringType(), True) for c in columns]
-        reader = reader.schema(T.StructType(fields)).option("enforceSchema", False)
-    cells = reader.csv(path)
+        cells = reader.schema(T.StructType(fields)).option("enforceSchema", False).csv(path)
+    else:
+        alike = _files_by_header(spark, path)
+        parts = [reader.csv(files) for files in alike] if len(alike) > 1 else [reader.csv(path)]
+        cells = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return cells.select(*[
         F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in cells.columns])
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files below a path, those with equal first lines together.
+
+    Only the names of files reach the driver, which lists them anyway.
+    """
+    lines = spark.read.text(path).select(
+        F.regexp_replace("value", "^\uFEFF|\r$", "").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    alike = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return [row["files"] for row in alike.orderBy("header").collect()]
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    """Write unless the path is there already; returns the path."""
-    (df.write.mode("ignore").option("header", True)
+    """Write unless a finished table is there already; returns the path.
+
+    A folder without the writer's success mark was left by a write that failed, and is
+    written again.
+    """
+    mode = "ignore" if _is_finished(df.sparkSession, path) else "overwrite"
+    (df.write.mode(mode).option("header", True)
        .option("quote", '"').option("escape", '"').option("quoteAll", True)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     return path
 
 
+def _is_finished(spark: SparkSession, path: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def write_splits(splits: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """One CSV per named split, existing ones left as they are."""
     return {name: write_csv(df, f"{folder}/arabic_abstracts_{name}.csv")

@@ -77,8 +77,10 @@ def read_output(
 
 
 def stream_accuracy(output: DataFrame) -> DataFrame:
-    """One row: number of predictions and share of right ones (0.0 without any)."""
-    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    """One row: number of predictions and share of right ones (0.0 without any). A row
+    without a label counts, and is not right."""
+    hit = F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
+    right = F.avg(hit.cast("double"))
     return output.agg(F.count("*").alias("n"), F.coalesce(right, F.lit(0.0)).alias("accuracy"))
 
 

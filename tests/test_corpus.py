@@ -97,25 +97,40 @@ def test_workspace_uses_the_configured_folder(spark):
 
 
 def test_workspace_without_a_configured_folder():
-    class Context:
-        master, folder = "local[2]", None
+    class Session:
+        class sparkContext:
+            folder = None
 
-        def getCheckpointDir(self):
-            return self.folder
+            @classmethod
+            def getCheckpointDir(cls):
+                return cls.folder
 
-        def setCheckpointDir(self, path):
-            self.folder = path
+        conf = {"spark.sql.warehouse.dir": "shared:/warehouse/"}
 
-    class Session:
-        sparkContext = Context()
-        conf = {}
+    assert workspace.shared_dir(Session) == "shared:/warehouse/_work"
+    Session.sparkContext.folder = "shared:/checkpoints/"
+    assert workspace.shared_dir(Session) == "shared:/checkpoints"
 
-    local = Session()
-    assert workspace.shared_dir(local) == local.sparkContext.folder
-    Session.sparkContext = Context()
-    Session.sparkContext.master = "spark://cluster:7077"
-    with pytest.raises(ValueError):
-        workspace.shared_dir(Session())
+
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
+    human, ai = "original_abstract", "jais_generated_abstract"
+    for name, columns, rows in (("a", (human, ai), [("h1", "a1"), ("h2", "a2")]), ("b", (ai, human), [("a3", "h3")]),
+                                ("c", (human,), [("h4",)]), ("d", (human, ai), [])):
+        spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).coalesce(1).write.option(
+            "header", True).csv(f"{tmp_path}/{name}")
+    long = ops.ingest(spark, {"train": f"{tmp_path}/*"}).select("text", "label", "model").collect()
+    assert sorted(map(tuple, long)) == sorted(
+        [(f"h{i}", 0, "human") for i in (1, 2, 3, 4)] + [(f"a{i}", 1, "jais") for i in (1, 2, 3)])
+
+
+def test_half_written_csv_is_written_again(spark, tmp_path):
+    df = spark.createDataFrame([("x",), ("y",)], "text string")
+    path = sources.write_csv(df, str(tmp_path / "out"))
+    (tmp_path / "out" / "_SUCCESS").unlink()
+    sources.write_csv(df.union(df), path)
+    assert sources.read_csv(spark, path).count() == 4
+    sources.write_csv(df, path)
+    assert sources.read_csv(spark, path).count() == 4
 
 
 def test_counts_and_composition(spark):
@@ -163,12 +178,13 @@ def numpy_density(values, points=200):
     [math.sin(i) for i in range(300)],
 ])
 def test_density_equals_brute_force(spark, values):
-    other = [(1, 1.0), (2, 3.0), (2, 4.0)]
+    other = [(1, 1.0), (2, 3.0), (2, 4.0), (None, 1.0), (None, 2.0)]
     rows = [(0, v) for v in values] + other + [(0, None), (0, math.nan)]
     df = spark.createDataFrame(rows, "label int, v double").repartition(5)
     got = ops.kernel_density(df, "v").orderBy("i").collect()
     xs, ys = numpy_density(values)
-    assert {r["label"] for r in got} == {0} and len(got) == 200
+    assert {r["label"] for r in got} == {0, 2} and len(got) == 400  # every label with two values
+    got = [r for r in got if r["label"] == 0]
     np.testing.assert_allclose([r["x"] for r in got], xs, rtol=1e-12, atol=1e-12)
     np.testing.assert_allclose([r["density"] for r in got], ys, rtol=1e-9, atol=1e-15)
 
@@ -183,13 +199,20 @@ def corpus_rows():
             for i in range(60)] + [(99, [])]
 
 
-@pytest.mark.parametrize("hot_terms", [1, 50, 100_000])
-def test_tfidf_equals_brute_force(spark, hot_terms):
-    """All words shuffled; a mix of broadcast and shuffled words; all words broadcast."""
+def test_tfidf_reads_the_tokens_at_most_twice(spark, tmp_path, plan_of):
+    path = str(tmp_path / "tokens")
+    spark.createDataFrame(corpus_rows(), "id int, tokens array<string>").write.parquet(path)
+    plan = plan_of(ops.tfidf(spark.read.parquet(path), "id"))
+    assert plan.count("Generate") == 0  # counted once, before, and stored
+    assert plan.count("FileScan") - plan.count("ReusedExchange") <= 4
+    assert plan.count("tokens:array") == 0
+
+
+def test_tfidf_equals_brute_force(spark):
     rows = corpus_rows()
     df = spark.createDataFrame(rows, "id int, tokens array<string>")
     got = {(r["id"], r["w"]): (r["tf"], r["tfidf"])
-           for r in ops.tfidf(df, "id", hot_terms=hot_terms).collect()}
+           for r in ops.tfidf(df, "id").collect()}
     frequency = {}
     for _, tokens in rows:
         for w in set(tokens):

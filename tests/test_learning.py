@@ -74,15 +74,14 @@ def test_arena_fits_and_ranks(spark, arena):
     scores = [r["f1"] for r in table]
     assert scores == sorted(scores, reverse=True) and scores[0] > 0.9
     name, model = arena.best()
-    assert arena.results[name]["f1"] == max(r["f1"] for r in arena.results.values())
-    assert model is arena.fitted[name]
+    won = next(t for t in arena.trials if t.name == name)
+    assert won.f1 == max(t.f1 for t in arena.trials) and model is won.model is arena.model(name)
 
 
 def test_undefined_scores_never_win(spark):
     arena = ModelArena(spark.range(1), spark.range(1))
-    arena.results = {"a": {"acc": 0.5, "f1": math.nan, "auc": math.nan, "train_sec": 1.0},
-                     "b": {"acc": 0.1, "f1": 0.1, "auc": math.nan, "train_sec": 1.0}}
-    arena.fitted = {"a": "model a", "b": "model b"}
+    arena.trials = [ops.Trial("a", "model a", 0.5, math.nan, math.nan, 1.0),
+                    ops.Trial("b", "model b", 0.1, 0.1, math.nan, 1.0)]
     assert arena.best("f1") == ("b", "model b")
     assert [r["model"] for r in arena.summary(spark).collect()] == ["b", "a"]
     with pytest.raises(ValueError):
@@ -126,24 +125,40 @@ def test_confusion_matrix_has_all_classes(spark):
     df = spark.createDataFrame([(0, 0.0), (1, 0.0), (1, 0.0)], "label int, prediction double")
     assert sorted(map(tuple, ops.confusion_matrix(df).collect())) == [(0, 1, 0), (1, 2, 0)]
     assert {tuple(r) for r in ops.confusion_counts(df).collect()} == {(0, 0.0, 1), (1, 0.0, 2)}
+    foreign = spark.createDataFrame([(0, 2.0)], "label int, prediction double")
+    with pytest.raises(Exception, match="outside the classes"):
+        ops.confusion_matrix(foreign).collect()
+
+
+def test_scores_take_their_classes_from_the_data(spark):
+    rows = [(0, 0.0), (0, 2.0), (2, 2.0), (2, 2.0), (3, 0.0), (None, 0.0), (1, None)]
+    df = spark.createDataFrame(rows, "label int, prediction double")
+    got = ops.accuracy_and_f1(df).first()
+    f1 = 0.0
+    for c in (0, 1, 2, 3):
+        actual = sum(a == c for a, _ in rows)
+        guessed = sum(p == c for _, p in rows)
+        f1 += actual * 2 * sum(a == p == c for a, p in rows) / (actual + guessed)
+    assert (got["n"], got["labels"]) == (7, 4)
+    assert got["accuracy"] == pytest.approx(3 / 7) and got["f1"] == pytest.approx(f1 / 7)
 
 
 def test_held_out_evaluation(arena, vectors):
     _, _, test = ops.hash_split(vectors, "id")
-    got = ops.evaluate_on_test(arena.fitted["LogReg"], test)
+    got = ops.evaluate_on_test(arena.model("LogReg"), test)
     rows = got["predictions"].select("label", "prediction").collect()
     assert got["accuracy"] == round(sum(r[0] == r[1] for r in rows) / len(rows), 4)
     assert 0.5 < got["auc"] <= 1.0
 
 
 def test_importance_of_the_style_block(spark, arena):
-    forest = arena.fitted["RandomForest"]
+    forest = arena.model("RandomForest")
     got = ops.feature_importance(spark, forest).collect()
     assert [r["feature"] for r in got] == [schema.F023, schema.F046, "n_tokens"]
     assert [r["importance"] for r in got] == [
         round(float(x), 5) for x in forest.featureImportances.toArray()[-3:]]
     with pytest.raises(ValueError):
-        ops.feature_importance(spark, arena.fitted["LogReg"])
+        ops.feature_importance(spark, arena.model("LogReg"))
 
 
 def test_saved_models_predict_the_same(spark, arena, features, prepared, vectors):
@@ -153,7 +168,7 @@ def test_saved_models_predict_the_same(spark, arena, features, prepared, vectors
     same = rebuilt.join(vectors.withColumnRenamed("features", "before"), "id").where(
         vector_to_array("features") == vector_to_array("before"))
     assert same.count() == vectors.count()
-    for name, model in arena.fitted.items():
+    for name, model in ((t.name, t.model) for t in arena.trials):
         path = sources.save_classifier(model, folder, name)
         sources.save_classifier(model, folder, name)
         assert path == f"{folder}/clf_{name}"
@@ -173,8 +188,9 @@ def test_unknown_classifiers_are_refused(spark, vectors):
 
 def test_sweep_restores_the_setting(spark, arena, vectors):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    got = ops.inference_sweep(arena.fitted["LogReg"], vectors, (2, 3)).collect()
+    got = ops.inference_sweep(arena.model("LogReg"), vectors, (2, 3)).collect()
     assert [r["partitions"] for r in got] == [2, 3] and all(r["seconds"] > 0 for r in got)
+    assert all(r["rows"] == vectors.count() for r in got)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 

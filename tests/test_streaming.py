@@ -115,6 +115,11 @@ def test_feed_holds_every_row(spark, tmp_path):
     assert Counter(map(tuple, back.collect())) == Counter(rows(50))
 
 
+def test_rows_without_a_label_are_not_right(spark):
+    rows = spark.createDataFrame([("a", None, 1.0), ("b", None, 0.0), ("c", 1, 1.0), ("d", 0, 1.0)], schema.STREAM_OUT)
+    assert tuple(streaming.stream_accuracy(rows).first()) == (4, 0.25)
+
+
 def test_accuracy_without_output(spark):
     empty = spark.createDataFrame([], schema.STREAM_OUT)
     assert tuple(streaming.stream_accuracy(empty).first()) == (0, 0.0)

@@ -103,17 +103,20 @@ def test_stopwords_match_raw_spelling_unless_told_otherwise(spark):
     assert apply(spark, lambda c: tokenize(c, respelled), cleaned) == [["البيت"]]
 
 
-def test_stopword_table_gives_the_literal_list(spark):
-    table = spark.createDataFrame([("في",), ("من",), (None,), ("في",)], "word string")
-    assert DEFAULT.with_stopword_table(table).stopwords == ("في", "من")
-    with pytest.raises(ValueError):
-        TextProfile(stopwords=tuple(str(i) for i in range(20_001)))
-
-
-@pytest.mark.parametrize("limit, extra", [(100, 0), (3, 50), (1, 0)])
-def test_stopword_antijoin_equals_literal_filter(spark, limit, extra):
-    """Broadcast list; list that fits only after the cut to used words; salted shuffle."""
-    rng = random.Random(limit)
+def test_long_lists_are_allowed_as_literals_and_as_a_table(spark):
+    listed = [str(i) for i in range(30_000)]
+    assert len(TextProfile(stopwords=tuple(listed)).stopwords) == 30_000
+    banned = spark.createDataFrame([(w,) for w in ("كتاب", "درس", None)] + [(w,) for w in listed], "word string")
+    rows = spark.createDataFrame(
+        [(1, "كتاب قلم درس ورق معلم طالب علم"), (2, "كتاب درس"), (3, None)], "id int, text string")
+    got = prepare(rows, stopwords=banned, keys=("id",), f023="a", f046="b")
+    assert [(r["id"], r["tokens"]) for r in got.collect()] == [(1, "قلم ورق معلم طالب علم".split())]
+    assert {"a", "b"} < set(got.columns)
+
+
+@pytest.mark.parametrize("extra, salts", [(0, 5), (50, 1), (1000, 16)])
+def test_stopword_antijoin_equals_literal_filter(spark, extra, salts):
+    rng = random.Random(extra)
     vocabulary = [f"w{i}" for i in range(12)]
     banned = ["w0", "w1", "w2"]
     rows = [(i, i % 2, [rng.choice(vocabulary) for _ in range(rng.randrange(9))], "x")
@@ -121,7 +124,7 @@ def test_stopword_antijoin_equals_literal_filter(spark, limit, extra):
     df = spark.createDataFrame(rows, "id int, part int, tokens array<string>, other string")
     words = spark.createDataFrame(
         [(w,) for w in banned + [f"unused{i}" for i in range(extra)]], "word string")
-    got = drop_stopwords_by_table(df, words, ["id", "part"], broadcast_limit=limit, salts=5)
+    got = drop_stopwords_by_table(df, words, ["id", "part"], salts=salts)
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect())) == [
         (i, p, [t for t in ts if t not in banned], o) for i, p, ts, o in rows]
