@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rasmlens.llm.frames import bound_batches
+from rasmlens.llm.frames import prepare_workers
 
 UNDETERMINED = "und"
 #: Trigrams are hashed to so many bins.
@@ -80,7 +80,7 @@ def train(
     a hash of ``key``. The model has one row of ``BINS`` numbers per language, which is also
     all that reaches the driver.
     """
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
     rate = (docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("_lang"))
@@ -217,7 +217,7 @@ def identify(
     get equal results; an empty table gives no rows. Of ``keep``, columns named like the
     added ones are dropped. One pass without a shuffle.
     """
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
     added = T.StructType([

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rasmlens.llm.frames import bound_batches
+from rasmlens.llm.frames import prepare_workers
 
 #: Entries, and characters of an entry, that a worker's table of encoded words may hold.
 TABLE_ENTRIES, TABLE_CHARS = 200_000, 40
@@ -96,7 +96,7 @@ def pack(
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     chosen = docs.select(F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     kind = chosen.schema["id"].dataType
     out = T.StructType([

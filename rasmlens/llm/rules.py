@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rasmlens.llm.frames import bound_batches, stored
+from rasmlens.llm.frames import prepare_workers, stored
 
 ACCURACY = 0.01
 #: Values below this count as zero.
@@ -61,7 +61,7 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 def with_counts(docs: DataFrame, id: str, text: str, groups: tuple[str, ...]) -> DataFrame:
     """``id, g0, g1, ...`` and the counts of every whole text."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     keys = [F.col(g).cast("string").alias(f"g{i}") for i, g in enumerate(groups)]
     chosen = docs.select(F.col(id).alias("id"), *keys, F.col(text).alias("text"))
     out = T.StructType([f for f in chosen.schema.fields if f.name != "text"]

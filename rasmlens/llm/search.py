@@ -13,11 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rasmlens.llm.frames import bound_batches, stored
+from rasmlens.llm.frames import prepare_workers, stored
 from rasmlens.llm.sharding import SAMPLE_PER_RANGE, range_of
 
 #: Candidates held in memory together, and the longest ones that give first thresholds.
@@ -142,7 +141,7 @@ def top_k(
     them in batches. The broadcast block has ``seed_rows`` vectors.
     """
     spark = candidates.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     base = integer_vectors(candidates, id, vector, scale)
     asked = (integer_vectors(queries, id, vector, scale).groupBy("id").agg(F.min("v").alias("v")))
     length2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
@@ -223,14 +222,17 @@ def _collected(seed: DataFrame, dims: int, axes: np.ndarray) -> Block:
     return Block(ids, vectors, axes)
 
 
-@F.pandas_udf(T.LongType())
-def descending(length: pd.Series, number: pd.Series) -> pd.Series:
+def descending(length: str, number: str) -> Column:
     """A key below 2**62 that falls as the length grows; its low bits, a hash of the row's
     number, tell rows of one length apart."""
-    bits = length.to_numpy("f8").view("i8") >> 20
-    with np.errstate(over="ignore"):
-        low = (number.to_numpy("i8").view("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(45)
-    return pd.Series((((1 << 43) - 1 - bits) << 19) | low.astype("i8"))
+    @F.pandas_udf("long")
+    def make(lengths: pd.Series, numbers: pd.Series) -> pd.Series:
+        bits = lengths.to_numpy("f8").view("i8") >> 20
+        with np.errstate(over="ignore"):
+            low = (numbers.to_numpy("i8").view("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(45)
+        return pd.Series((((1 << 43) - 1 - bits) << 19) | low.astype("i8"))
+
+    return make(length, number)
 
 
 def _bounds(keyed: DataFrame, n: int, block_rows: int) -> np.ndarray:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rasmlens.llm.frames import stored
+from rasmlens.llm.frames import prepare_workers, stored
 
 #: Ranges for one shard, and sampled keys for one range.
 RANGES_PER_SHARD, SAMPLE_PER_RANGE = 16, 16
@@ -82,6 +82,7 @@ def shard(
     Records with equal keys stand in the order in which they were read, so equal rows each
     have a place of their own. Other columns are left out; an empty table gives no rows.
     """
+    prepare_workers(docs.sparkSession)
     numbered = docs.select(
         F.col(id).alias("id"), (F.coalesce(F.octet_length(text), F.lit(0)) + row_bytes).cast("long").alias("size"),
         F.crc32(F.col(text).cast("binary")).alias("text_crc32"),

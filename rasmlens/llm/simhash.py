@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from rasmlens.llm import golay
 from rasmlens.llm.components import components
-from rasmlens.llm.frames import bound_batches, digest, stored
+from rasmlens.llm.frames import prepare_workers, digest, stored
 
 MAX_BITS = 4
 #: Widths of the segments, low bits first; none may exceed the code's length.
@@ -51,7 +51,7 @@ def fingerprint(text: str | None, window: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, keep: list[Column], text: str = "text", window: int = 4) -> DataFrame:
     """Columns ``keep`` and ``fp``, the fingerprint as a signed long."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     chosen = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
     out = T.StructType([chosen.schema["row"], T.StructField("fp", T.LongType())])
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasmlens.llm.frames import digest, stored
+from rasmlens.llm.frames import digest, prepare_workers, stored
 
 KEYS_PER_SHARD = 1 << 18
 #: Cascades that are handed to the executors at once. More are handed out in passes.
@@ -149,6 +149,7 @@ class Cascade:
         Distinct keys are dealt out by hash to shards of about ``keys_per_shard``, so no
         group is larger than that, however often one key occurs.
         """
+        prepare_workers(universe.sparkSession)
         h1, h2 = digest(F.col(key))
         rows = universe.select(h1.alias("h1"), h2.alias("h2"), F.lit(0).alias("l"), F.lit(1).alias("u")
                                ).where(F.col(key).isNotNull())
@@ -174,6 +175,7 @@ class Cascade:
         ``broadcast_bytes``; a list that needs more takes several passes, each over the
         rows of its own shards.
         """
+        prepare_workers(rows.sparkSession)
         largest = self.filters.agg(F.max(F.length("blob"))).first()[0] or 1
         each = max(1, self.broadcast_bytes // largest)
         h1, h2 = digest(F.col(key))
