@@ -86,7 +86,9 @@ def train(
     rate = (docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("_lang"))
             .agg((max_rows_per_language / F.count("*")).alias("rate")))
     place = F.shiftrightunsigned(F.xxhash64("key"), 11) / float(1 << 53)
-    chosen = labelled.join(rate, F.col("lang") == F.col("_lang")).where(place < F.col("rate")).select("lang", "text")
+    # One row per language, as the model has; so texts need not be dealt out by language.
+    chosen = labelled.join(F.broadcast(rate), F.col("lang") == F.col("_lang")).where(
+        place < F.col("rate")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

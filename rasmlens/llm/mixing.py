@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from rasmlens.llm.frames import WORD, stored
 
+#: How many digits of the order keys are looked at, one step after the other.
+KEY_DIGITS = (2, 4)
+
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def order_key(seed: int, epoch: Column, id: Column) -> Column:
-    """32 hex digits; the first four deal the documents of a leaf out to buckets."""
+    """32 hex digits, the place of a document in its leaf's order."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"),
                              F.coalesce(id.cast("string"), F.lit(""))).cast("binary"))
 
@@ -91,26 +94,35 @@ def _same(levels: list[str]) -> Column:
 def cut_keys(rows: DataFrame, levels: list[str], budgets: DataFrame, seed: int) -> DataFrame:
     """Per leaf: ``epochs`` read whole, and ``cut``, the last order key of the prefix.
 
-    The tokens of a leaf are summed by bucket; only the documents of the one bucket in
-    which the prefix ends are put in order. A bucket holds about 1/65,536 of a leaf.
+    The tokens of a leaf are summed by the first digits of the order keys, to find the
+    digits at which the prefix ends; the next digits are looked at for those documents
+    only. So 256 sums of a leaf are put in order at a time, and in the end the documents of
+    one in 65,536 parts of the leaf.
     """
     leaves = stored(budgets.withColumn("epochs", F.when(
         F.col("leaf_tokens") > 0, F.floor(F.col("leaf_budget") / F.col("leaf_tokens"))).otherwise(0).cast("long"))
         .withColumn("rest", F.col("leaf_budget") - F.col("epochs") * F.col("leaf_tokens")), "budgets")
-    side = leaves.select(*[F.col(c).alias(f"_{c}") for c in levels], "epochs", "rest")
-    keyed = rows.join(side, _same(levels)).where("rest > 0").select(
+    open_leaves = leaves.where("rest > 0").select(
+        *[F.col(c).alias(f"_{c}") for c in levels], "epochs", "rest")
+    keyed = rows.join(open_leaves, _same(levels)).select(
         *levels, "tokens", "rest", order_key(seed, F.col("epochs"), F.col("id")).alias("key"))
-    bucket = F.substring("key", 1, 4)
-    running = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (keyed.groupBy(*levels, "rest", bucket.alias("bucket")).agg(F.sum("tokens").alias("tokens"))
-            .withColumn("before", F.coalesce(F.sum("tokens").over(running), F.lit(0)))
-            .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("tokens") >= F.col("rest")))
-            .select(*[F.col(c).alias(f"_{c}") for c in levels], F.col("bucket").alias("_bucket"), "before"))
-    last = keyed.withColumn("bucket", bucket).join(
-        stored(ends, "ends"), _same(levels) & (F.col("bucket") == F.col("_bucket")))
-    per_key = last.groupBy(*levels, "rest", "before", "key").agg(F.sum("tokens").alias("tokens"))
-    in_order = Window.partitionBy(*levels).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (per_key.withColumn("sum", F.col("before") + F.coalesce(F.sum("tokens").over(in_order), F.lit(0)))
+
+    inside, known = keyed.withColumn("before", F.lit(0).cast("long")), [*levels, "rest", "before"]
+    by = Window.partitionBy(*levels)
+    for digits in KEY_DIGITS:
+        ahead = F.coalesce(F.sum("tokens").over(
+            by.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ends = (inside.groupBy(*known, F.substring("key", 1, digits).alias("digits"))
+                .agg(F.sum("tokens").alias("tokens"))
+                .withColumn("before", F.col("before") + ahead)
+                .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("tokens") >= F.col("rest")))
+                .select(*[F.col(c).alias(f"_{c}") for c in levels], "digits", "before"))
+        inside = keyed.join(stored(ends, "ends"), _same(levels) & (
+            F.substring("key", 1, digits) == F.col("digits")))
+    per_key = inside.groupBy(*known, "key").agg(F.sum("tokens").alias("tokens"))
+    ahead = F.coalesce(F.sum("tokens").over(
+        by.orderBy("key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = (per_key.withColumn("sum", F.col("before") + ahead)
             .where(F.col("sum") < F.col("rest")).groupBy(*levels).agg(F.max("key").alias("cut"))
             .select(*[F.col(c).alias(f"_{c}") for c in levels], "cut"))
     return stored(leaves.join(cuts, _same(levels), "left").select(

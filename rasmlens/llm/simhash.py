@@ -11,13 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasmlens.llm import golay
 from rasmlens.llm.components import components
-from rasmlens.llm.frames import prepare_workers, digest, stored
+from rasmlens.llm.frames import prepare_workers, stored
 
 MAX_BITS = 4
 #: Widths of the segments, low bits first; none may exceed the code's length.
@@ -30,18 +30,23 @@ SHORT_RUN = 8
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def fingerprint(text: str | None, window: int = 4) -> int:
-    """SimHash over the XXH64 hashes (seed 42) of all shingles; 0 for a text without words."""
+def shingle_hashes(text: str | None, window: int) -> np.ndarray:
+    """XXH64 (seed 42) of all shingles, repeats included; of the whole sequence where it has
+    fewer words; none for a text without words."""
     from xxhash import xxh64_intdigest
     words = (text or "").encode().translate(LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     last = max(0, len(words) - window)
-    hashes = np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(
+    return np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(
         starts[:last + 1].tolist(), ends[min(window, len(words)) - 1:].tolist())], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half the hashes."""
     ones = np.zeros(64, "i8")
     for at in range(0, len(hashes), 1 << 14):
         part = hashes[at:at + (1 << 14)]
@@ -49,6 +54,11 @@ def fingerprint(text: str | None, window: int = 4) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, window: int = 4) -> int:
+    """SimHash over all shingles; 0 for a text without words."""
+    return majority(shingle_hashes(text, window))
+
+
 def fingerprints(docs: DataFrame, keep: list[Column], text: str = "text", window: int = 4) -> DataFrame:
     """Columns ``keep`` and ``fp``, the fingerprint as a signed long."""
     prepare_workers(docs.sparkSession)
@@ -190,8 +200,9 @@ def candidate_links(distinct: DataFrame, most_held: int = MOST_HELD) -> DataFram
         if len(held) > 1:
             yield links(*_links_of_runs(held_keys, held))
 
-    keyed = distinct.mapInArrow(file, "key long, fp long")
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A fingerprint becomes some 76 rows, so few of them already make work for many tasks.
+    keyed = distinct.repartition(parts, "fp").mapInArrow(file, "key long, fp long")
     return (keyed.repartition(parts, "key").sortWithinPartitions("key")
             .mapInArrow(meet, "a long, b long"))
 
@@ -257,19 +268,3 @@ def _named(rows: DataFrame, name: Column, most_held: int) -> DataFrame:
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("first").alias("name"))
     return stored(of.select("fp", "root").join(least, "root").select("fp", "name"), "named")
-
-
-def drop_near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 4, most_held: int = MOST_HELD,
-) -> DataFrame:
-    """``docs`` with all columns and one row of each component: that of the smallest id (rows
-    without an id come last), of equal ids that of the smallest text hash."""
-    h1, h2 = digest(F.col(text))
-    key = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), h1.alias("h1"), h2.alias("h2"))
-    rows = stored(fingerprints(docs, [key.alias("key")], text, window), "fingerprints")
-    kept = _named(rows, F.col("key"), most_held).select(F.col("name").alias("_kept")).distinct()
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
-    # Equal rows have equal keys; one of them is taken.
-    once = Window.partitionBy("key").orderBy(F.lit(1))
-    return (whole.join(kept, F.col("key") == F.col("_kept"), "left_semi")
-            .withColumn("nth", F.row_number().over(once)).where("nth = 1").select("row.*"))

@@ -1,0 +1,274 @@
+"""Dropping near-duplicates: one document of each group of similar texts stays.
+
+Texts are similar if the sets of their five-word shingles have a Jaccard similarity of at
+least 0.8, or if their fingerprints are linked in the sense of ``simhash``. A 64-bit
+fingerprint is too short to find the former: at 0.8 about one bit in seven differs.
+Candidates therefore come from a SimHash of 256 bits. Twelve short segments of it become
+Golay-code keys, two and two together, so that each pair of segments with at most two
+errors in either makes two texts meet; the other bits tell whether they are worth a look.
+Every link is then verified on the shingles themselves.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rasmlens.llm import golay, simhash
+from rasmlens.llm.components import components
+from rasmlens.llm.frames import digest, prepare_workers, stored
+
+WINDOW, SIMILARITY = 5, 0.8
+#: Bits of a segment, and segments taken from each of the last three words of a print.
+SEGMENT, PER_WORD = 14, 4
+#: Texts of similarity 0.8 differ in 9.7 of 64 and 38.8 of 256 bits on average. These bounds
+#: lie 2.9 and 3.3 standard deviations higher.
+REACH_CHECK, REACH_WHOLE = 18, 57
+#: Links are verified nearest first, in so many steps; a step leaves out the links inside what
+#: the steps before have put together.
+STEPS = (16, 28, 40, REACH_WHOLE)
+#: Members of one key that are compared with each other; of larger runs every member is
+#: compared with those around it and with the most central ones.
+BLOCK, HUBS, NEAREST = 1024, 2, 3
+#: Members of one key that a task holds at once.
+HELD = 100_000
+WORDS = ("w0", "w1", "w2", "w3")
+
+
+def _mixed(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The n-th word of further hash bits."""
+    with np.errstate(over="ignore"):
+        x = hashes + np.uint64(n) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def shingle_set(text: str | None, window: int = WINDOW) -> np.ndarray:
+    return np.unique(simhash.shingle_hashes(text, window))
+
+
+def whole_print(shingles: np.ndarray) -> list[int]:
+    """256 bits as four words."""
+    return [simhash.majority(_mixed(shingles, n) if n else shingles) for n in range(4)]
+
+
+def prints(docs: DataFrame, key: Column, text: str) -> DataFrame:
+    """``key, node, fp, w0..w3``: a hash of the words, the short and the whole fingerprint."""
+    prepare_workers(docs.sparkSession)
+    chosen = docs.select(key.alias("key"), F.col(text).alias("text"))
+    names = ["node", "fp", *WORDS]
+    out = T.StructType([chosen.schema["key"], *[T.StructField(n, T.LongType()) for n in names]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+        for batch in batches:
+            rows = []
+            for value in batch.column("text"):
+                content = value.as_py() or ""
+                words = b" ".join(content.encode().translate(simhash.LOWER).split())
+                rows.append([xxh64_intdigest(words, 7), simhash.fingerprint(content),
+                             *whole_print(shingle_set(content))])
+            table = np.array(rows, "u8").reshape(-1, len(names)).view("i8")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), *[pa.array(table[:, i]) for i in range(len(names))]], names=["key", *names])
+
+    return chosen.mapInArrow(run, out)
+
+
+def pair_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, key) for the last three words of prints (rows x 3): the Golay keys of segments
+    0 and 1, 2 and 3, and so on, every combination."""
+    mask, places, found = np.uint64((1 << SEGMENT) - 1), [], []
+    slots = np.arange(golay.MOST_KEYS)
+    for tag in range(words.shape[1] * PER_WORD // 2):
+        word = words[:, 2 * tag // PER_WORD]
+        codes, counts = zip(*[
+            golay.keys((word >> np.uint64(SEGMENT * (s % PER_WORD))) & mask) for s in (2 * tag, 2 * tag + 1)])
+        p, a, b = np.nonzero((slots < counts[0][:, None])[:, :, None] & (slots < counts[1][:, None])[:, None, :])
+        places.append(p)
+        found.append(np.int64(tag) << np.int64(24) | codes[0][p, a].astype("i8") << np.int64(12) | codes[1][p, b].astype("i8"))
+    return np.concatenate(places), np.concatenate(found)
+
+
+def crowd_links(nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate links of one run, in a time that grows with its length, and its central members."""
+    nodes, first = np.unique(nodes, return_index=True)
+    checks = checks[first]
+    sample = checks[np.unique(np.linspace(0, len(checks) - 1, 256).astype("i8"))]
+    distance = np.concatenate([
+        np.bitwise_count(checks[i:i + BLOCK, None] ^ sample).sum(axis=1, dtype="i8") for i in range(0, len(checks), BLOCK)])
+    hubs = np.argsort(distance, kind="stable")[:HUBS]
+    ends_a, ends_b = [], []
+    for hub in hubs:
+        near = np.flatnonzero((np.bitwise_count(checks ^ checks[hub]) <= REACH_CHECK) & (nodes != nodes[hub]))
+        ends_a.append(np.full(len(near), nodes[hub]))
+        ends_b.append(nodes[near])
+    for i in range(0, len(checks), BLOCK):
+        part = checks[i:i + BLOCK]
+        apart = np.bitwise_count(part[:, None] ^ part)
+        np.fill_diagonal(apart, 255)
+        n = min(NEAREST, len(part) - 1)
+        if n > 0:
+            closest = np.argpartition(apart, n - 1, axis=1)[:, :n]
+            row, nth = np.nonzero(np.take_along_axis(apart, closest, axis=1) <= REACH_CHECK)
+            ends_a.append(nodes[i + row])
+            ends_b.append(nodes[i + closest[row, nth]])
+    return np.concatenate(ends_a), np.concatenate(ends_b), hubs
+
+
+def run_links(keys: np.ndarray, nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate links within the runs of equal keys."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(starts, len(keys)))
+    ends_a, ends_b = [nodes[:0]], [nodes[:0]]
+    short = np.repeat((sizes > 1) & (sizes <= simhash.SHORT_RUN), sizes)
+    of, some, check = keys[short], nodes[short], checks[short]
+    for step in range(1, simhash.SHORT_RUN):
+        same = of[:-step] == of[step:]
+        if not same.any():
+            break
+        near = same & (np.bitwise_count(check[:-step] ^ check[step:]) <= REACH_CHECK) & (some[:-step] != some[step:])
+        ends_a.append(some[:-step][near])
+        ends_b.append(some[step:][near])
+    for start, size in zip(starts[sizes > simhash.SHORT_RUN].tolist(), sizes[sizes > simhash.SHORT_RUN].tolist()):
+        a, b, _ = crowd_links(nodes[start:start + size], checks[start:start + size])
+        ends_a.append(a)
+        ends_b.append(b)
+    return np.concatenate(ends_a), np.concatenate(ends_b)
+
+
+def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
+    """``a, b, apart`` (a < b): pairs of nodes that share a key, with the bits their prints differ in."""
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = np.stack([batch.column(c).to_numpy() for c in ("node", *WORDS)], axis=1)
+            for at in range(0, len(table), 1000):
+                part = table[at:at + 1000]
+                place, key = pair_keys(part[:, 2:].view("u8"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(part[place, 0]), pa.array(part[place, 1])], names=["key", "node", "check"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by key. A run longer than ``held`` is linked in stretches, each with
+        the central members of the one before."""
+        keys, nodes, checks = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "u8")
+
+        def links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for batch in batches:
+            keys = np.concatenate([keys, batch.column("key").to_numpy()])
+            nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
+            checks = np.concatenate([checks, batch.column("check").to_numpy().view("u8")])
+            last = int(np.searchsorted(keys, keys[-1], side="left")) if len(keys) else 0
+            if last:
+                yield links(*run_links(keys[:last], nodes[:last], checks[:last]))
+            keys, nodes, checks = keys[last:], nodes[last:], checks[last:]
+            if len(keys) > held:
+                a, b, hubs = crowd_links(nodes, checks)
+                yield links(a, b)
+                central = np.flatnonzero(np.isin(nodes, np.unique(nodes)[hubs]))[:HUBS * 4]
+                keys, nodes, checks = keys[central], nodes[central], checks[central]
+        if len(keys) > 1:
+            yield links(*run_links(keys, nodes, checks))
+
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A node becomes some 170 rows, so few of them already make work for many tasks.
+    met = (nodes.select("node", *WORDS).repartition(parts, "node").mapInArrow(file, "key long, node long, check long")
+           .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct())
+    side = lambda end: nodes.select(
+        F.col("node").alias(end), *[F.col(w).alias(f"{w}_{end}") for w in WORDS])
+    apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in WORDS), F.lit(0))
+    return (met.join(side("a"), "a").join(side("b"), "b").select("a", "b", apart.alias("apart"))
+            .where(F.col("apart") <= REACH_WHOLE))
+
+
+def shingle_sets(docs: DataFrame, key: Column, text: str, wanted: DataFrame) -> DataFrame:
+    """``node, shingles`` (32 bits of each hash, sorted) for the ``wanted`` (node, key)."""
+    chosen = docs.select(key.alias("key"), F.col(text).alias("text")).join(wanted, "key").select("node", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique((shingle_set(t.as_py()) >> np.uint64(32)).astype("<u4")).tobytes()
+                    for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    found = chosen.mapInArrow(run, "node long, shingles binary")
+    # Equal rows have one key; one of their equal sets is enough.
+    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def jaccard(one: Column, other: Column) -> Column:
+    @F.pandas_udf("double")
+    def of(a: pd.Series, b: pd.Series) -> pd.Series:
+        def pair(x: bytes, y: bytes) -> float:
+            x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return both / max(1, len(x) + len(y) - both)
+        return pd.Series([pair(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    return of(one, other)
+
+
+def similar_links(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links (a, b) that connect whatever the links of at least ``similarity`` connect."""
+    spark = links.sparkSession
+    found = spark.createDataFrame([], "a long, b long")
+    side = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"s_{end}"))
+    within = 0
+    for step, bound in enumerate(STEPS):
+        open_links = links.where(F.col("apart").between(within, bound)).select("a", "b")
+        within = bound + 1
+        if step:
+            roots = components(found)
+            root = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"r_{end}"))
+            open_links = open_links.join(root("a"), "a", "left").join(root("b"), "b", "left").where(
+                F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b")
+        tested = open_links.join(side("a"), "a").join(side("b"), "b").where(
+            jaccard(F.col("s_a"), F.col("s_b")) >= similarity)
+        found = stored(found.unionByName(tested.select("a", "b")), "similar")
+    return found
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, held: int = HELD,
+) -> DataFrame:
+    """``docs`` with all columns and one row of each group: that of the smallest id (rows
+    without an id come last), of equal ids that of the smallest text hash.
+
+    Groups are what links of texts connect: equal words (A-Z in lower case), similar
+    shingles, and short fingerprints of at most four differing bits. Texts without words, null
+    ones too, are one group. Candidates are found with a chance of about 0.96 for a single
+    pair at similarity 0.8, and more above; no link is taken unverified. Equal rows are one
+    group; an empty table gives an empty one; columns keep their names, whatever they are.
+    """
+    h1, h2 = digest(F.col(text))
+    key = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), h1.alias("h1"), h2.alias("h2"))
+    rows = stored(prints(docs, key, text), "prints")
+    nodes = stored(rows.groupBy("node").agg(
+        F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("fp", *WORDS)]), "nodes")
+
+    links = stored(candidates(nodes.where("w0 <> 0 or w1 <> 0"), held), "candidates")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(shingle_sets(docs, key, text, nodes.select("node", "key").join(ends, "node", "left_semi")), "sets")
+    similar = similar_links(links, sets, similarity)
+
+    short = nodes.join(simhash.groups(nodes), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
+    least = short.groupBy("root").agg(F.min("node").alias("a"))
+    same_print = short.join(least, "root").where("a <> node").select("a", F.col("node").alias("b"))
+
+    roots = stored(components(similar.unionByName(same_print)), "roots")
+    of = nodes.select("node", "key").join(roots, "node", "left").select(
+        "key", F.coalesce("root", "node").alias("root"))
+    kept = of.groupBy("root").agg(F.min("key").alias("_kept")).select("_kept")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    # Equal rows have equal keys; one of them is taken.
+    once = Window.partitionBy("key").orderBy(F.lit(1))
+    return (whole.join(kept, F.col("key") == F.col("_kept"), "left_semi")
+            .withColumn("nth", F.row_number().over(once)).where("nth = 1").select("row.*"))

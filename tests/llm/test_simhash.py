@@ -120,11 +120,7 @@ def test_odd_rows(documents):
             (None, "lonely words without any id here"), (7, "y " * 100_000), (8, None), (9, "")]
     got = sorted(((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(documents(rows)).collect()), key=str)
     assert got == sorted([(5, 5), (5, 5), (None, 5), (None, None), (7, 7), (8, 8), (9, 8)], key=str)
-    kept = simhash.drop_near_duplicates(documents(rows))
-    assert kept.columns == documents(rows).columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([5, None, 7, 8], key=str)
 
 
 def test_empty(documents):
     assert simhash.near_duplicates(documents([])).count() == 0
-    assert simhash.drop_near_duplicates(documents([])).count() == 0

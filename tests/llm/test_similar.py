@@ -1,0 +1,100 @@
+import random
+
+import numpy as np
+import pytest
+
+from rasmlens.llm import similar, simhash
+
+pytest.importorskip("xxhash")
+
+
+def jaccard(one, other):
+    a, b = set(similar.shingle_set(one).tolist()), set(similar.shingle_set(other).tolist())
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def graph_groups(texts, similarity):
+    """Groups over all pairs: similar shingles, linked short fingerprints, or the same words."""
+    prints = [simhash.fingerprint(t) for t in texts]
+    group = list(range(len(texts)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= 4 or jaccard(texts[i], texts[j]) >= similarity:
+                a, b = sorted((top(i), top(j)))
+                group[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def edited(rng, words, vocabulary, share):
+    words = list(words)
+    for _ in range(max(1, round(share * len(words)))):
+        words[rng.randrange(len(words))] = rng.choice(vocabulary)
+    return words
+
+
+def corpus():
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = []
+    for g in range(60):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([25, 60, 150, 400]))]
+        texts.append(" ".join(base))
+        for _ in range(rng.choice([0, 0, 1, 3, 12])):
+            texts.append(" ".join(edited(rng, base, vocabulary, rng.choice([0.002, 0.01, 0.015, 0.05, 0.3]))))
+    return texts + texts[:7] + [texts[0].upper(), "", None, " \n", "a", "a b", "a  B"]
+
+
+def test_kept_rows_against_all_pairs(documents):
+    texts = corpus()
+    docs = documents([(i, t) for i, t in enumerate(texts)])
+    kept = {r["doc_id"] for r in similar.drop_near_duplicates(docs).collect()}
+    groups = graph_groups(texts, similar.SIMILARITY)
+    # Nothing goes that is not in a group with something smaller, and every group keeps its first.
+    assert set(groups) <= kept
+    missed = kept - set(groups)
+    assert len(missed) <= 0.04 * (len(texts) - len(set(groups))), missed
+
+
+def test_one_large_group_in_small_stretches(documents):
+    """Every copy differs from the first text a little, and from the others more."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(vocabulary) for _ in range(200)]
+    texts = [" ".join(base)] + [" ".join(edited(rng, base, vocabulary, 0.015)) for _ in range(400)]
+    other = [" ".join(rng.choice(vocabulary) for _ in range(80)) for _ in range(50)]
+    docs = documents([(i, t) for i, t in enumerate(texts + other)])
+    for held in (similar.HELD, 60):
+        kept = {r["doc_id"] for r in similar.drop_near_duplicates(docs, held=held).collect()}
+        assert 0 in kept and kept >= set(range(len(texts), len(texts) + 50))
+        assert len(kept) <= 51 + 4
+
+
+def test_candidates_are_found_at_the_threshold():
+    """Pairs of similarity close to 0.8, by prints alone: keys shared and bits within reach."""
+    rng = np.random.default_rng(3)
+    found = 0
+    for _ in range(300):
+        common, own = rng.integers(0, 1 << 63, 400).astype("u8"), rng.integers(0, 1 << 63, 100).astype("u8")
+        one = np.unique(np.concatenate([common, own[:50]]))
+        other = np.unique(np.concatenate([common, own[50:]]))
+        words = np.array([similar.whole_print(one), similar.whole_print(other)], "u8")
+        place, key = similar.pair_keys(words[:, 1:])
+        shared = set(key[place == 0].tolist()) & set(key[place == 1].tolist())
+        apart = np.bitwise_count(words[0] ^ words[1])
+        found += bool(shared) and apart[0] <= similar.REACH_CHECK and apart.sum() <= similar.REACH_WHOLE
+    assert found >= 0.92 * 300
+
+
+def test_odd_rows(documents):
+    rows = [(5, "same text of some words"), (5, "same text of some words"), (None, "same text of some words"),
+            (None, "lonely words without any id here"), (7, "y " * 100_000), (8, None), (9, ""), (6, "SAME text of\nsome words")]
+    kept = similar.drop_near_duplicates(documents(rows))
+    assert kept.columns == documents(rows).columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([5, None, 7, 8], key=str)
+    assert similar.drop_near_duplicates(documents([])).count() == 0
