@@ -7,7 +7,7 @@ The first four return the columns they were given; the last one returns the pack
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasmlens.llm import language, lines, mixing, packing, simhash
+from rasmlens.llm import language, lines, mixing, packing, similar
 from rasmlens.llm.frames import stored, table
 from rasmlens.llm.queries import (
     MIN_SITES, MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, mix_levels)
@@ -33,7 +33,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates stays."""
-    return simhash.drop_near_duplicates(docs)
+    return similar.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
