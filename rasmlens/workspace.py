@@ -21,3 +21,11 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet, below the shared folder; nothing is created."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/rasmlens/{app}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete everything that this application has stored below the shared folder. Results
+    that still read from there must have been written elsewhere before."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/rasmlens/{spark.sparkContext.applicationId}")
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)

@@ -96,6 +96,16 @@ def test_workspace_uses_the_configured_folder(spark):
     assert a != b and a.startswith(folder) and not glob.glob(a)
 
 
+def test_workspace_is_cleared_for_this_application_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: str(tmp_path))
+    foreign = tmp_path / "rasmlens" / "other" / "table"
+    foreign.mkdir(parents=True)
+    spark.range(3).write.parquet(workspace.fresh_dir(spark, "x"))
+    assert len(list((tmp_path / "rasmlens").iterdir())) == 2
+    workspace.clear(spark)
+    assert list((tmp_path / "rasmlens").iterdir()) == [foreign.parent]
+
+
 def test_workspace_without_a_configured_folder():
     class Session:
         class sparkContext:
