@@ -18,11 +18,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stored(links.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    state = _state(edges)
     for _ in range(MAX_ROUNDS):
         large = _star(_both_ways(edges), above_only=True)
         # Links now lead from a node to a smaller one; a node's smallest one takes over the others.
         small = stored(_star(large, above_only=False), "links")
-        if _same(edges, small):
+        before, state = state, _state(small)
+        if state == before:
             return small.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 small.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         edges = small
@@ -46,9 +48,8 @@ def _star(links: DataFrame, above_only: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
-def _same(one: DataFrame, other: DataFrame) -> bool:
-    """Whether two sets of links have the same size and the same sum of hashes."""
-    def state(links: DataFrame):
-        return links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-                         F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-    return tuple(state(one)) == tuple(state(other))
+def _state(links: DataFrame) -> tuple:
+    """Size and sums of hashes; equal for equal sets of links."""
+    return tuple(links.agg(
+        F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
+        F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
