@@ -20,6 +20,9 @@ from rasmlens.llm.frames import prepare_workers, stored
 ACCURACY = 0.01
 #: Values below this count as zero.
 LEAST = 1e-6
+#: How far beyond its quartiles a fence always lies: a measure that is 0 for nearly all
+#: documents of a group has quartiles without any spread.
+LEEWAY = {"word_length": 1.5, "symbols": 0.1, "dup_lines": 0.05, "repeats": 0.3}
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -126,10 +129,10 @@ def fences(rows: DataFrame, groups: list[str], width: float, min_rows: int) -> D
     """
     base = stored(sketch(rows, groups), "sketches")
     quartiles = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    spread = F.col("q3") - F.col("q1")
-    low = F.col("q1") - width * spread - 0.25 * F.col("q2")
-    high = F.col("q3") + width * spread + 0.25 * F.col("q2") + 0.05
     names = list(_measures())
+    leeway = F.create_map(*[F.lit(x) for pair in LEEWAY.items() for x in pair])[F.col("measure")]
+    reach = F.greatest(width * (F.col("q3") - F.col("q1")), leeway)
+    low, high = F.col("q1") - reach, F.col("q3") + reach
 
     def drawn(keys: list[str], level: int) -> DataFrame:
         merged = base.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
