@@ -44,7 +44,9 @@ def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language.held_out(F.col("doc_id"))
     model = language.train(docs.where(F.col("doc_id").isNotNull() & ~out))
     return language.identify(docs, model, ["doc_id"]).select(
-        "doc_id", out.alias("held_out"), "lang_pred", "score", "languages")
+        "doc_id", out.alias("held_out"), "lang_pred", "score",
+        F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x["lang"], F.format_number(x["share"], 3))), " "
+                     ).alias("mixture"))
 
 
 # The levels of the mixing tree: a domain has five of the numbered sources.
