@@ -22,8 +22,8 @@ UNDETERMINED = "und"
 #: Trigrams are hashed to so many bins.
 BINS = 1 << 14
 #: Characters that are worked on together, unless one text alone has more.
-CHUNK_CHARS = 400_000
-MAX_DOCS = 128
+CHUNK_CHARS = 200_000
+MAX_DOCS = 64
 
 
 @lru_cache(maxsize=1)
