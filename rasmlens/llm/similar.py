@@ -5,7 +5,7 @@ least 0.8, or if their fingerprints are linked in the sense of ``simhash``. A 64
 fingerprint is too short to find the former: at 0.8 about one bit in seven differs.
 Candidates therefore come from a SimHash of 256 bits. Twelve short segments of it become
 Golay-code keys, two and two together, so that each pair of segments with at most two
-errors in either makes two texts meet; the other bits tell whether they are worth a look.
+errors in either makes two texts meet; 128 bits tell whether they are worth a look.
 Every link is then verified on the shingles themselves.
 """
 
@@ -25,15 +25,16 @@ from rasmlens.llm.frames import digest, prepare_workers, stored
 WINDOW, SIMILARITY = 5, 0.8
 #: Bits of a segment, and segments taken from each of the last three words of a print.
 SEGMENT, PER_WORD = 14, 4
-#: Texts of similarity 0.8 differ in 9.7 of 64 and 38.8 of 256 bits on average. These bounds
-#: lie 2.9 and 3.3 standard deviations higher.
-REACH_CHECK, REACH_WHOLE = 18, 57
-#: Links are verified nearest first, in so many steps; a step leaves out the links inside what
-#: the steps before have put together.
-STEPS = (16, 28, 40, REACH_WHOLE)
-#: Members of one key that are compared with each other; of larger runs every member is
-#: compared with those around it and with the most central ones.
-BLOCK, HUBS, NEAREST = 1024, 2, 3
+#: Texts of similarity 0.8 differ in 19.4 of the 128 bits of the first two words on average. This
+#: bound lies 3.1 standard deviations higher.
+REACH = 32
+#: Links are verified nearest first, by the bits in which these words differ. A step leaves out the
+#: links inside what the step before has put together, so that of a large group of copies
+#: little more than one link each is looked at.
+STEPS = (16, REACH)
+#: Members of one key are linked with their closest one and with the most central one. Those
+#: of a long run look for the closest among so many around them.
+BLOCK, HUBS, NEAREST = 1024, 1, 1
 #: Members of one key that a task holds at once.
 HELD = 100_000
 WORDS = ("w0", "w1", "w2", "w3")
@@ -95,55 +96,69 @@ def pair_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(found)
 
 
-def crowd_links(nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate links of one run, in a time that grows with its length, and its central members."""
+def apart_in(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Bits in which words (the last axis) differ."""
+    return np.bitwise_count(one ^ other).sum(axis=-1, dtype="u1")
+
+
+def crowd_links(nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate links of one run, in a time that grows with its length: two ends and the bits
+    between them; and the central members."""
     nodes, first = np.unique(nodes, return_index=True)
     checks = checks[first]
     sample = checks[np.unique(np.linspace(0, len(checks) - 1, 256).astype("i8"))]
     distance = np.concatenate([
-        np.bitwise_count(checks[i:i + BLOCK, None] ^ sample).sum(axis=1, dtype="i8") for i in range(0, len(checks), BLOCK)])
+        apart_in(checks[i:i + BLOCK, None], sample).sum(axis=1, dtype="i8") for i in range(0, len(checks), BLOCK)])
     hubs = np.argsort(distance, kind="stable")[:HUBS]
-    ends_a, ends_b = [], []
+    ends_a, ends_b, bits = [], [], []
     for hub in hubs:
-        near = np.flatnonzero((np.bitwise_count(checks ^ checks[hub]) <= REACH_CHECK) & (nodes != nodes[hub]))
+        apart = apart_in(checks, checks[hub])
+        near = np.flatnonzero((apart <= REACH) & (nodes != nodes[hub]))
         ends_a.append(np.full(len(near), nodes[hub]))
         ends_b.append(nodes[near])
+        bits.append(apart[near])
     for i in range(0, len(checks), BLOCK):
         part = checks[i:i + BLOCK]
-        apart = np.bitwise_count(part[:, None] ^ part)
+        apart = apart_in(part[:, None], part)
         np.fill_diagonal(apart, 255)
         n = min(NEAREST, len(part) - 1)
         if n > 0:
             closest = np.argpartition(apart, n - 1, axis=1)[:, :n]
-            row, nth = np.nonzero(np.take_along_axis(apart, closest, axis=1) <= REACH_CHECK)
+            least = np.take_along_axis(apart, closest, axis=1)
+            row, nth = np.nonzero(least <= REACH)
             ends_a.append(nodes[i + row])
             ends_b.append(nodes[i + closest[row, nth]])
-    return np.concatenate(ends_a), np.concatenate(ends_b), hubs
+            bits.append(least[row, nth])
+    return np.concatenate(ends_a), np.concatenate(ends_b), np.concatenate(bits), hubs
 
 
-def run_links(keys: np.ndarray, nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate links within the runs of equal keys."""
+def run_links(keys: np.ndarray, nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Candidate links within the runs of equal keys: two ends and the bits between them."""
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(starts, len(keys)))
-    ends_a, ends_b = [nodes[:0]], [nodes[:0]]
     short = np.repeat((sizes > 1) & (sizes <= simhash.SHORT_RUN), sizes)
     of, some, check = keys[short], nodes[short], checks[short]
-    for step in range(1, simhash.SHORT_RUN):
-        same = of[:-step] == of[step:]
-        if not same.any():
-            break
-        near = same & (np.bitwise_count(check[:-step] ^ check[step:]) <= REACH_CHECK) & (some[:-step] != some[step:])
-        ends_a.append(some[:-step][near])
-        ends_b.append(some[step:][near])
+    # Short runs are compared by shifting the whole batch; each member takes its closest one.
+    least, closest = np.full(len(some), 255, "u1"), np.zeros(len(some), "i8")
+    for step in range(1, min(simhash.SHORT_RUN, len(some))):
+        apart = apart_in(check[:-step], check[step:])
+        apart[(of[:-step] != of[step:]) | (some[:-step] == some[step:])] = 255
+        for here, there in ((slice(None, -step), slice(step, None)), (slice(step, None), slice(None, -step))):
+            closer = np.flatnonzero(apart < least[here]) + (here.start or 0)
+            least[closer] = apart[closer - (here.start or 0)]
+            closest[closer] = closer - (here.start or 0) + (there.start or 0)
+    near = np.flatnonzero(least <= REACH)
+    ends_a, ends_b, bits = [some[near]], [some[closest[near]]], [least[near]]
     for start, size in zip(starts[sizes > simhash.SHORT_RUN].tolist(), sizes[sizes > simhash.SHORT_RUN].tolist()):
-        a, b, _ = crowd_links(nodes[start:start + size], checks[start:start + size])
-        ends_a.append(a)
-        ends_b.append(b)
-    return np.concatenate(ends_a), np.concatenate(ends_b)
+        for part, found in zip((ends_a, ends_b, bits), crowd_links(
+                nodes[start:start + size], checks[start:start + size])):
+            part.append(found)
+    return np.concatenate(ends_a), np.concatenate(ends_b), np.concatenate(bits)
 
 
 def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
-    """``a, b, apart`` (a < b): pairs of nodes that share a key, with the bits their prints differ in."""
+    """``a, b, bits`` (a < b): pairs of nodes that share a key, with the number of bits in which
+    their first two words differ, at most ``REACH``."""
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = np.stack([batch.column(c).to_numpy() for c in ("node", *WORDS)], axis=1)
@@ -151,28 +166,30 @@ def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
                 part = table[at:at + 1000]
                 place, key = pair_keys(part[:, 2:].view("u8"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(part[place, 0]), pa.array(part[place, 1])], names=["key", "node", "check"])
+                    [pa.array(key), *[pa.array(part[place, i]) for i in range(3)]], names=["key", "node", "w0", "w1"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key. A run longer than ``held`` is linked in stretches, each with
         the central members of the one before."""
-        keys, nodes, checks = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "u8")
+        keys, nodes, checks = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros((0, 2), "u8")
 
-        def links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        def links(a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(bits.astype("i4"))],
+                names=["a", "b", "bits"])
 
         for batch in batches:
             keys = np.concatenate([keys, batch.column("key").to_numpy()])
             nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
-            checks = np.concatenate([checks, batch.column("check").to_numpy().view("u8")])
+            words = [batch.column(c).to_numpy().view("u8") for c in ("w0", "w1")]
+            checks = np.concatenate([checks, np.stack(words, axis=1)])
             last = int(np.searchsorted(keys, keys[-1], side="left")) if len(keys) else 0
             if last:
                 yield links(*run_links(keys[:last], nodes[:last], checks[:last]))
             keys, nodes, checks = keys[last:], nodes[last:], checks[last:]
             if len(keys) > held:
-                a, b, hubs = crowd_links(nodes, checks)
-                yield links(a, b)
+                *found, hubs = crowd_links(nodes, checks)
+                yield links(*found)
                 central = np.flatnonzero(np.isin(nodes, np.unique(nodes)[hubs]))[:HUBS * 4]
                 keys, nodes, checks = keys[central], nodes[central], checks[central]
         if len(keys) > 1:
@@ -180,13 +197,9 @@ def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A node becomes some 170 rows, so few of them already make work for many tasks.
-    met = (nodes.select("node", *WORDS).repartition(parts, "node").mapInArrow(file, "key long, node long, check long")
-           .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct())
-    side = lambda end: nodes.select(
-        F.col("node").alias(end), *[F.col(w).alias(f"{w}_{end}") for w in WORDS])
-    apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in WORDS), F.lit(0))
-    return (met.join(side("a"), "a").join(side("b"), "b").select("a", "b", apart.alias("apart"))
-            .where(F.col("apart") <= REACH_WHOLE))
+    return (nodes.select("node", *WORDS).repartition(parts, "node").mapInArrow(
+                file, "key long, node long, w0 long, w1 long")
+            .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long, bits int").distinct())
 
 
 def shingle_sets(docs: DataFrame, key: Column, text: str, wanted: DataFrame) -> DataFrame:
@@ -223,7 +236,7 @@ def similar_links(links: DataFrame, sets: DataFrame, similarity: float) -> DataF
     side = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"s_{end}"))
     within = 0
     for step, bound in enumerate(STEPS):
-        open_links = links.where(F.col("apart").between(within, bound)).select("a", "b")
+        open_links = links.where(F.col("bits").between(within, bound)).select("a", "b")
         within = bound + 1
         if step:
             roots = components(found)
@@ -255,7 +268,7 @@ def drop_near_duplicates(
         F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("fp", *WORDS)]), "nodes")
 
     links = stored(candidates(nodes.where("w0 <> 0 or w1 <> 0"), held), "candidates")
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     sets = stored(shingle_sets(docs, key, text, nodes.select("node", "key").join(ends, "node", "left_semi")), "sets")
     similar = similar_links(links, sets, similarity)
 

@@ -85,8 +85,7 @@ def test_candidates_are_found_at_the_threshold():
         words = np.array([similar.whole_print(one), similar.whole_print(other)], "u8")
         place, key = similar.pair_keys(words[:, 1:])
         shared = set(key[place == 0].tolist()) & set(key[place == 1].tolist())
-        apart = np.bitwise_count(words[0] ^ words[1])
-        found += bool(shared) and apart[0] <= similar.REACH_CHECK and apart.sum() <= similar.REACH_WHOLE
+        found += bool(shared) and similar.apart_in(words[0, :2], words[1, :2]) <= similar.REACH
     assert found >= 0.92 * 300
 
 
