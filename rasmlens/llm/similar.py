@@ -9,7 +9,7 @@ errors in either makes two texts meet; 128 bits tell whether they are worth a lo
 Every link is then verified on the shingles themselves.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,9 +32,8 @@ REACH = 32
 #: links inside what the step before has put together, so that of a large group of copies
 #: little more than one link each is looked at.
 STEPS = (16, REACH)
-#: Members of one key are linked with their closest one and with the most central one. Those
-#: of a long run look for the closest among so many around them.
-BLOCK, HUBS, NEAREST = 1024, 1, 1
+#: Members of one key are compared in blocks of so many.
+BLOCK = 1024
 #: Members of one key that a task holds at once.
 HELD = 100_000
 WORDS = ("w0", "w1", "w2", "w3")
@@ -101,105 +100,184 @@ def apart_in(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.bitwise_count(one ^ other).sum(axis=-1, dtype="u1")
 
 
-def crowd_links(nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate links of one run, in a time that grows with its length: two ends and the bits
-    between them; and the central members."""
-    nodes, first = np.unique(nodes, return_index=True)
-    checks = checks[first]
-    sample = checks[np.unique(np.linspace(0, len(checks) - 1, 256).astype("i8"))]
-    distance = np.concatenate([
-        apart_in(checks[i:i + BLOCK, None], sample).sum(axis=1, dtype="i8") for i in range(0, len(checks), BLOCK)])
-    hubs = np.argsort(distance, kind="stable")[:HUBS]
-    ends_a, ends_b, bits = [], [], []
-    for hub in hubs:
-        apart = apart_in(checks, checks[hub])
-        near = np.flatnonzero((apart <= REACH) & (nodes != nodes[hub]))
-        ends_a.append(np.full(len(near), nodes[hub]))
-        ends_b.append(nodes[near])
-        bits.append(apart[near])
+def pairs_by_blocks(checks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of one run within reach, as places."""
+    w0, w1 = np.ascontiguousarray(checks[:, 0]), np.ascontiguousarray(checks[:, 1])
     for i in range(0, len(checks), BLOCK):
-        part = checks[i:i + BLOCK]
-        apart = apart_in(part[:, None], part)
-        np.fill_diagonal(apart, 255)
-        n = min(NEAREST, len(part) - 1)
-        if n > 0:
-            closest = np.argpartition(apart, n - 1, axis=1)[:, :n]
-            least = np.take_along_axis(apart, closest, axis=1)
-            row, nth = np.nonzero(least <= REACH)
-            ends_a.append(nodes[i + row])
-            ends_b.append(nodes[i + closest[row, nth]])
-            bits.append(least[row, nth])
-    return np.concatenate(ends_a), np.concatenate(ends_b), np.concatenate(bits), hubs
-
-
-def run_links(keys: np.ndarray, nodes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Candidate links within the runs of equal keys: two ends and the bits between them."""
+        for j in range(i, len(checks), BLOCK):
+            apart = np.bitwise_count(w0[i:i + BLOCK, None] ^ w0[j:j + BLOCK])
+            apart += np.bitwise_count(w1[i:i + BLOCK, None] ^ w1[j:j + BLOCK])
+            one, other = np.nonzero(apart <= REACH)
+            if i == j:
+                once = one < other
+                one, other = one[once], other[once]
+            if len(one):
+                yield i + one, j + other
+
+
+def pairs_by_shifts(keys: np.ndarray, checks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs within reach of runs of at most ``SHORT_RUN``, as places."""
+    for step in range(1, min(simhash.SHORT_RUN, len(keys))):
+        near = np.flatnonzero((keys[:-step] == keys[step:]) & (apart_in(checks[:-step], checks[step:]) <= REACH))
+        if len(near):
+            yield near, near + step
+
+
+def central(checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of the most central member of a run and those within its reach."""
+    sample = checks[np.unique(np.linspace(0, len(checks) - 1, 256).astype("i8"))]
+    hub = np.argmin(np.concatenate([
+        apart_in(checks[i:i + BLOCK, None], sample).sum(axis=1, dtype="i8") for i in range(0, len(checks), BLOCK)]))
+    near = np.flatnonzero(apart_in(checks, checks[hub]) <= REACH)
+    near = near[near != hub]
+    return np.full(len(near), hub), near
+
+
+def first_links(
+    count: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]], checks: np.ndarray,
+    more: tuple[np.ndarray, np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all ``pairs``, those of each member with its closest one, and ``more`` of them; and the
+    members that have others, too."""
+    none = np.iinfo("i8").max
+    best, partners = np.full(count, none), np.zeros(count, "i8")
+    for one, other in pairs:
+        bits = apart_in(checks[one], checks[other]).astype("i8") << 40
+        np.minimum.at(best, one, bits | other)
+        np.minimum.at(best, other, bits | one)
+        partners += np.bincount(one, minlength=count) + np.bincount(other, minlength=count)
+    ends_a = np.flatnonzero(best < none)
+    ends_b = best[ends_a] & ((1 << 40) - 1)
+    if more is not None:
+        ends_a, ends_b = np.concatenate([ends_a, more[0]]), np.concatenate([ends_b, more[1]])
+    ends_a, ends_b = np.divmod(np.unique(np.minimum(ends_a, ends_b) * count + np.maximum(ends_a, ends_b)), count)
+    taken = np.bincount(ends_a, minlength=count) + np.bincount(ends_b, minlength=count)
+    return ends_a, ends_b, np.flatnonzero(partners > taken)
+
+
+def run_links(
+    keys: np.ndarray, checks: np.ndarray, roots: np.ndarray | None,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links within the runs of equal keys, as places: two ends, and members with further pairs
+    in reach. With ``roots`` all pairs in reach that have different ones."""
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(starts, len(keys)))
-    short = np.repeat((sizes > 1) & (sizes <= simhash.SHORT_RUN), sizes)
-    of, some, check = keys[short], nodes[short], checks[short]
-    # Short runs are compared by shifting the whole batch; each member takes its closest one.
-    least, closest = np.full(len(some), 255, "u1"), np.zeros(len(some), "i8")
-    for step in range(1, min(simhash.SHORT_RUN, len(some))):
-        apart = apart_in(check[:-step], check[step:])
-        apart[(of[:-step] != of[step:]) | (some[:-step] == some[step:])] = 255
-        for here, there in ((slice(None, -step), slice(step, None)), (slice(step, None), slice(None, -step))):
-            closer = np.flatnonzero(apart < least[here]) + (here.start or 0)
-            least[closer] = apart[closer - (here.start or 0)]
-            closest[closer] = closer - (here.start or 0) + (there.start or 0)
-    near = np.flatnonzero(least <= REACH)
-    ends_a, ends_b, bits = [some[near]], [some[closest[near]]], [least[near]]
-    for start, size in zip(starts[sizes > simhash.SHORT_RUN].tolist(), sizes[sizes > simhash.SHORT_RUN].tolist()):
-        for part, found in zip((ends_a, ends_b, bits), crowd_links(
-                nodes[start:start + size], checks[start:start + size])):
-            part.append(found)
-    return np.concatenate(ends_a), np.concatenate(ends_b), np.concatenate(bits)
+    short = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= simhash.SHORT_RUN), sizes))
+    none = np.zeros(0, "i8")
+
+    def links(at: np.ndarray, pairs: Iterable, hub: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        if roots is None:
+            found = first_links(len(at), pairs, checks[at], central(checks[at]) if hub else None)
+            yield tuple(at[x] for x in found)
+            return
+        for one, other in pairs:
+            one, other = at[one], at[other]
+            open_ = roots[one] != roots[other]
+            if open_.any():
+                yield one[open_], other[open_], none
+
+    if len(short):
+        for a, b, left in links(short, pairs_by_shifts(keys[short], checks[short]), False):
+            yield a, b, none
+    for i in np.flatnonzero(sizes > simhash.SHORT_RUN).tolist():
+        at = np.arange(starts[i], starts[i] + sizes[i])
+        yield from links(at, pairs_by_blocks(checks[at]), True)
 
 
 def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
     """``a, b, bits`` (a < b): pairs of nodes that share a key, with the number of bits in which
-    their first two words differ, at most ``REACH``."""
+    their first two words differ, at most ``REACH``.
+
+    All members of a key are compared. Of the pairs in reach those come out that link a
+    member with its closest one or the central one; a row with null ``b`` names a node that
+    has others, too. Nodes with a column ``root`` give all pairs in reach of different roots.
+    A key of more than ``held`` members is cut into parts, and each two parts meet in a task.
+    """
+    carried = ["node", "w0", "w1", *[c for c in nodes.columns if c == "root"]]
+    out = "a long, b long, bits int, key long, w0 long, w1 long, root long"
+    names = [field.split()[0] for field in out.split(", ")]
+
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = np.stack([batch.column(c).to_numpy() for c in ("node", *WORDS)], axis=1)
+            table = np.stack([batch.column(c).to_numpy() for c in WORDS], axis=1)
             for at in range(0, len(table), 1000):
-                part = table[at:at + 1000]
-                place, key = pair_keys(part[:, 2:].view("u8"))
+                place, key = pair_keys(table[at:at + 1000, 1:].view("u8"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), *[pa.array(part[place, i]) for i in range(3)]], names=["key", "node", "w0", "w1"])
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key. A run longer than ``held`` is linked in stretches, each with
-        the central members of the one before."""
-        keys, nodes, checks = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros((0, 2), "u8")
-
-        def links(a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(bits.astype("i4"))],
-                names=["a", "b", "bits"])
+                    [pa.array(key), *[batch.column(c).take(pa.array(at + place)) for c in carried]],
+                    names=["key", *carried])
+
+    def rows(count: int, **columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[c]) if c in columns else pa.nulls(count, pa.int32() if c == "bits" else pa.int64())
+             for c in names], names=names)
+
+    def meet(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by key. Those of a key with more than ``most`` are passed on."""
+        kept = {c: np.zeros(0, "i8") for c in ("key", *carried)}
+        crowded = None
+
+        def passed(part: dict[str, np.ndarray]) -> pa.RecordBatch:
+            return rows(len(part["key"]), a=part["node"], **{c: v for c, v in part.items() if c != "node"})
+
+        def linked(part: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+            node, checks = part["node"], np.stack([part["w0"], part["w1"]], axis=1).view("u8")
+            for a, b, left in run_links(part["key"], checks, part.get("root")):
+                yield rows(len(a), a=np.minimum(node[a], node[b]), b=np.maximum(node[a], node[b]),
+                           bits=apart_in(checks[a], checks[b]).astype("i4"))
+                if len(left):
+                    yield rows(len(left), a=node[left])
+
+        def cut(at: int) -> dict[str, np.ndarray]:
+            first = {c: v[:at] for c, v in kept.items()}
+            for c in kept:
+                kept[c] = kept[c][at:]
+            return first
 
         for batch in batches:
-            keys = np.concatenate([keys, batch.column("key").to_numpy()])
-            nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
-            words = [batch.column(c).to_numpy().view("u8") for c in ("w0", "w1")]
-            checks = np.concatenate([checks, np.stack(words, axis=1)])
-            last = int(np.searchsorted(keys, keys[-1], side="left")) if len(keys) else 0
-            if last:
-                yield links(*run_links(keys[:last], nodes[:last], checks[:last]))
-            keys, nodes, checks = keys[last:], nodes[last:], checks[last:]
-            if len(keys) > held:
-                *found, hubs = crowd_links(nodes, checks)
-                yield links(*found)
-                central = np.flatnonzero(np.isin(nodes, np.unique(nodes)[hubs]))[:HUBS * 4]
-                keys, nodes, checks = keys[central], nodes[central], checks[central]
-        if len(keys) > 1:
-            yield links(*run_links(keys, nodes, checks))
+            for c in kept:
+                kept[c] = np.concatenate([kept[c], batch.column(c).to_numpy()])
+            if crowded is not None:
+                more = cut(int(np.searchsorted(kept["key"], crowded, side="right")))
+                if len(more["key"]):
+                    yield passed(more)
+            if not len(kept["key"]):
+                continue
+            crowded, keys = None, kept["key"]
+            last = int(np.searchsorted(keys, keys[-1], side="left"))
+            # A batch can hold a whole crowded key.
+            bounds = np.flatnonzero(np.concatenate([[True], keys[1:last] != keys[:max(0, last - 1)]])) if last else []
+            sizes = np.diff(np.append(bounds, last)) if last else np.zeros(0, "i8")
+            done = 0
+            for i in np.flatnonzero(sizes > most).tolist() if most else ():
+                if bounds[i] > done:
+                    yield from linked(cut(int(bounds[i]) - done))
+                yield passed(cut(int(sizes[i])))
+                done = int(bounds[i] + sizes[i])
+            if last > done:
+                yield from linked(cut(last - done))
+            if most and len(kept["key"]) > most:
+                crowded = kept["key"][0]
+                yield passed(cut(len(kept["key"])))
+        if len(kept["key"]) > 1:
+            yield from linked(kept)
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    typed = ", ".join(f"{c} long" for c in ("key", *carried))
     # A node becomes some 170 rows, so few of them already make work for many tasks.
-    return (nodes.select("node", *WORDS).repartition(parts, "node").mapInArrow(
-                file, "key long, node long, w0 long, w1 long")
-            .repartition(parts, "key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long, bits int").distinct())
+    found = stored(nodes.select(*WORDS, *[c for c in carried if c not in WORDS]).repartition(parts, "node")
+                   .mapInArrow(file, typed).repartition(parts, "key").sortWithinPartitions("key")
+                   .mapInArrow(lambda batches: meet(batches, held), out).distinct(), "met")
+    links = found.where("key is null").select("a", "b", "bits")
+    crowded = found.where("key is not null").withColumnRenamed("a", "node").select("key", *carried)
+    if crowded.isEmpty():
+        return links
+    counts = crowded.groupBy("key").agg(F.ceil(2 * F.count("*") / held).cast("int").alias("parts"))
+    dealt = crowded.join(counts, "key").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> other").select(
+        F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), *carried)
+    apart = (cells.repartition(parts, "key").sortWithinPartitions("key")
+             .mapInArrow(lambda batches: meet(batches, None), out).select("a", "b", "bits"))
+    return links.unionByName(apart).distinct()
 
 
 def shingle_sets(docs: DataFrame, key: Column, text: str, wanted: DataFrame) -> DataFrame:
@@ -229,11 +307,17 @@ def jaccard(one: Column, other: Column) -> Column:
     return of(one, other)
 
 
+def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links (a, b) of at least ``similarity``."""
+    side = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"s_{end}"))
+    return links.join(side("a"), "a").join(side("b"), "b").where(
+        jaccard(F.col("s_a"), F.col("s_b")) >= similarity).select("a", "b")
+
+
 def similar_links(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The links (a, b) that connect whatever the links of at least ``similarity`` connect."""
     spark = links.sparkSession
     found = spark.createDataFrame([], "a long, b long")
-    side = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"s_{end}"))
     within = 0
     for step, bound in enumerate(STEPS):
         open_links = links.where(F.col("bits").between(within, bound)).select("a", "b")
@@ -243,9 +327,7 @@ def similar_links(links: DataFrame, sets: DataFrame, similarity: float) -> DataF
             root = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"r_{end}"))
             open_links = open_links.join(root("a"), "a", "left").join(root("b"), "b", "left").where(
                 F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b")
-        tested = open_links.join(side("a"), "a").join(side("b"), "b").where(
-            jaccard(F.col("s_a"), F.col("s_b")) >= similarity)
-        found = stored(found.unionByName(tested.select("a", "b")), "similar")
+        found = stored(found.unionByName(verified(open_links, sets, similarity)), "similar")
     return found
 
 
@@ -267,10 +349,16 @@ def drop_near_duplicates(
     nodes = stored(rows.groupBy("node").agg(
         F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("fp", *WORDS)]), "nodes")
 
-    links = stored(candidates(nodes.where("w0 <> 0 or w1 <> 0"), held), "candidates")
+    first = candidates(nodes.where("w0 <> 0 or w1 <> 0"), held)
+    links = first.where("b is not null")
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     sets = stored(shingle_sets(docs, key, text, nodes.select("node", "key").join(ends, "node", "left_semi")), "sets")
     similar = similar_links(links, sets, similarity)
+    # What the first links have put together needs no other link; all further pairs are looked at.
+    left = first.where("b is null").select(F.col("a").alias("node"))
+    open_nodes = nodes.join(left, "node", "left_semi").join(components(similar), "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    similar = similar.unionByName(verified(candidates(open_nodes, held), sets, similarity))
 
     short = nodes.join(simhash.groups(nodes), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
     least = short.groupBy("root").agg(F.min("node").alias("a"))

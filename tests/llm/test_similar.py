@@ -96,3 +96,37 @@ def test_odd_rows(documents):
     assert kept.columns == documents(rows).columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([5, None, 7, 8], key=str)
     assert similar.drop_near_duplicates(documents([])).count() == 0
+
+
+def nodes_of(spark, checks, root=None):
+    """Nodes 0, 1, ... with these first two words, which share all keys of the last two."""
+    rows = [(n, 0, *[int(w) for w in np.array(pair, "u8").view("i8")], 12345, 678, *([root[n]] if root else []))
+            for n, pair in enumerate(checks)]
+    return spark.createDataFrame(
+        rows, "node long, fp long, w0 long, w1 long, w2 long, w3 long" + (", root long" if root else ""))
+
+
+@pytest.mark.parametrize("held", [similar.HELD, 900])
+def test_long_runs_lose_no_pair(spark, held):
+    """Pairs whose members lie more than a block apart, in a run of 2,500, also where a task holds
+    only 900 of them."""
+    rng = np.random.default_rng(9)
+    checks = rng.integers(0, 1 << 63, (2500, 2)).astype("u8")
+    planted = {(n, n + 1400) for n in range(0, 1000, 10)}
+    for a, b in planted:
+        # Nine bits differ in one segment of each two of the second word, so no key of it is shared.
+        checks[b] = checks[a] ^ np.array([0b1011 << (a % 50), 0x1FF | 0x1FF << 28], "u8")
+    found = similar.candidates(nodes_of(spark, checks), held).where("b is not null").collect()
+    assert {(r["a"], r["b"]) for r in found} == planted and {r["bits"] for r in found} == {21}
+
+
+def test_further_pairs_are_named_and_found(spark):
+    """Twelve nodes in reach of each other in one run: those left out come in the second step."""
+    checks = np.array([[(1 << 2 * n) - 1, 0] for n in range(12)], "u8")
+    first = similar.candidates(nodes_of(spark, checks)).collect()
+    pairs = {(r["a"], r["b"]) for r in first if r["b"] is not None}
+    left = {r["a"] for r in first if r["b"] is None}
+    everything = {(a, b) for a in range(12) for b in range(a + 1, 12)}
+    assert all(pair in pairs or left >= set(pair) for pair in everything)
+    again = similar.candidates(nodes_of(spark, checks, [0] * 5 + list(range(5, 12)))).collect()
+    assert {(r["a"], r["b"]) for r in again} == {(a, b) for a, b in everything if b >= 5}
