@@ -1,12 +1,12 @@
 """Dropping near-duplicates: one document of each group of similar texts stays.
 
 Texts are similar if the sets of their five-word shingles have a Jaccard similarity of at
-least 0.8, or if their fingerprints are linked in the sense of ``simhash``. A 64-bit
-fingerprint is too short to find the former: at 0.8 about one bit in seven differs.
-Candidates therefore come from a SimHash of 256 bits. Twelve short segments of it become
-Golay-code keys, two and two together, so that each pair of segments with at most two
-errors in either makes two texts meet; 128 bits tell whether they are worth a look.
-Every link is then verified on the shingles themselves.
+least 0.8. A 64-bit fingerprint is too short to find them: at 0.8 about one bit in seven
+differs. Candidates therefore come from a SimHash of 256 bits. Twelve short segments of it
+become Golay-code keys, two and two together, so that each pair of segments with at most
+two errors in either makes two texts meet. The keys by which ``simhash`` links 64-bit
+fingerprints of at most four differing bits are further keys. 128 bits tell whether two texts
+are worth a look. Every link is then verified on the shingles themselves.
 """
 
 from collections.abc import Iterable, Iterator
@@ -95,6 +95,12 @@ def pair_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(found)
 
 
+def short_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, key) of short fingerprints: two that differ in at most four bits share a key."""
+    place, key = simhash.fuzzy_keys(prints)
+    return place, key | np.int64(1) << np.int64(60)
+
+
 def apart_in(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Bits in which words (the last axis) differ."""
     return np.bitwise_count(one ^ other).sum(axis=-1, dtype="u1")
@@ -199,12 +205,13 @@ def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = np.stack([batch.column(c).to_numpy() for c in WORDS], axis=1)
+            table = np.stack([batch.column(c).to_numpy() for c in (*WORDS, "fp")], axis=1)
             for at in range(0, len(table), 1000):
-                place, key = pair_keys(table[at:at + 1000, 1:].view("u8"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), *[batch.column(c).take(pa.array(at + place)) for c in carried]],
-                    names=["key", *carried])
+                part = table[at:at + 1000].view("u8")
+                for place, key in (pair_keys(part[:, 1:4]), short_keys(part[:, 4])):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), *[batch.column(c).take(pa.array(at + place)) for c in carried]],
+                        names=["key", *carried])
 
     def rows(count: int, **columns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -263,8 +270,8 @@ def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     typed = ", ".join(f"{c} long" for c in ("key", *carried))
-    # A node becomes some 170 rows, so few of them already make work for many tasks.
-    found = stored(nodes.select(*WORDS, *[c for c in carried if c not in WORDS]).repartition(parts, "node")
+    # A node becomes some 250 rows, so few of them already make work for many tasks.
+    found = stored(nodes.select("fp", *WORDS, *[c for c in carried if c not in WORDS]).repartition(parts, "node")
                    .mapInArrow(file, typed).repartition(parts, "key").sortWithinPartitions("key")
                    .mapInArrow(lambda batches: meet(batches, held), out).distinct(), "met")
     links = found.where("key is null").select("a", "b", "bits")
@@ -337,11 +344,11 @@ def drop_near_duplicates(
     """``docs`` with all columns and one row of each group: that of the smallest id (rows
     without an id come last), of equal ids that of the smallest text hash.
 
-    Groups are what links of texts connect: equal words (A-Z in lower case), similar
-    shingles, and short fingerprints of at most four differing bits. Texts without words, null
-    ones too, are one group. Candidates are found with a chance of about 0.96 for a single
-    pair at similarity 0.8, and more above; no link is taken unverified. Equal rows are one
-    group; an empty table gives an empty one; columns keep their names, whatever they are.
+    Groups are what links of texts connect: equal words (A-Z in lower case) and similar
+    shingles. Texts without words, null ones too, are one group. Candidates are found with a
+    chance of about 0.96 for a single pair at similarity 0.8, and more above; no link but
+    that of equal words is taken unverified. Equal rows are one group; an empty table
+    gives an empty one; columns keep their names, whatever they are.
     """
     h1, h2 = digest(F.col(text))
     key = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), h1.alias("h1"), h2.alias("h2"))
@@ -360,11 +367,7 @@ def drop_near_duplicates(
         "root", F.coalesce("root", "node"))
     similar = similar.unionByName(verified(candidates(open_nodes, held), sets, similarity))
 
-    short = nodes.join(simhash.groups(nodes), "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
-    least = short.groupBy("root").agg(F.min("node").alias("a"))
-    same_print = short.join(least, "root").where("a <> node").select("a", F.col("node").alias("b"))
-
-    roots = stored(components(similar.unionByName(same_print)), "roots")
+    roots = stored(components(similar), "roots")
     of = nodes.select("node", "key").join(roots, "node", "left").select(
         "key", F.coalesce("root", "node").alias("root"))
     kept = of.groupBy("root").agg(F.min("key").alias("_kept")).select("_kept")

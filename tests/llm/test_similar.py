@@ -130,3 +130,14 @@ def test_further_pairs_are_named_and_found(spark):
     assert all(pair in pairs or left >= set(pair) for pair in everything)
     again = similar.candidates(nodes_of(spark, checks, [0] * 5 + list(range(5, 12)))).collect()
     assert {(r["a"], r["b"]) for r in again} == {(a, b) for a, b in everything if b >= 5}
+
+
+def test_a_repeated_sentence_is_no_near_duplicate(documents):
+    """The 64-bit fingerprint counts repeats, which one sentence can decide alone."""
+    rng = random.Random(4)
+    shared = " ".join(["this one sentence stands in many places"] * 80)
+    rows = [(i, " ".join(f"own{rng.randrange(10 ** 9)}" for _ in range(500)) + " " + shared) for i in range(6)]
+    prints = [simhash.fingerprint(text) for _, text in rows]
+    assert all((prints[0] ^ p).bit_count() <= simhash.MAX_BITS for p in prints)
+    kept = similar.drop_near_duplicates(documents(rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(6))
