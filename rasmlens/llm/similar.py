@@ -183,8 +183,7 @@ def run_links(
                 yield one[open_], other[open_], none
 
     if len(short):
-        for a, b, left in links(short, pairs_by_shifts(keys[short], checks[short]), False):
-            yield a, b, none
+        yield from links(short, pairs_by_shifts(keys[short], checks[short]), False)
     for i in np.flatnonzero(sizes > simhash.SHORT_RUN).tolist():
         at = np.arange(starts[i], starts[i] + sizes[i])
         yield from links(at, pairs_by_blocks(checks[at]), True)

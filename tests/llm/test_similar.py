@@ -141,3 +141,13 @@ def test_a_repeated_sentence_is_no_near_duplicate(documents):
     assert all((prints[0] ^ p).bit_count() <= simhash.MAX_BITS for p in prints)
     kept = similar.drop_near_duplicates(documents(rows)).collect()
     assert sorted(r["doc_id"] for r in kept) == list(range(6))
+
+
+def test_pairs_of_a_short_run_are_not_shut_out_by_closer_ones(spark):
+    """Two and two that are closest to each other, and in reach of the others: a run of four."""
+    checks = np.array([[0, 0], [1, 0], [0xFFFF00, 0], [0xFFFF01, 0]], "u8")
+    first = similar.candidates(nodes_of(spark, checks)).collect()
+    assert {(r["a"], r["b"]) for r in first if r["b"] is not None} == {(0, 1), (2, 3)}
+    assert {r["a"] for r in first if r["b"] is None} == {0, 1, 2, 3}
+    again = similar.candidates(nodes_of(spark, checks, [0, 0, 2, 2])).collect()
+    assert {(r["a"], r["b"], r["bits"]) for r in again} == {(0, 2, 16), (0, 3, 17), (1, 2, 17), (1, 3, 16)}
