@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasmlens.llm import (
-    chat, language, lines, mixing, packing, rules, search, sharding, simhash, urls)
+    chat, language, lines, merkle, mixing, packing, rules, search, sharding, simhash, urls)
 from rasmlens.llm.frames import stored, table
 
 # The url rules.
@@ -125,6 +125,12 @@ def op10_norm_sorted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("query_id"), "rank", "vec_id", "score")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.manifest(
+        table(spark, sf_dir, "documents"), changed=(tampered, {"n_chars": F.col("n_chars") + 1})).drop("path")
+
+
 QUERIES = {
     "op1_line_spread": op1_line_spread,
     "op2_pack_powers_of_two": op2_pack_powers_of_two,
@@ -136,6 +142,7 @@ QUERIES = {
     "op8_chat_fingerprint": op8_chat_fingerprint,
     "op9_adaptive_rules": op9_adaptive_rules,
     "op10_norm_sorted_search": op10_norm_sorted_search,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 def _mix_sql() -> str:
@@ -193,6 +200,62 @@ SELECT doc_id, domain, lang, source, n_words, copies, leaf_budget FROM counted W
     return ",".join(sql)
 
 
+def _framed_sql(value: str) -> str:
+    return (f"CASE WHEN {value} IS NULL THEN '-' ELSE "
+            f"octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR END")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_framed_sql, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# CRC-32 bit by bit, with the reversed polynomial and all bits set at both ends.
+_CRC_SQL = """xor(list_reduce([4294967295] || [ord(c) FOR c IN string_split(doc_id::VARCHAR, '')],
+  lambda crc, byte: list_reduce([xor(crc, byte)] || [0 FOR _ IN range(8)],
+    lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+_MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, lang, {_leaf_sql('n_chars')} AS leaf,
+         CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_leaf_sql('(n_chars + 1)')} ELSE {_leaf_sql('n_chars')} END AS middle,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos
+  FROM documents),
+nodes(lang, level, pos, h, n) AS (
+  SELECT lang, 0, pos, leaf, count(*) OVER (PARTITION BY lang) FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2),
+langs AS MATERIALIZED (
+  SELECT lang, h AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+  FROM nodes WHERE n = 1),
+upper(level, pos, h, n) AS (
+  SELECT 0, place, subroot, count(*) OVER () FROM langs
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM upper WHERE n > 1 GROUP BY level, pos // 2),
+climb AS (
+  SELECT l.doc_id, l.lang, level.n AS level, (l.pos >> level.n::INT) AS p
+  FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang, LATERAL (SELECT unnest(range(g.height)) AS n) level),
+steps AS (
+  SELECT c.doc_id, c.level, coalesce(s.h, '') AS sibling, c.p & 1 = 1 AS on_left
+  FROM climb c LEFT JOIN nodes s
+    ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.pos = xor(c.p, 1::BIGINT)
+  UNION ALL
+  SELECT l.doc_id, 1000 + level.n, coalesce(s.h, ''), (g.place >> level.n::INT) & 1 = 1
+  FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang,
+    LATERAL (SELECT unnest(range((SELECT max(level) FROM upper))) AS n) level
+    LEFT JOIN upper s ON s.level = level.n AND s.pos = xor(g.place >> level.n::INT, 1::BIGINT)),
+proof AS (
+  SELECT doc_id, sha256(string_agg(sibling, '' ORDER BY level)) AS proof_sha256,
+         list(CASE WHEN on_left THEN [sibling, ''] ELSE ['', sibling] END ORDER BY level) AS steps
+  FROM steps GROUP BY doc_id),
+folded AS (
+  SELECT l.doc_id, l.lang, leaf, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+         list_reduce([[middle, '']] || coalesce(steps, []), lambda a, s: [sha256(s[1] || a[1] || s[2]), ''])[1] AS folded_root
+  FROM leaves l LEFT JOIN proof USING (doc_id))
+SELECT f.doc_id, leaf, subroot, r.h AS root, proof_sha256, folded_root, folded_root = r.h AS verified
+FROM folded f JOIN langs g ON f.lang IS NOT DISTINCT FROM g.lang, (SELECT h FROM upper WHERE n = 1) r"""
+
 _ESCAPED = "replace(replace({0}, '&', '&amp;'), '<', '&lt;')"
 ORACLE_SQL = {
     "op1_line_spread": rf"""
@@ -249,6 +312,7 @@ SELECT conv_id, count(*) AS n_turns,
       + length({_ESCAPED.format('text')}))::BIGINT AS formatted_chars
 FROM named GROUP BY conv_id""",
     "op5_hierarchical_mix": _mix_sql(),
+    "op13_merkle_manifest": _MERKLE_SQL,
     "op10_norm_sorted_search": """
 WITH v AS (
   SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
