@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasmlens.llm import (
-    chat, language, lines, merkle, mixing, packing, rules, search, sharding, simhash, urls)
+    chat, language, lines, merkle, mixing, packing, rules, search, sharding, simhash, sketches,
+    urls)
 from rasmlens.llm.frames import stored, table
 
 # The url rules.
@@ -125,6 +126,13 @@ def op10_norm_sorted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("query_id"), "rank", "vec_id", "score")
 
 
+def op11_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketches.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     return merkle.manifest(
@@ -142,6 +150,7 @@ QUERIES = {
     "op8_chat_fingerprint": op8_chat_fingerprint,
     "op9_adaptive_rules": op9_adaptive_rules,
     "op10_norm_sorted_search": op10_norm_sorted_search,
+    "op11_scaled_sketch": op11_scaled_sketch,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -200,6 +209,32 @@ SELECT doc_id, domain, lang, source, n_words, copies, leaf_budget FROM counted W
     return ",".join(sql)
 
 
+_SKETCH_SQL = rf"""
+WITH said AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+paired AS (
+  SELECT doc_id, text, length(text) AS n_chars,
+         coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next
+  FROM said),
+edited AS (
+  SELECT *, substring(text, 1, n_chars - n_chars // 2) || substring(next, 1, n_chars // 2) AS edited FROM paired),
+texts AS MATERIALIZED (SELECT text AS t FROM edited UNION SELECT edited FROM edited),
+worded AS (SELECT t, regexp_extract_all(t, '[^ 	-]+') AS w FROM texts),
+hashed AS (
+  SELECT t, w, [md5(array_to_string(w[i:i + {sketches.SHINGLE - 1}], ' '))
+                FOR i IN range(1, greatest(len(w) - {sketches.SHINGLE - 1}, 1) + 1)] AS hs FROM worded),
+kept AS (
+  SELECT t, w, list_sort(list_distinct([h[1:{sketches.DIGITS}] FOR h IN hs IF h < '{sketches.BELOW}'])) AS k FROM hashed),
+prints AS MATERIALIZED (
+  SELECT t, k, CASE WHEN len(k) > 0 THEN array_to_string(k, '')
+                    ELSE '-' || md5(array_to_string(w, ' '))[1:{sketches.DIGITS}] END AS p FROM kept)
+SELECT doc_id, n_chars, sha256(e.edited) AS edited_sha256, a.p AS fingerprint, b.p AS edited_fingerprint,
+       CASE WHEN a.p = b.p THEN 1.0 WHEN least(len(a.k), len(b.k)) = 0 THEN 0.0
+            ELSE len(list_intersect(a.k, b.k)) / least(len(a.k), len(b.k)) END::DOUBLE AS near_edited,
+       CASE WHEN a.p = c.p THEN 1.0 WHEN least(len(a.k), len(c.k)) = 0 THEN 0.0
+            ELSE len(list_intersect(a.k, c.k)) / least(len(a.k), len(c.k)) END::DOUBLE AS near_next
+FROM edited e JOIN prints a ON a.t = e.text JOIN prints b ON b.t = e.edited JOIN prints c ON c.t = e.next"""
+
+
 def _framed_sql(value: str) -> str:
     return (f"CASE WHEN {value} IS NULL THEN '-' ELSE "
             f"octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR END")
@@ -312,6 +347,7 @@ SELECT conv_id, count(*) AS n_turns,
       + length({_ESCAPED.format('text')}))::BIGINT AS formatted_chars
 FROM named GROUP BY conv_id""",
     "op5_hierarchical_mix": _mix_sql(),
+    "op11_scaled_sketch": _SKETCH_SQL,
     "op13_merkle_manifest": _MERKLE_SQL,
     "op10_norm_sorted_search": """
 WITH v AS (
