@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasmlens.llm import (
-    chat, language, lines, merkle, mixing, packing, rules, search, sharding, simhash, sketches,
+    chat, collocations, language, lines, merkle, mixing, packing, rules, search, sharding, simhash, sketches,
     urls)
 from rasmlens.llm.frames import stored, table
 
@@ -133,6 +133,10 @@ def op11_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited", "near_next")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     return merkle.manifest(
@@ -151,6 +155,7 @@ QUERIES = {
     "op9_adaptive_rules": op9_adaptive_rules,
     "op10_norm_sorted_search": op10_norm_sorted_search,
     "op11_scaled_sketch": op11_scaled_sketch,
+    "op12_collocations": op12_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -218,7 +223,7 @@ paired AS (
 edited AS (
   SELECT *, substring(text, 1, n_chars - n_chars // 2) || substring(next, 1, n_chars // 2) AS edited FROM paired),
 texts AS MATERIALIZED (SELECT text AS t FROM edited UNION SELECT edited FROM edited),
-worded AS (SELECT t, regexp_extract_all(t, '[^ 	-]+') AS w FROM texts),
+worded AS (SELECT t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts),
 hashed AS (
   SELECT t, w, [md5(array_to_string(w[i:i + {sketches.SHINGLE - 1}], ' '))
                 FOR i IN range(1, greatest(len(w) - {sketches.SHINGLE - 1}, 1) + 1)] AS hs FROM worded),
@@ -235,6 +240,44 @@ SELECT doc_id, n_chars, sha256(e.edited) AS edited_sha256, a.p AS fingerprint, b
 FROM edited e JOIN prints a ON a.t = e.text JOIN prints b ON b.t = e.edited JOIN prints c ON c.t = e.next"""
 
 
+_COLLOCATIONS_SQL = r"""
+WITH said AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM said),
+singles AS MATERIALIZED (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM worded) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM singles GROUP BY lang),
+pairs AS MATERIALIZED (
+  SELECT lang, p[1] AS x, p[2] AS y, count(*) AS a
+  FROM (SELECT lang, unnest([w[i:i + 1] FOR i IN range(1, len(w))]) AS p FROM worded) GROUP BY ALL HAVING count(*) >= 10),
+triples AS MATERIALIZED (
+  SELECT lang, p[1] AS x, p[2] AS y, p[3] AS z, count(*) AS a
+  FROM (SELECT lang, unnest([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) AS p FROM worded) GROUP BY ALL HAVING count(*) >= 10),
+scored2 AS (
+  SELECT p.lang, p.x, p.y, p.a, u.f AS l, v.f AS r, (1000000::HUGEINT * p.a * p.a // (u.f::HUGEINT * v.f))::BIGINT AS score
+  FROM pairs p JOIN singles u ON u.lang = p.lang AND u.x = p.x JOIN singles v ON v.lang = p.lang AND v.x = p.y),
+cut3 AS (
+  SELECT t.lang, t.x, t.y, t.z, t.a, u.l AS l1, v.a AS r1, u.a AS l2, v.r AS r2,
+         (1000000::HUGEINT * t.a * t.a // (u.l::HUGEINT * v.a))::BIGINT AS s1,
+         (1000000::HUGEINT * t.a * t.a // (u.a::HUGEINT * v.r))::BIGINT AS s2
+  FROM triples t JOIN scored2 u ON u.lang = t.lang AND u.x = t.x AND u.y = t.y
+  JOIN scored2 v ON v.lang = t.lang AND v.x = t.y AND v.y = t.z),
+around AS (
+  SELECT lang, x, y, max(a) AS longer
+  FROM (SELECT lang, x, y, a FROM triples UNION ALL SELECT lang, y, z, a FROM triples) GROUP BY ALL),
+candidates AS (
+  SELECT s.lang, s.x || ' ' || s.y AS phrase, s.a, s.l, s.r, s.score
+  FROM scored2 s LEFT JOIN around o ON o.lang = s.lang AND o.x = s.x AND o.y = s.y
+  WHERE o.longer IS NULL OR 100 * o.longer < 50 * s.a
+  UNION ALL
+  SELECT lang, x || ' ' || y || ' ' || z, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END,
+         CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM cut3),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM candidates)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def _framed_sql(value: str) -> str:
     return (f"CASE WHEN {value} IS NULL THEN '-' ELSE "
             f"octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR END")
@@ -348,6 +391,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM named GROUP BY conv_id""",
     "op5_hierarchical_mix": _mix_sql(),
     "op11_scaled_sketch": _SKETCH_SQL,
+    "op12_collocations": _COLLOCATIONS_SQL,
     "op13_merkle_manifest": _MERKLE_SQL,
     "op10_norm_sorted_search": """
 WITH v AS (
