@@ -8,16 +8,17 @@ lengths and nothing is padded.
 
 import base64
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rasmlens.llm.frames import prepare_workers
+from rasmlens.llm.frames import prepare_workers, stored
 
 #: Entries, and characters of an entry, that a worker's table of encoded words may hold.
 TABLE_ENTRIES, TABLE_CHARS = 200_000, 40
@@ -85,14 +86,15 @@ def pack(
     id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """One row per piece: ``<id>, start, length, doc_tokens, sequence_id, offset, tokens``.
+    """One row per piece: ``<id>, start, length, doc_tokens, sequence_id, offset, nth, tokens``.
 
     ``tokens`` holds the ids as little-endian unsigned 32-bit integers; ``end_id`` closes
     each document. ``max_length`` is a power of two. A null or empty text is a document
     of ``end_id`` alone; a null id stays null; equal rows are packed each for itself;
     other columns are not looked at; an empty table gives no rows. One pass without a
     shuffle. ``sequence_id`` comes from the row's place in its partition, so keep the
-    result by writing it.
+    result by writing it. ``nth`` counts the partition's pieces of one length; ``in_buckets`` makes
+    of it a place among all.
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
@@ -102,12 +104,14 @@ def pack(
     out = T.StructType([
         T.StructField("id", kind), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("doc_tokens", T.LongType()),
+        T.StructField("nth", T.LongType()),
         T.StructField("tokens", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        seen: Counter[int] = Counter()
         for batch in batches:
-            places, starts, lengths, totals, tokens = [], [], [], [], []
+            places, starts, lengths, totals, order, tokens = [], [], [], [], [], []
             for place, value in enumerate(batch.column("text")):
                 ids = encode(value.as_py()) + end
                 start, total = 0, len(ids) // 4
@@ -116,18 +120,36 @@ def pack(
                     starts.append(start)
                     lengths.append(length)
                     totals.append(total)
+                    order.append(seen[length])
+                    seen[length] += 1
                     tokens.append(ids[4 * start:4 * (start + length)])
                     start += length
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(places, pa.int64())),
                  pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
-                 pa.array(totals, pa.int64()), pa.array(tokens, pa.binary())],
-                names=["id", "start", "length", "doc_tokens", "tokens"])
+                 pa.array(totals, pa.int64()), pa.array(order, pa.int64()), pa.array(tokens, pa.binary())],
+                names=["id", "start", "length", "doc_tokens", "nth", "tokens"])
 
     return chosen.mapInArrow(cut, out).select(
         F.col("id").alias(id), "start", "length", "doc_tokens",
         F.monotonically_increasing_id().alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"), "tokens")
+        F.lit(0).cast("long").alias("offset"), "nth", "tokens")
+
+
+def in_buckets(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``bucket``, the binary logarithm of the length, and ``place``, gapless from 0 in each
+    bucket, in place of ``nth``: so many places after one another are a batch of equal lengths.
+
+    The pieces are written as they come. What is put in order is how many of each length
+    a partition has, one row for each.
+    """
+    kept = stored(pieces, "pieces").withColumn("part", F.shiftright("sequence_id", 33))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = kept.groupBy("length", "part").agg(F.count("*").alias("n")).select(
+        "length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start_place"))
+    return kept.join(starts, ["length", "part"]).select(
+        *[c for c in pieces.columns if c != "nth"], F.log2("length").cast("int").alias("bucket"),
+        (F.col("start_place") + F.col("nth")).alias("place"))
 
 
 def write_buckets(pieces: DataFrame, path: str) -> str:

@@ -31,9 +31,10 @@ def op1_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pack_powers_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), max_length=1024)
-    return pieces.select(
+    # The ids themselves stay where they were made.
+    return packing.in_buckets(pieces.select(
         "doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens",
-        "sequence_id", "offset")
+        "sequence_id", "offset", "nth"))
 
 
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:

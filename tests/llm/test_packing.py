@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rasmlens.llm.packing import binary_lengths, encoder, pack, write_buckets
+from rasmlens.llm.packing import binary_lengths, encoder, in_buckets, pack, write_buckets
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -76,3 +76,20 @@ def test_empty_table_and_wrong_length(documents):
     assert pack(documents([])).count() == 0
     with pytest.raises(ValueError):
         pack(documents([]), max_length=1000)
+
+
+def test_places_in_buckets(documents):
+    rows = [(i, "some words " * (i % 7) * (i % 5) * 40, "en", "a") for i in range(90)] + [(None, None), (3, "x"), (3, "x")]
+    pieces = pack(documents(rows).repartition(4))
+    placed = in_buckets(pieces).collect()
+    assert len(placed) == pieces.count()
+    of = {}
+    for p in placed:
+        assert 1 << p["bucket"] == p["length"]
+        of.setdefault(p["bucket"], []).append(p["place"])
+    assert len(of) > 5
+    for places in of.values():
+        assert sorted(places) == list(range(len(places)))
+    whole = lambda rs: sorted((p["sequence_id"], p["start"], p["length"], bytes(p["tokens"])) for p in rs)
+    assert whole(placed) == whole(pieces.collect())
+    assert in_buckets(pack(documents([]))).collect() == []
