@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
+#: Records longer than this are fingerprinted without their long values, and read with the
+#: schema of their layout.
+LONG_RECORD, LONG_VALUE = 1_000_000, 1_000
 #: Names that stand for a canonical role.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant",
          "model": "assistant"}
@@ -22,7 +25,8 @@ class Mapping:
 
     ``paths`` is the layout's field paths as ``field_paths`` writes them. Either
     ``fields`` lists (role, field) in order, or ``items`` names the list of turns, whose
-    entries hold the role in ``role`` and the text in ``text``.
+    entries hold the role in ``role`` and the text in ``text``. ``roles`` says which names stand
+    for others in this layout.
     """
 
     name: str
@@ -31,6 +35,25 @@ class Mapping:
     items: str = ""
     role: str = ""
     text: str = ""
+    roles: tuple[tuple[str, str], ...] = tuple(ROLES.items())
+
+    def schema(self) -> str:
+        """Of the layout's JSON, with every scalar read as a string."""
+        if self.fields:
+            return "struct<" + ", ".join(f"{field}: string" for _, field in self.fields) + ">"
+        inner = f"array<struct<{self.role}: string, {self.text}: string>>"
+        for name in reversed(self.items.split(".")):
+            inner = f"struct<{name}: {inner}>"
+        return inner
+
+    def turns_of_long(self, record: Column) -> Column:
+        """The turns of a JSON string that is too long for a variant."""
+        read = F.from_json(record, self.schema(), {"maxStringLen": str((1 << 31) - 1)})
+        if self.fields:
+            return F.array(*[F.struct(F.lit(role).alias("role"), read[field].alias("text")) for role, field in self.fields])
+        for name in self.items.split("."):
+            read = read[name]
+        return F.transform(read, lambda t: F.struct(t[self.role].alias("role"), t[self.text].alias("text")))
 
     def turns(self, record: Column) -> Column:
         if self.fields:
@@ -59,6 +82,8 @@ MAPPINGS = (
             items="conversations", role="from", text="value"),
     Mapping("dialog", "OBJECT<dialog: OBJECT<turns: ARRAY<OBJECT<speaker: *, text: *>>>>",
             items="dialog.turns", role="speaker", text="text"),
+    Mapping("turns", "OBJECT<turns: ARRAY<OBJECT<role: *, text: *>>>",
+            items="turns", role="role", text="text", roles=()),
 )
 
 
@@ -67,6 +92,14 @@ def field_paths(record: Column) -> Column:
     return F.regexp_replace(F.schema_of_variant(record), r"(?<=[ <])[A-Z_]+(\([0-9,]+\))?(?=[,>]|$)", "*")
 
 
+def outline(record: Column) -> Column:
+    """The JSON string with a letter in the place of each long string in it. Escaped quotes are
+    taken out first, so that every second part between quotes is the inside of a string."""
+    bare = F.replace(F.replace(record, F.lit("\\\\"), F.lit("__")), F.lit('\\"'), F.lit("__"))
+    return F.array_join(F.transform(F.split(bare, '"'), lambda part, i: F.when(
+        (i % 2 == 1) & (F.length(part) > LONG_VALUE), F.lit("x")).otherwise(part)), '"')
+
+
 def escape(text: Column) -> Column:
     """No ``<`` is left, so markers cannot occur in a text. ``unescape`` undoes it."""
     return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
@@ -96,28 +129,39 @@ def canonical_turns(
     """``<id>, fingerprint, layout, turns`` for records given as JSON strings.
 
     ``turns`` are (role, text), a null in either being an empty string, and roles under
-    their canonical names. A record that is null, is no JSON or has unknown field paths
+    their layout's canonical names. A record that is null, is no JSON or has unknown field paths
     keeps its row, with null ``layout`` and null ``turns``. Equal rows stay; other columns
-    are left out.
+    are left out. Texts may be of any length; a record of so many short turns that its
+    outline cannot be parsed is an error, not a null.
     """
+    is_long = F.length(record) > LONG_RECORD
+    short = F.try_parse_json(F.when(is_long, outline(F.col(record))).otherwise(F.col(record)))
+    too_long = is_long & short.isNull() & F.json_object_keys(outline(F.col(record))).isNotNull()
     parsed = records.select(
-        F.col(id).alias("id"), F.try_parse_json(F.col(record)).alias("v"))
+        F.col(id).alias("id"), F.when(is_long, F.col(record)).alias("long"),
+        F.when(too_long, F.raise_error(F.lit("a record has too many turns")).cast("variant")).otherwise(short).alias("v"))
     marked = parsed.withColumn("fingerprint", F.xxhash64(field_paths(F.col("v"))))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in mappings:
         is_it = F.col("v").isNotNull() & (F.col("fingerprint") == F.xxhash64(F.lit(m.paths)))
         layout = F.when(is_it, F.lit(m.name)).otherwise(layout)
-        turns = F.when(is_it, m.turns(F.col("v"))).otherwise(turns)
-    names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+        turns = F.when(is_it & F.col("long").isNotNull(), _canonical(m.turns_of_long(F.col("long")), m.roles)).when(
+            is_it, _canonical(m.turns(F.col("v")), m.roles)).otherwise(turns)
+
+    return marked.select(
+        F.col("id").alias(id), F.when(F.col("v").isNotNull(), F.col("fingerprint")).alias("fingerprint"),
+        layout.alias("layout"), turns.alias("turns"))
+
 
-    def canonical(t: Column) -> Column:
+def _canonical(turns: Column, roles: tuple[tuple[str, str], ...]) -> Column:
+    names = F.create_map(*[F.lit(x) for pair in roles for x in pair]).cast("map<string, string>")
+
+    def turn(t: Column) -> Column:
         role = F.coalesce(t["role"], F.lit(""))
         return F.struct(F.coalesce(F.try_element_at(names, role), role).alias("role"),
                         F.coalesce(t["text"], F.lit("")).alias("text"))
 
-    return marked.select(
-        F.col("id").alias(id), F.when(F.col("v").isNotNull(), F.col("fingerprint")).alias("fingerprint"),
-        layout.alias("layout"), F.transform(turns, canonical).alias("turns"))
+    return F.transform(turns, turn)
 
 
 def render(turns: DataFrame, id: str = "conv_id") -> DataFrame:
@@ -175,13 +219,16 @@ def records_of_turns(
     """``<id>, record``: rows of single turns gathered into JSON records.
 
     What can be said as a prompt with its response, or as an instruction, becomes such a
-    record; other conversations become a list of messages under one of three layouts.
+    record; other conversations become a list of messages under one of three layouts. Roles
+    that are not usual are kept as they are, whatever other layouts mean by them.
     Turns are ordered by ``turn``, then role, then text, nulls first. Null roles and texts are
-    empty. A conversation is one row here, as it must be in any formatted output.
+    empty. A conversation is one row here, as it must be in any formatted output; a row
+    without an id belongs to no other and is a conversation of its own.
     """
     said = F.struct(F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"),
                     F.coalesce(text, F.lit("")).alias("text"))
-    gathered = turns.select(F.col(id).alias("id"), said.alias("said")).groupBy("id").agg(
+    alone = F.when(F.col(id).isNull(), F.monotonically_increasing_id())
+    gathered = turns.select(F.col(id).alias("id"), alone.alias("alone"), said.alias("said")).groupBy("id", "alone").agg(
         F.sort_array(F.collect_list("said")).alias("t"))
     roles = F.transform("t", lambda t: t["role"])
     text_at = lambda i: F.get("t", F.lit(i))["text"]
@@ -206,5 +253,6 @@ def records_of_turns(
             listed("from", "value", {"user": "human", "assistant": "gpt"}).alias("conversations"))))
         .when(usual & (other == 1), F.to_json(F.struct(
             F.struct(listed("speaker", "text").alias("turns")).alias("dialog"))))
-        .otherwise(F.to_json(F.struct(listed("role", "content").alias("messages")))))
+        .when(usual, F.to_json(F.struct(listed("role", "content").alias("messages"))))
+        .otherwise(F.to_json(F.struct(listed("role", "text").alias("turns")))))
     return gathered.select(F.col("id").alias(id), record.alias("record"))

@@ -377,19 +377,14 @@ FROM ruled""",
     "op8_chat_fingerprint": rf"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL VALUES (-7, 0, 'user', '{CONTROL_TEXT}'), (-7, 1, 'assistant', '{CONTROL_TEXT}')),
-named AS (
-  SELECT conv_id, turn, text, role AS as_written,
-         CASE role WHEN 'human' THEN 'user' WHEN 'prompter' THEN 'user' WHEN 'gpt' THEN 'assistant'
-           WHEN 'bot' THEN 'assistant' WHEN 'model' THEN 'assistant' ELSE role END AS role
-  FROM said)
+  UNION ALL VALUES (-7, 0, 'user', '{CONTROL_TEXT}'), (-7, 1, 'assistant', '{CONTROL_TEXT}'))
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, as_written, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, as_written, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum({len("<turn></turn>") + 2} + length(replace({_ESCAPED.format('role')}, chr(10), '&#10;'))
       + length({_ESCAPED.format('text')}))::BIGINT AS formatted_chars
-FROM named GROUP BY conv_id""",
+FROM said GROUP BY conv_id""",
     "op5_hierarchical_mix": _mix_sql(),
     "op11_scaled_sketch": _SKETCH_SQL,
     "op12_collocations": _COLLOCATIONS_SQL,

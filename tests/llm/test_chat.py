@@ -62,7 +62,8 @@ def test_round_trip_of_turn_rows(spark):
     rows = [(1, 1, "assistant", CONTROL), (1, 0, "user", "a\nb"), (2, 0, "system", "s"), (2, 1, "user", None),
             (2, 2, "assistant", ""), (3, 0, "odd\nrole<&", "x"), (3, 0, "odd\nrole<&", "x"), (3, None, None, "first"),
             (4, 0, "assistant", "one"), (4, 1, "assistant", "two"), (4, 2, "user", "u"), (5, 0, "user", "é🙂" * 50_000),
-            (None, 0, "user", "q"), (None, 1, "assistant", "a"), (6, 0, "human", "h"), (6, 1, "user", "u"),
+            (6, 0, "human", "h"), (6, 1, "gpt", "u"),
+            (7, 0, "user", "u"), (7, 1, "model", "m"), (7, 2, "bot", "b"), (7, 3, "prompter", "p"),
             *[(100 + i, t, ("system", "user", "assistant")[t % 3], f"text {t}") for i in range(9) for t in range(5)]]
     df = turn_rows(spark, [(*r, "clash", 1, "clash") for r in rows])
     out = chat.format_chat(chat.records_of_turns(df))
@@ -74,12 +75,49 @@ def test_round_trip_of_turn_rows(spark):
         by_id.setdefault(id, []).append((turn is not None, turn or 0, role or "", text or ""))
     assert got.keys() == by_id.keys()
     for id, turns in by_id.items():
-        want = [(chat.ROLES.get(role, role), text) for _, _, role, text in sorted(turns)]
+        want = [(role, text) for _, _, role, text in sorted(turns)]
         assert [tuple(t) for t in got[id]["turns"]] == want
         assert got[id]["loss"] == "".join(t for r, t in want if r == "assistant")
     assert len({got[i]["layout"] for i in got if i and i >= 100}) > 1
 
 
+def test_rows_without_an_id_are_conversations_of_their_own(spark):
+    rows = [(None, 0, "user", "q", None, 1, None), (None, 1, "assistant", "a", None, 1, None)] * 2
+    out = chat.format_chat(chat.records_of_turns(turn_rows(spark, rows)))
+    assert sorted(r["formatted"] for r in out.collect()) == sorted(
+        ["<turn>user\nq</turn>\n", "<turn>assistant\na</turn>\n"] * 2)
+
+
+def test_very_long_texts_are_kept(spark):
+    odd = 'é"\\"\\\\ \n<turn>{[: \U0001F642'
+    long = F.concat(F.lit(odd), F.repeat(F.lit("x"), 21_000_000), F.lit(odd))
+    base = spark.range(0, 3, 1, 1).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("id") + 1)))
+    rows = base.select(
+        F.col("id").alias("conv_id"), "turn", F.when(F.col("turn") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.when(F.col("turn") == 1, long).otherwise(F.lit(odd)).alias("text"))
+    out = chat.format_chat(chat.records_of_turns(rows))
+    got = out.select("conv_id", "layout", F.sha2(chat.read_loss(F.col("formatted"), F.col("loss_spans")), 256).alias("loss"),
+                     F.transform(chat.read_turns(F.col("formatted")), lambda t: F.length(t["text"])).alias("lengths")).collect()
+    n = 21_000_000 + 2 * len(odd)
+    learned = odd + "x" * 21_000_000 + odd
+    for r in got:
+        said = [n if t == 1 else len(odd) for t in range(r["conv_id"] + 2)]
+        assert r["lengths"] == said and r["layout"]
+        whole = learned + (odd if len(said) > 3 else "")
+        assert r["loss"] == hashlib.sha256(whole.encode()).hexdigest()
+
+
+def test_outline_of_every_layout(spark, monkeypatch):
+    """Long records take the other way to the same turns."""
+    names = list(LAYOUTS)
+    records = [(i, json.dumps(LAYOUTS[n]), "x", "y") for i, n in enumerate(names)]
+    records += [(i + 100, r.replace("q", 'q\\"\\\\'), "x", "y") for i, r, *_ in records] + [(200, "no json", "x", "y"), (201, "{}", "x", "y")]
+    usual = formatted(spark, records)
+    monkeypatch.setattr(chat, "LONG_RECORD", 0)
+    monkeypatch.setattr(chat, "LONG_VALUE", 15)
+    assert formatted(spark, records) == usual
+
+
 def test_query_adds_the_control_conversation(spark, sf_dir):
     from rasmlens.llm.queries import CONTROL_TEXT, op8_chat_fingerprint
     row = op8_chat_fingerprint(spark, sf_dir).where("conv_id = -7").first()
