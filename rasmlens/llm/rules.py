@@ -3,7 +3,13 @@
 Each measure's distribution is kept per language and source as a sketch of logarithmic
 buckets, whose counts add up when sketches are merged: a quantile read from it is off by
 at most ``ACCURACY`` of its value, in whatever order the parts came together. Fences
-drawn from the quartiles take the place of fixed cutoffs.
+drawn from its quantiles take the place of fixed cutoffs.
+
+A fence lies a number of spreads from the median, on a logarithmic scale. A measure that is
+0 for a tenth of a group or more has no such median. What one occurrence amounts to, 1 in so many words,
+does: its fence says which values are still few occurrences for a text of this group, and
+the other values within it draw the measure's own fence, if that is the further one. So values
+that stand apart from all others draw nothing, however many they are.
 """
 
 import math
@@ -20,9 +26,13 @@ from rasmlens.llm.frames import prepare_workers, stored
 ACCURACY = 0.01
 #: Values below this count as zero.
 LEAST = 1e-6
-#: How far beyond its quartiles a fence always lies: a measure that is 0 for nearly all
-#: documents of a group has quartiles without any spread.
-LEEWAY = {"word_length": 1.5, "symbols": 0.1, "dup_lines": 0.05, "repeats": 0.3}
+#: Bucket of values that count as zero.
+ZERO = -10_000
+#: Quantiles of which the spread is read, and how far apart the outer and the inner two are in
+#: standard deviations of a normal distribution.
+AT = {"q10": 0.1, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q90": 0.9}
+OUTER, INNER = 2.563, 1.349
+GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -87,27 +97,29 @@ def _measures() -> dict[str, Column]:
             "dup_lines": F.col("n_dup_lines") / words, "repeats": F.col("n_repeat_words") / words}
 
 
+#: The measure that no document is judged by: one occurrence in the text's words.
+ONE = "one"
+
+
 def _bucket(value: Column) -> Column:
-    gamma = (1 + ACCURACY) / (1 - ACCURACY)
-    return F.when(value < LEAST, F.lit(-10_000)).otherwise(
-        F.ceil(F.log(value) / math.log(gamma)).cast("int"))
+    return F.when(value < LEAST, F.lit(ZERO)).otherwise(F.ceil(F.log(value) / math.log(GAMMA)).cast("int"))
 
 
 def _value(bucket: Column) -> Column:
-    gamma = (1 + ACCURACY) / (1 - ACCURACY)
-    return F.when(bucket == -10_000, F.lit(0.0)).otherwise(
-        2 * F.pow(F.lit(gamma), bucket.cast("double")) / (gamma + 1))
+    return F.when(bucket == ZERO, F.lit(0.0)).otherwise(2 * F.pow(F.lit(GAMMA), bucket.cast("double")) / (GAMMA + 1))
 
 
 def sketch(rows: DataFrame, groups: list[str]) -> DataFrame:
     """``groups, measure, bucket, n``; adding up ``n`` merges sketches.
 
-    A measure spans fewer than 2,000 buckets, so that is what a group holds at most.
+    A measure spans fewer than 2,000 buckets, so that is what a group holds at most. Rows of a group
+    with the same counts, copies above all, are one entry.
     """
+    one = 1 / F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     entries = F.explode(F.array(*[
         F.struct(F.lit(name).alias("measure"), _bucket(value).alias("bucket"))
-        for name, value in _measures().items()]))
-    return (rows.select(*groups, entries.alias("e")).select(*groups, "e.*")
+        for name, value in [*_measures().items(), (ONE, one)]]))
+    return (rows.select(*groups, *COUNTS).distinct().select(*groups, entries.alias("e")).select(*groups, "e.*")
             .groupBy(*groups, "measure", "bucket").agg(F.count("*").alias("n")))
 
 
@@ -121,57 +133,69 @@ def quantiles(sketches: DataFrame, groups: list[str], at: dict[str, float]) -> D
         for name, q in at.items()])
 
 
-def fences(rows: DataFrame, groups: list[str], width: float, min_rows: int) -> DataFrame:
-    """One row per group with ``<measure>_low`` and ``<measure>_high``.
+def _spread() -> Column:
+    """Of ``AT``'s quantiles, as a factor's logarithm. Copies in the middle make the inner quantiles meet
+    and leave the outer ones apart; outliers at the ends do the opposite."""
+    return F.greatest((F.log("q75") - F.log("q25")) / INNER, (F.log("q90") - F.log("q10")) / OUTER)
+
+
+def _key(groups: list[str], level: int) -> Column:
+    """The first ``level`` keys as one value; nulls in it are equal to each other."""
+    return F.struct(F.lit(level).alias("level"), *groups[:level])
+
 
-    A group of fewer than ``min_rows`` rows takes the fences of the group without its last key,
-    for which its sketch has been merged with those of its neighbours, and so on.
+def drawn(sketches: DataFrame, reach: float) -> DataFrame:
+    """``key, total, f`` for sketches ``key, measure, bucket, n``; ``f`` has ``low`` and ``high`` by measure.
+
+    A measure whose quantiles are all in one bucket has no spread to draw fences from, and no entry.
+    """
+    whole = quantiles(sketches, ["key"], AT).withColumn("spread", _spread())
+    whole = whole.withColumn("spread", F.when(F.col("spread") > math.log(GAMMA), F.col("spread")))
+    far = lambda sign: F.col("q50") * F.exp(sign * reach * F.col("spread"))
+    few = whole.where(F.col("measure") == ONE).select("key", far(1).alias("few"))
+    near = sketches.join(few, "key").where(
+        (F.col("bucket") != ZERO) & (_value(F.col("bucket")) <= F.col("few"))).drop("few")
+    own = quantiles(near, ["key"], AT).withColumn("spread", _spread()).select(
+        "key", "measure", far(1).alias("own"))
+    both = whole.where(F.col("measure") != ONE).join(few, "key").join(own, ["key", "measure"], "left")
+    usual = F.col("q10") > 0
+    # A bucket's width further out: values are known by their buckets only.
+    fence = F.when(usual, F.struct((far(-1) / GAMMA).alias("low"), (far(1) * GAMMA).alias("high"))).otherwise(
+        F.struct(F.lit(0.0).alias("low"), (F.greatest("few", "own") * GAMMA).alias("high")))
+    return both.select("key", "measure", "total", F.when(fence["high"].isNotNull(), fence).alias("fence")).groupBy("key").agg(
+        F.max("total").alias("total"),
+        F.map_from_entries(F.collect_list(F.struct("measure", "fence"))).alias("f"))
+
+
+def fences(rows: DataFrame, groups: list[str], reach: float, min_rows: int) -> DataFrame:
+    """``key`` (all of ``groups``) and one column ``<measure>`` with ``low`` and ``high`` for each group.
+
+    Where a group has fewer than ``min_rows`` different rows, or a measure no spread, the fence is that of the
+    group without its last key, for which its sketch has been merged with those of its
+    neighbours, and so on; null if not even all documents have a spread.
     """
     base = stored(sketch(rows, groups), "sketches")
-    quartiles = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    names = list(_measures())
-    leeway = F.create_map(*[F.lit(x) for pair in LEEWAY.items() for x in pair])[F.col("measure")]
-    reach = F.greatest(width * (F.col("q3") - F.col("q1")), leeway)
-    low, high = F.col("q1") - reach, F.col("q3") + reach
-
-    def drawn(keys: list[str], level: int) -> DataFrame:
-        merged = base.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
-        of = quantiles(merged, keys, quartiles).groupBy(*keys)
-        return of.agg(
-            F.max("total").alias(f"n_{level}"),
-            F.map_from_entries(F.collect_list(F.struct(
-                "measure", F.struct(low.alias("low"), high.alias("high"))))).alias(f"f_{level}"))
-
-    out = base.select(*groups).distinct()
     levels = range(len(groups), -1, -1)
+    out = base.select(*groups).distinct()
     for level in levels:
-        keys = groups[:level]
-        parent = drawn(keys, level).select(
-            *[F.col(k).alias(f"_{k}") for k in keys], f"n_{level}", f"f_{level}")
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        condition = same[0] if same else F.lit(True)
-        for c in same[1:]:
-            condition = condition & c
-        # Without keys there is one row, that of all documents.
-        other = parent if keys else F.broadcast(parent)
-        out = out.join(other, condition, "left").drop(*[f"_{k}" for k in keys])
-    chosen = F.coalesce(*[
-        F.when((F.col(f"n_{level}") >= min_rows) | F.lit(level == 0), F.col(f"f_{level}"))
-        for level in levels])
-    picked = out.select(*groups, chosen.alias("f"))
-    return picked.select(*groups, *[
-        F.col("f")[name][side].alias(f"{name}_{side}") for name in names for side in ("low", "high")])
+        merged = base.select(_key(groups, level).alias("key"), "measure", "bucket", "n").groupBy(
+            "key", "measure", "bucket").agg(F.sum("n").alias("n"))
+        parent = drawn(stored(merged, "merged"), reach).select(
+            F.col("key").alias(f"key_{level}"), F.when((F.col("total") >= min_rows) | F.lit(level == 0), F.col("f")).alias(f"f_{level}"))
+        out = out.join(parent, _key(groups, level) == F.col(f"key_{level}"), "left")
+    return out.select(_key(groups, len(groups)).alias("key"), *[
+        F.coalesce(*[F.col(f"f_{level}")[name] for level in levels]).alias(name) for name in _measures()])
 
 
 def judge(
     docs: DataFrame, id: str = "doc_id", text: str = "text", groups: tuple[str, ...] = ("lang", "source"),
-    width: float = 3.0, min_rows: int = 100, min_words: int = 50, max_repeat_percent: int = 50,
+    reach: float = 4.5, min_rows: int = 100, min_words: int = 50, max_repeat_percent: int = 50,
 ) -> DataFrame:
     """``<id>``, the counts, ``base_failed`` and ``kept`` for every document.
 
     The base rules fail a document of fewer than ``min_words`` words or with more than
     ``max_repeat_percent`` of them in repeated windows. The others, all of them, draw the fences
-    of their group; a document outside a fence is not kept. A null text has no words; a
+    of their group, ``reach`` spreads from the median; a document outside a fence is not kept. A null text has no words; a
     null language or source is a group like any other; equal rows are judged alike; other
     columns are left out; an empty table gives no rows.
     """
@@ -179,15 +203,9 @@ def judge(
     keys = [f"g{i}" for i in range(len(groups))]
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    limits = fences(rows.where(~failed), keys, width, min_rows).select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        *[f"{m}_{side}" for m in _measures() for side in ("low", "high")])
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    limits = fences(rows.where(~failed), keys, reach, min_rows)
     inside = F.lit(True)
     for name, value in _measures().items():
-        inside = inside & value.between(F.col(f"{name}_low"), F.col(f"{name}_high"))
-    return rows.join(limits, match, "left").select(
-        F.col("id").alias(id), *COUNTS, failed.alias("base_failed"),
-        (~failed & F.coalesce(inside, F.lit(True))).alias("kept"))
+        inside = inside & F.coalesce(value.between(F.col(f"{name}.low"), F.col(f"{name}.high")), F.lit(True))
+    return rows.join(limits, _key(keys, len(keys)) == F.col("key"), "left").select(
+        F.col("id").alias(id), *COUNTS, failed.alias("base_failed"), (~failed & inside).alias("kept"))

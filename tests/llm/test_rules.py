@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -55,11 +56,112 @@ def test_outliers_go_and_the_others_stay(documents):
     assert sum(got[i]["kept"] for i in range(900)) >= 895
 
 
+def plain_quantile(buckets, q):
+    ordered = sorted(buckets)
+    bucket = ordered[math.ceil(len(ordered) * q) - 1]
+    return 0.0 if bucket == rules.ZERO else 2 * rules.GAMMA ** bucket / (rules.GAMMA + 1)
+
+
+def plain_spread(buckets):
+    at = {name: plain_quantile(buckets, q) for name, q in rules.AT.items()}
+    log = lambda a, b: math.log(at[a]) - math.log(at[b]) if at[a] and at[b] else -1.0
+    return at, max(log("q75", "q25") / rules.INNER, log("q90", "q10") / rules.OUTER)
+
+
+def plain_verdicts(rows, reach=4.5, min_rows=100):
+    """Verdicts by reading quantiles off sorted lists."""
+    bucket = lambda v: rules.ZERO if v < rules.LEAST else math.ceil(math.log(v) / math.log(rules.GAMMA))
+
+    def values(c):
+        n = max(c[0], 1)
+        return {"word_length": c[1] / n, "symbols": c[2] / n, "dup_lines": c[3] / n, "repeats": c[4] / n, "one": 1 / n}
+
+    counted = [(i, lang, site, plain_counts(text)) for i, text, lang, site in rows]
+    failed = lambda c: c[0] < 50 or 100 * c[4] > 50 * c[0]
+    different = {(lang, site, c) for _, lang, site, c in counted if not failed(c)}
+
+    def drawn(members):
+        lists = {m: [bucket(values(c)[m]) for c in members] for m in ("word_length", "symbols", "dup_lines", "repeats", "one")}
+        at, spread = plain_spread(lists["one"])
+        few = at["q50"] * math.exp(reach * spread) if spread > math.log(rules.GAMMA) else None
+        out = {}
+        for m in ("word_length", "symbols", "dup_lines", "repeats"):
+            at, spread = plain_spread(lists[m])
+            if at["q10"] > 0:
+                if spread > math.log(rules.GAMMA):
+                    out[m] = (at["q50"] * math.exp(-reach * spread) / rules.GAMMA, at["q50"] * math.exp(reach * spread) * rules.GAMMA)
+            elif few is not None:
+                near = [b for b in lists[m] if b != rules.ZERO and 2 * rules.GAMMA ** b / (rules.GAMMA + 1) <= few]
+                own = 0.0
+                if near:
+                    at, spread = plain_spread(near)
+                    own = at["q50"] * math.exp(reach * spread) if spread > math.log(rules.GAMMA) else 0.0
+                out[m] = (0.0, max(few, own) * rules.GAMMA)
+        return out
+
+    memo = {}
+
+    def fence(m, lang, site):
+        for level, key in ((2, (lang, site)), (1, (lang,)), (0, ())):
+            if (level, key) not in memo:
+                # A merged sketch counts what its parts have counted.
+                members = [c for *g, c in different if tuple(g[:level]) == key]
+                memo[level, key] = drawn(members) if members and (len(members) >= min_rows or level == 0) else {}
+            if m in memo[level, key]:
+                return memo[level, key][m]
+        return (-math.inf, math.inf)
+
+    out = []
+    for i, lang, site, c in counted:
+        inside = all(low <= values(c)[m] <= high for m in ("word_length", "symbols", "dup_lines", "repeats")
+                     for low, high in [fence(m, lang, site)])
+        out.append((i, *c, failed(c), not failed(c) and inside))
+    return out
+
+
+def mixed_group(rng, i):
+    text = good(rng)
+    if i % 9 == 0:
+        text += "\n" + "\n".join(["repeated line here"] * rng.randint(2, 9))
+    if i % 7 == 0:
+        text += " &" * rng.randint(1, 4)
+    if i % 13 == 0:
+        text = " ".join(w + "$$%" for w in text.split())
+    if i % 17 == 0:
+        text = " ".join(w * 3 for w in text.split())
+    return text
+
+
+def test_verdicts_against_plain(documents):
+    rng = random.Random(21)
+    langs, sites = ["en", "de", None, ""], ["a", "b", None]
+    rows = [(i, mixed_group(rng, i), rng.choice(langs[:2 + i % 3]), rng.choice(sites)) for i in range(1500)]
+    rows += [(5000 + i, rows[0][1], "en", "a") for i in range(400)]  # copies, the most of their group
+    rows += [(6000 + i, good(rng), "xx", "rare") for i in range(5)] + [(7000, None, None, None), (7001, "x", "en", "a")]
+    got = sorted(map(tuple, rules.judge(documents(rows)).collect()))
+    want = sorted(plain_verdicts(rows))
+    assert got == want
+    assert {r[-1] for r in got if not r[-2]} == {True, False}
+
+
+def test_copies_do_not_move_the_fences(documents):
+    rng = random.Random(22)
+    rows = [(i, good(rng), "en", "a") for i in range(300)]
+    copies = [(1000 + i, rows[0][1], "en", "a") for i in range(2000)]
+    kept = lambda rs: {r["doc_id"] for r in rules.judge(documents(rs)).collect() if r["kept"]}
+    assert kept(rows) == {i for i in kept(rows + copies) if i < 1000} and len(kept(rows)) > 295
+
+
+def test_texts_all_alike_draw_no_fence(documents):
+    rows = [(i, " ".join(f"w{j}" for j in range(60)), "en", "a") for i in range(200)]
+    assert all(r["kept"] for r in rules.judge(documents(rows + [(900, good(random.Random(1)), "en", "a")])).collect())
+
+
 def test_sketches_merge_and_quantiles_are_close(spark):
     rng = random.Random(7)
     values = [rng.lognormvariate(1, 1) for _ in range(5000)]
     rows = spark.createDataFrame(
-        [(i % 2, "k", 100, int(v * 100), 0, 0, 0) for i, v in enumerate(values)],
+        [(i % 2, "k", 100, int(v * 100), i, 0, 0) for i, v in enumerate(values)],
         "g0 int, other string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
     whole = rules.sketch(rows, [])
     halves = rules.sketch(rows, ["g0"]).groupBy("measure", "bucket").agg(F.sum("n").alias("n"))
