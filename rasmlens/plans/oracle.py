@@ -279,6 +279,11 @@ def ranked(more_than: int) -> str:
 
 RANKED = over_prepared(" UNION ALL ".join(map(ranked, RANKED_RULES)))
 
+LONG_LIST = f"""{DOCS},
+cleaned AS (SELECT *, {normalized('text')} AS clean FROM docs),
+counted AS (SELECT *, len(tokens)::INTEGER AS n_tokens FROM (SELECT *, list_filter({words('clean')},
+    lambda w: length(w) <> 3 AND w NOT IN ({listed(lex.DEFAULT_STOPWORDS)})) AS tokens FROM cleaned))"""
+
 SQL = {
     "class_profile": over_prepared("""SELECT label, count(*) AS n, round(avg(f023), 6) AS avg_f023,
   round(avg(f046), 6) AS avg_f046, round(avg(n_tokens), 6) AS avg_n_tokens,
@@ -305,10 +310,7 @@ SQL = {
     "stopword_filter_antijoin": token_lists(without(words("clean"), lex.DEFAULT_STOPWORDS)),
     "noun_hook": f"""WITH {TOKENIZED} SELECT doc_id,
   len(list_filter(tokens, lambda w: starts_with(w, 'ال')))::INTEGER AS articles FROM counted""",
-    "prepare_stopword_table": f"""WITH {DOCS},
-cleaned AS (SELECT *, {normalized('text')} AS clean FROM docs),
-counted AS (SELECT *, len(tokens)::INTEGER AS n_tokens FROM (SELECT *, list_filter({words('clean')},
-    lambda w: length(w) <> 3 AND w NOT IN ({listed(lex.DEFAULT_STOPWORDS)})) AS tokens FROM cleaned))
+    "prepare_stopword_table": f"""WITH {LONG_LIST}
 SELECT doc_id, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046 FROM counted WHERE n_tokens >= 5""",
     "min_token_filter": f"WITH {TOKENIZED} SELECT doc_id, n_tokens FROM counted WHERE n_tokens >= 5",
     "syllables_f023": features("f023"),
@@ -402,6 +404,11 @@ SELECT doc_id, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046 FRO
   FROM (VALUES ('NaiveBayes'), ('LogReg'), ('RandomForest'), ('LinearSVC')) m(model)"""),
     "stream_prepare": over_prepared(
         "SELECT md5(text) AS text_md5, label, n_tokens, f023, f046 FROM everything"),
+    "stream_stopword_table": f"""WITH {LONG_LIST}
+SELECT md5(text) AS text_md5, quality AS label, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046
+FROM counted LEFT JOIN labels USING (doc_id) WHERE n_tokens >= 5""",
+    "stream_running_accuracy": over_prepared("""SELECT count(*) AS n,
+  round(avg(coalesce(label = prediction, false)::INTEGER), 6) AS accuracy FROM guessed""", BAYES),
     "stream_naive_bayes": over_prepared(
         "SELECT md5(p.text) AS text_md5, label, prediction FROM guessed g JOIN "
         "(SELECT doc_id, text FROM everything) p USING (doc_id)", BAYES),

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from rasmlens import schema, sources, streaming, workspace
 from rasmlens.operators import prepare
 from rasmlens.plans.datasets import corpus, lab, labelled, once
+from rasmlens.plans.text import long_list
 
 PREPARED_OUT = T.StructType([
     T.StructField("text_md5", T.StringType()),
@@ -36,6 +37,36 @@ def stream_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.read_output(spark, output, PREPARED_OUT)
 
 
+def stream_stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preparation with a table of stop-words, of a stream: each micro-batch is matched with the list."""
+    banned = long_list(spark, sf_dir).distinct()
+    path = workspace.fresh_dir(spark, "long_list")
+    banned.write.parquet(path)
+
+    def each(batch: DataFrame) -> DataFrame:
+        rows = prepare(batch, stopwords=spark.read.parquet(path), keys=(streaming.ROW,))
+        return rows.select(
+            F.md5("text").alias("text_md5"), "label", schema.N_TOKENS,
+            F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
+
+    output = workspace.fresh_dir(spark, "prepared_batches")
+    query = streaming.write_batches(
+        streaming.read_stream(spark, _feed(spark, sf_dir)), output, workspace.fresh_dir(spark, "checkpoint"),
+        each, interval=None)
+    query.awaitTermination()
+    return streaming.read_batches(spark, output, PREPARED_OUT)
+
+
+def stream_running_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accuracy that a stream over the predictions' folder keeps, after two runs."""
+    predictions, folder = _predicted(spark, sf_dir, "NaiveBayes"), workspace.fresh_dir(spark, "tracked")
+    for files in (2, 1000):
+        query = streaming.track_accuracy(
+            spark, predictions, f"{folder}/totals", f"{folder}/checkpoint", interval=None, max_files_per_trigger=files)
+        query.awaitTermination()
+    return streaming.running_accuracy(spark, f"{folder}/totals").withColumn("accuracy", F.round("accuracy", 6))
+
+
 def _predicted(spark: SparkSession, sf_dir: str, name: str | None = None) -> str:
     """Folder of the predictions of one run with the saved named, or best, classifier."""
     def run() -> str:
@@ -111,6 +142,8 @@ QUERIES = {
     "timed_stream_rows": timed_stream_rows,
     "stream_accuracy_with_unlabelled": _accuracy("NaiveBayes", unlabelled=True),
     "stream_prepare": stream_prepare,
+    "stream_stopword_table": stream_stopword_table,
+    "stream_running_accuracy": stream_running_accuracy,
     "stream_naive_bayes": _predictions("NaiveBayes"),
     "stream_naive_bayes_accuracy": _accuracy("NaiveBayes"),
     "stream_predict": _predictions(),

@@ -75,12 +75,15 @@ def noun_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col(schema.F046).alias("articles"))
 
 
+def long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short = tokenized(spark, sf_dir).select(F.explode("tokens").alias("word")).where(F.length("word") == 3)
+    return spark.createDataFrame([(w,) for w in DEFAULT.stopwords], "word string").unionByName(short)
+
+
 def prepare_stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole preparation with a table of stop-words: the list itself, and every word of
     three letters that occurs."""
-    short = tokenized(spark, sf_dir).select(F.explode("tokens").alias("word")).where(F.length("word") == 3)
-    banned = spark.createDataFrame([(w,) for w in DEFAULT.stopwords], "word string").unionByName(short)
-    rows = prepare(documents(spark, sf_dir), stopwords=banned, keys=("doc_id",))
+    rows = prepare(documents(spark, sf_dir), stopwords=long_list(spark, sf_dir), keys=("doc_id",))
     return rows.select("doc_id", schema.N_TOKENS, F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rasmlens import schema
+from rasmlens import schema, workspace
 
 
 # The cells that pandas' CSV reader takes as missing.
@@ -64,7 +64,7 @@ def write_csv(df: DataFrame, path: str) -> str:
     A folder without the writer's success mark was left by a write that failed, and is
     written again.
     """
-    mode = "ignore" if _is_finished(df.sparkSession, path) else "overwrite"
+    mode = "ignore" if workspace.exists(df.sparkSession, f"{path}/_SUCCESS") else "overwrite"
     (df.write.mode(mode).option("header", True)
        .option("quote", '"').option("escape", '"').option("quoteAll", True)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -72,11 +72,6 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def _is_finished(spark: SparkSession, path: str) -> bool:
-    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
-
-
 def write_splits(splits: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """One CSV per named split, existing ones left as they are."""
     return {name: write_csv(df, f"{folder}/arabic_abstracts_{name}.csv")

@@ -11,6 +11,8 @@ from rasmlens import schema
 from rasmlens.functions import DEFAULT, TextProfile
 from rasmlens.operators.clean import prepare
 from rasmlens.sources.models import load_classifier, load_features
+from rasmlens.streaming.batches import ROW, read_batches, write_batches
+from rasmlens.streaming.triggers import triggered
 
 
 def write_feed(df: DataFrame, path: str, rows_per_file: int = 0) -> str:
@@ -33,10 +35,19 @@ def read_stream(
 
 
 def classify(
-    rows: DataFrame, features: PipelineModel, model, profile: TextProfile = DEFAULT
+    rows: DataFrame,
+    features: PipelineModel,
+    model,
+    profile: TextProfile = DEFAULT,
+    f023: str = schema.F023,
+    f046: str = schema.F046,
+    stopwords: DataFrame | None = None,
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Predictions for raw texts; the same call serves a batch and a stream."""
-    vectors = features.transform(prepare(rows, profile))
+    """Predictions for raw texts; the same call serves a batch and, without a table of
+    ``stopwords``, a stream. ``f023`` and ``f046`` are the names that ``features`` was fitted with."""
+    vectors = features.transform(prepare(
+        rows, profile, f023=f023, f046=f046, stopwords=stopwords, keys=keys))
     return model.transform(vectors).select("text", "label", "prediction")
 
 
@@ -47,17 +58,11 @@ def write_stream(
     micro-batches, and stops."""
     writer = (rows.writeStream.outputMode("append").format("json")
               .option("path", path).option("checkpointLocation", checkpoint))
-    return _triggered(writer, interval).start()
+    return triggered(writer, interval).start()
 
 
 def write_console(rows: DataFrame, interval: str | None = "3 seconds") -> StreamingQuery:
-    return _triggered(rows.writeStream.outputMode("append").format("console"), interval).start()
-
-
-def _triggered(writer, interval: str | None):
-    if interval is None:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=interval)
+    return triggered(rows.writeStream.outputMode("append").format("console"), interval).start()
 
 
 def run_for(query: StreamingQuery, seconds: int) -> bool:
@@ -92,6 +97,10 @@ def evaluate_output(spark: SparkSession, path: str) -> tuple[DataFrame | None, f
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None, 0.0
+    return _evaluated(output)
+
+
+def _evaluated(output: DataFrame) -> tuple[DataFrame | None, float]:
     row = stream_accuracy(output).first()
     return (output, row["accuracy"]) if row["n"] else (None, 0.0)
 
@@ -107,19 +116,31 @@ def run_stream(
     max_files_per_trigger: int = 5,
     interval: str | None = "3 seconds",
     seconds: int | None = None,
+    f023: str = schema.F023,
+    f046: str = schema.F046,
+    stopwords: DataFrame | None = None,
 ) -> tuple[DataFrame | None, float]:
     """Load the saved models, classify the feed and evaluate what was written.
 
-    Runs until the feed is used up (``interval=None``) or for ``seconds``.
+    Runs until the feed is used up (``interval=None``) or for ``seconds``. ``stopwords`` is a table
+    of any size with the column ``word``, which takes the place of the profile's list; the output
+    is then one folder per micro-batch (see ``read_batches``).
     """
     if interval is not None and seconds is None:
         raise ValueError("an endless trigger needs a time limit")
     rows = read_stream(spark, feed, max_files_per_trigger)
-    predicted = classify(
-        rows, load_features(features_path), load_classifier(spark, model_path), profile)
-    query = write_stream(predicted, output, checkpoint, interval)
+    features, model = load_features(features_path), load_classifier(spark, model_path)
+    if stopwords is None:
+        query = write_stream(
+            classify(rows, features, model, profile, f023, f046), output, checkpoint, interval)
+    else:
+        query = write_batches(
+            rows, output, checkpoint,
+            lambda batch: classify(batch, features, model, profile, f023, f046, stopwords, (ROW,)), interval)
     if seconds is None:
         query.awaitTermination()
     else:
         run_for(query, seconds)
+    if stopwords is not None:
+        return _evaluated(read_batches(spark, output))
     return evaluate_output(spark, output)

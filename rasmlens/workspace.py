@@ -23,9 +23,28 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/rasmlens/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at, files = _on_filesystem(spark, path)
+    return files.exists(at)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern with wildcards."""
+    at, files = _on_filesystem(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(at) or ()]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at, files = _on_filesystem(spark, path)
+    files.delete(at, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete everything that this application has stored below the shared folder. Results
     that still read from there must have been written elsewhere before."""
-    own = spark._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_dir(spark)}/rasmlens/{spark.sparkContext.applicationId}")
-    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+    delete(spark, f"{shared_dir(spark)}/rasmlens/{spark.sparkContext.applicationId}")
+
+
+def _on_filesystem(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -133,3 +133,96 @@ def test_empty_feed(spark, tmp_path, fitted):
         fitted["features_path"], fitted["model_path"], interval=None)
     assert got == (None, 0.0)
     assert streaming.evaluate_output(spark, str(tmp_path / "nowhere")) == (None, 0.0)
+
+
+LISTED = ["قلم", "معلم", "شبكة", "علم"]
+
+
+def banned(spark):
+    return spark.createDataFrame([(w,) for w in LISTED], "word string")
+
+
+def test_a_stream_with_a_table_of_stopwords_equals_a_batch_job(spark, tmp_path, fitted):
+    feed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_files(feed, rows(20) + rows(3) + [(None, 1), (" ".join(LISTED * 3), 0)])
+    result, accuracy = streaming.run_stream(
+        spark, feed, out, str(tmp_path / "checkpoint"), fitted["features_path"], fitted["model_path"],
+        interval=None, stopwords=banned(spark))
+    keyed = spark.read.schema(schema.STREAM_IN).json(feed).withColumn("id", F.monotonically_increasing_id())
+    batch = streaming.classify(
+        keyed, fitted["features"], fitted["model"], stopwords=banned(spark), keys=("id",))
+    want = Counter(map(tuple, batch.collect()))
+    assert 0 < sum(want.values()) < 23 and Counter(map(tuple, result.collect())) == want
+    assert accuracy == pytest.approx(sum(n for (_, label, p), n in want.items() if label == p) / sum(want.values()))
+    assert len(streaming.finished_batches(spark, out)) == 5
+
+
+def test_a_batch_that_failed_halfway_is_written_once(spark, tmp_path):
+    """The first run dies in its second batch, after some of its rows are written; a finished batch that was
+    not committed is run again as well."""
+    feed, out, checkpoint = (str(tmp_path / d) for d in ("in", "out", "checkpoint"))
+    write_files(feed, rows(12))
+    calls = []
+
+    def each(batch):
+        calls.append(1)
+        if len(calls) == 2:
+            folder = streaming.finished_batches(spark, out)[0].replace("batch=0", "batch=1")
+            batch.limit(2).select("text", "label").write.json(folder)
+            os.remove(folder.removeprefix("file:") + "/_SUCCESS")
+            raise RuntimeError("lost")
+        return batch.select("text", "label")
+
+    def run():
+        stream = streaming.read_stream(spark, feed)
+        streaming.write_batches(stream, out, checkpoint, each, interval=None).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert streaming.read_batches(spark, out, schema.STREAM_IN).count() == 5
+    for crc in (f"{checkpoint}/commits/.0.crc", f"{checkpoint}/commits/0"):
+        if os.path.exists(crc):
+            os.remove(crc)
+    run()
+    result = streaming.read_batches(spark, out, schema.STREAM_IN)
+    assert Counter(map(tuple, result.collect())) == Counter(rows(12))
+    write_files(feed, rows(2))
+    run()
+    assert streaming.read_batches(spark, out, schema.STREAM_IN).count() == 14
+    assert len(calls) == 5  # batch 0 was finished and is not made again
+
+
+def test_a_new_checkpoint_is_a_new_query(spark, tmp_path):
+    feed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_files(feed, rows(3))
+    for name in ("one", "two"):
+        streaming.write_batches(streaming.read_stream(spark, feed), out, str(tmp_path / name),
+                                lambda b: b.select("text", "label"), interval=None).awaitTermination()
+    assert streaming.read_batches(spark, out, schema.STREAM_IN).count() == 6
+    assert streaming.read_batches(spark, str(tmp_path / "none"), schema.STREAM_IN).count() == 0
+
+
+def test_feature_names_reach_the_stream(spark, tmp_path):
+    prepared = ops.prepare(spark.createDataFrame(rows(40), "text string, label int"), f023="syl", f046="nouns")
+    features = ops.fit_features(prepared, f023="syl", f046="nouns")
+    model = LogisticRegression(maxIter=5).fit(ops.vectorize(features, prepared))
+    feed = str(tmp_path / "in")
+    write_files(feed, rows(6))
+    result, _ = streaming.run_stream(
+        spark, feed, str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+        sources.save_fitted(features, str(tmp_path / "features")),
+        sources.save_classifier(model, str(tmp_path), "LogReg"), interval=None, f023="syl", f046="nouns")
+    assert result.count() == 6
+
+
+def test_running_accuracy_after_each_batch_and_a_restart(spark, tmp_path, fitted):
+    feed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    totals, tracked = str(tmp_path / "totals"), str(tmp_path / "tracked")
+    assert tuple(streaming.running_accuracy(spark, totals).first()) == (0, 0.0)
+    for step in range(4):
+        write_files(feed, rows(5) + [(TEXT.format("x"), None)])
+        output, _ = streaming.run_stream(
+            spark, feed, out, str(tmp_path / "checkpoint"), fitted["features_path"], fitted["model_path"], interval=None)
+        streaming.track_accuracy(spark, out, totals, tracked, interval=None, max_files_per_trigger=2).awaitTermination()
+        assert tuple(streaming.running_accuracy(spark, totals).first()) == tuple(streaming.stream_accuracy(output).first())
+        assert output.count() == 6 * (step + 1)
