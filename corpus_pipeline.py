@@ -7,7 +7,7 @@ The first four return the columns they were given; the last one returns the pack
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasmlens.llm import language, lines, mixing, packing, similar
+from rasmlens.llm import language, lines, mixing, packing, simhash
 from rasmlens.llm.frames import stored, table
 from rasmlens.llm.queries import (
     MIN_SITES, MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, mix_levels)
@@ -16,12 +16,18 @@ from rasmlens.llm.queries import (
 LEAST_SHARE = 0.5
 
 
+def whole_rows(docs: DataFrame, *read: str) -> DataFrame:
+    """``row``, all columns as one struct, and the columns that a stage reads. So no column that a
+    stage adds on its way can meet one of the documents' own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *read)
+
+
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or without a language of at least ``LEAST_SHARE``, go."""
     model = language.train(docs)
-    found = language.identify(docs, model, docs.columns)
+    found = language.identify(whole_rows(docs, "text"), model, ["row"])
     known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SHARE)
-    return found.where(known).select(*docs.columns)
+    return found.where(known).select("row.*")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,20 +38,20 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates stays."""
-    return similar.drop_near_duplicates(docs)
+    """The document with the smallest id of each SimHash group stays."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The target mixture; a document that is read twice stands there twice."""
-    chosen = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED, copies="copies")
-    return chosen.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")
-                         ).drop("_copy")
+    chosen = mixing.mix(whole_rows(docs, "doc_id", "text", "lang", "source"), mix_levels(), MIX_WEIGHTS,
+                        MIX_SHARE, MIX_EPOCHS, MIX_SEED, copies="copies")
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two lengths with their token ids."""
-    return packing.pack(docs).withColumn("ids_crc32", F.crc32("tokens"))
+    """Pieces of power-of-two lengths with their token ids, numbered within their lengths."""
+    return packing.in_buckets(packing.pack(docs)).withColumn("ids_crc32", F.crc32("tokens"))
 
 
 STAGES = [

@@ -11,13 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasmlens.llm import golay
 from rasmlens.llm.components import components
-from rasmlens.llm.frames import prepare_workers, stored
+from rasmlens.llm.frames import digest, prepare_workers, stored
 
 MAX_BITS = 4
 #: Widths of the segments, low bits first; none may exceed the code's length.
@@ -268,3 +268,23 @@ def _named(rows: DataFrame, name: Column, most_held: int) -> DataFrame:
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("first").alias("name"))
     return stored(of.select("fp", "root").join(least, "root").select("fp", "name"), "named")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 4, most_held: int = MOST_HELD,
+) -> DataFrame:
+    """``docs`` with all columns and one row of each component of ``near_duplicates``: that of the
+    smallest id (rows without an id come last), of equal ids that of the smallest text hash.
+
+    Texts without words, null ones too, have fingerprint 0 and are one group with whatever is
+    linked to it. Of equal rows one stays; an empty table gives an empty one; columns keep
+    their names, whatever they are.
+    """
+    h1, h2 = digest(F.col(text))
+    key = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), h1.alias("h1"), h2.alias("h2"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    rows = stored(fingerprints(docs, [key.alias("key")], text, window), "fingerprints")
+    kept = _named(rows, F.col("key"), most_held).select(F.col("name").alias("kept")).distinct()
+    once = Window.partitionBy("key").orderBy(F.lit(1))
+    return (whole.join(kept, F.col("key") == F.col("kept"), "left_semi")
+            .withColumn("nth", F.row_number().over(once)).where("nth = 1").select("row.*"))
