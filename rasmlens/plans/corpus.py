@@ -99,6 +99,16 @@ def _distribution(column: str):
     return run
 
 
+def percentiles_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The violins' percentiles, for the length and both features."""
+    rows = prepared_labelled(spark, sf_dir)
+    names = {c: short for c, short in MEASURES.items() if c != "label"}
+    return ops.union_all([
+        ops.percentiles_by_class(rows, c).select(
+            F.lit(short).alias("measure"), "label", "p", F.round("value", 6).alias("value"))
+        for c, short in names.items()])
+
+
 def _density(column: str, sampled: bool = False):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = prepared_labelled(spark, sf_dir)
@@ -227,6 +237,7 @@ QUERIES = {
     "ttr_by_class": ttr_by_class,
     "token_distribution_by_class": _distribution(schema.N_TOKENS),
     "noun_distribution_by_class": _distribution(schema.F046),
+    "percentiles_by_class": percentiles_by_class,
     "kde_tokens_by_class": _density(schema.N_TOKENS),
     "kde_tokens_sampled": _density(schema.N_TOKENS, sampled=True),
     "kde_f023_by_class": _density(schema.F023),

@@ -11,8 +11,6 @@ from rasmlens.plans.datasets import lab, prepared, prepared_labelled
 
 #: The rule whose predictions SQL can reproduce: more tokens than this means AI.
 RULE_TOKENS = 150
-#: A partial derivative below this counts as none.
-FLAT = 0.03
 RANKED_RULES = (50, 150, 400)
 
 
@@ -138,11 +136,34 @@ def random_forest_by_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.col("prediction") == (F.col("ai") > F.col("human")).cast("double")).alias("agrees"))
 
 
+def _gap(work, name: str) -> DataFrame:
+    """The certificate of a linear classifier; see ``duality_gap``."""
+    model = work.fit(name).model(name)
+    return ops.duality_gap(model, work.train, model.getOrDefault("regParam"), hinge=name == "LinearSVC")
+
+
+def _certified(name: str):
+    """Whether the loss is at most half the regularisation above the least possible, which puts the
+    standardised coefficients within a distance of 1 of the best ones."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _gap(lab(spark, sf_dir), name).select(
+            F.lit(name).alias("model"), (F.col("dual") <= F.col("primal") + 1e-12).alias("is_bound"),
+            (F.col("distance") <= 1.0).alias("is_near"))
+    return run
+
+
+def duality_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of both certificates."""
+    work = lab(spark, sf_dir)
+    return ops.union_all([_gap(work, name).withColumn("model", F.lit(name)) for name in ("LogReg", "LinearSVC")])
+
+
 def log_reg_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether the regularised loss is flat where logistic regression stopped after its 30
-    rounds: the largest partial derivative, in standardised features as it was fitted."""
+    """Whether the regularised loss is as flat, in every standardised feature, as its distance to the
+    least possible loss demands: a partial derivative is at most sqrt(2 * curvature * gap)."""
     work = lab(spark, sf_dir)
     model = work.fit("LogReg").model("LogReg")
+    reg, gap = model.getOrDefault("regParam"), _gap(work, "LogReg").first()["gap"]
     weights = spark.createDataFrame(
         [(i, float(w)) for i, w in enumerate(model.coefficients.toArray())], "j int, w double")
     errors = model.transform(work.train).select(
@@ -153,9 +174,54 @@ def log_reg_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     slopes = cells.groupBy("j").agg(
         F.sum(F.col("e") * F.col("x")).alias("g"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
     deviation = F.sqrt((F.col("q") - F.col("s") * F.col("s") / n) / (n - 1))
-    step = F.col("g") / n / deviation + F.lit(0.01) * F.col("w") * deviation
+    step = F.col("g") / n / deviation + reg * F.col("w") * deviation
+    curvature = F.col("q") / n / deviation / deviation / 4 + reg
     return slopes.join(weights, "j").where(deviation > 0).agg(
-        (F.max(F.abs(step)) < FLAT).alias("flat"))
+        F.min(F.abs(step) - F.sqrt(2 * curvature * gap) < 1e-9).alias("flat"))
+
+
+def _forest(spark: SparkSession, sf_dir: str):
+    """The fitted forest and the nodes of its stored form."""
+    model = lab(spark, sf_dir).fit("RandomForest").model("RandomForest")
+    path = sources.save_classifier(model, workspace.fresh_dir(spark, "forest"), "RandomForest")
+    return model, ops.forest_nodes(spark, path)
+
+
+def rf_importance_by_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each feature's importance is, to five digits, what its splits took away in impurity."""
+    model, nodes = _forest(spark, sf_dir)
+    said = spark.createDataFrame(
+        [(i, float(w)) for i, w in enumerate(model.featureImportances.toArray())], "feature int, said double")
+    found = ops.importance_by_hand(nodes, model.numFeatures)
+    return found.join(said, "feature").select(
+        "feature", (F.round("importance", 5) == F.round("said", 5)).alias("agrees"))
+
+
+def rf_nodes_add_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the statistics of all inner nodes are the sums of their children's, no split makes
+    impurity larger, and every tree has seen as much weight as there are training rows, give or take six
+    standard deviations of its bootstrap sample."""
+    model, nodes = _forest(spark, sf_dir)
+    n = lab(spark, sf_dir).train.agg(F.count("*").alias("n")).first()["n"]
+    seen = F.aggregate("stats", F.lit(0.0), lambda a, b: a + b)
+    roots = nodes.where("node = 0").agg(
+        F.count("*").alias("trees"), F.min(F.abs(seen - n) <= 6 * F.sqrt(F.lit(float(n)))).alias("whole"))
+    inner = ops.split_gains(nodes).agg(
+        F.min("adds_up").alias("adds_up"), F.min(F.col("gain") >= -1e-9).alias("gains"))
+    return roots.select("*", F.lit(1).alias("one")).join(inner.select("*", F.lit(1).alias("one")), "one").drop("one")
+
+
+SCORES = {"n_tokens": schema.N_TOKENS, "f023": schema.F023, "f046": schema.F046}
+
+
+def auc_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact areas for three scores and for naive Bayes, as four models of one table."""
+    work = lab(spark, sf_dir)
+    rules = prepared_labelled(spark, sf_dir).select("label", F.explode(F.create_map(*[
+        x for name, c in SCORES.items() for x in (F.lit(name), F.col(c).cast("double"))])).alias("model", "score"))
+    bayes = _naive_bayes(work).transform(work.test).select(
+        "label", F.lit("NaiveBayes").alias("model"), F.round(vector_to_array("rawPrediction")[1], 8).alias("score"))
+    return ops.auc_by_model(rules.unionByName(bayes)).withColumn("auc", F.round("auc", 9))
 
 
 def _train(name: str):
@@ -283,6 +349,12 @@ QUERIES = {
     "linear_svc_by_hand": _by_hand("LinearSVC"),
     "random_forest_by_hand": random_forest_by_hand,
     "log_reg_gradient": log_reg_gradient,
+    "log_reg_gap": _certified("LogReg"),
+    "linear_svc_gap": _certified("LinearSVC"),
+    "duality_gaps": duality_gaps,
+    "rf_importance_by_hand": rf_importance_by_hand,
+    "rf_nodes_add_up": rf_nodes_add_up,
+    "auc_by_model": auc_by_model,
     "naive_bayes_confusion": naive_bayes_confusion,
     "train_naive_bayes": _train("NaiveBayes"),
     "train_log_reg": _train("LogReg"),

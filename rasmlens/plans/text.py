@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from rasmlens import schema
 from rasmlens.functions import DEFAULT, drop_stopwords_by_table, normalize, split_words
 from rasmlens.functions import looks_like_noun, normalize_arabic, syllables, tokenize
-from rasmlens.operators import add_stylometrics, add_tokens, clean, prepare, token_counts
+from rasmlens.operators import (
+    add_stylometrics, add_tokens, clean, count_by_vocabulary, prepare, token_counts)
 from rasmlens.plans.datasets import corpus, documents, labelled, tokenized
 
 UNIFORM = replace(DEFAULT, hamza="hamza")
@@ -75,6 +76,16 @@ def noun_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col(schema.F046).alias("articles"))
 
 
+def _article_tagger():
+    return lambda words: [w.startswith("ال") for w in words]
+
+
+def noun_hook_by_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``noun_hook`` by a tagger in Python, which sees every distinct word once."""
+    rows = add_tokens(documents(spark, sf_dir)).select("doc_id", schema.TOKENS)
+    return count_by_vocabulary(rows, _article_tagger, "doc_id", "articles").select("doc_id", "articles")
+
+
 def long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = tokenized(spark, sf_dir).select(F.explode("tokens").alias("word")).where(F.length("word") == 3)
     return spark.createDataFrame([(w,) for w in DEFAULT.stopwords], "word string").unionByName(short)
@@ -121,6 +132,7 @@ QUERIES = {
     "stopword_filter_antijoin": stopword_filter_antijoin,
     "min_token_filter": min_token_filter,
     "noun_hook": noun_hook,
+    "noun_hook_by_vocabulary": noun_hook_by_vocabulary,
     "prepare_stopword_table": prepare_stopword_table,
     "syllables_f023": _features("f023"),
     "nouns_f046": _features("f046"),
