@@ -141,13 +141,14 @@ def in_buckets(pieces: DataFrame) -> DataFrame:
     bucket, in place of ``nth``: so many places after one another are a batch of equal lengths.
 
     The pieces are written as they come. What is put in order is how many of each length
-    a partition has, one row for each.
+    a partition has. That is at most one row for each of the lengths and partitions, far fewer
+    than the pieces, so it is broadcast and the pieces stay where they are.
     """
     kept = stored(pieces, "pieces").withColumn("part", F.shiftright("sequence_id", 33))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = kept.groupBy("length", "part").agg(F.count("*").alias("n")).select(
         "length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start_place"))
-    return kept.join(starts, ["length", "part"]).select(
+    return kept.join(F.broadcast(starts), ["length", "part"]).select(
         *[c for c in pieces.columns if c != "nth"], F.log2("length").cast("int").alias("bucket"),
         (F.col("start_place") + F.col("nth")).alias("place"))
 
