@@ -8,7 +8,6 @@ cleaning has to handle.
 """
 
 from collections.abc import Callable
-from functools import reduce
 from typing import TypeVar
 from weakref import WeakKeyDictionary
 
@@ -31,12 +30,9 @@ _made: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def _state(spark: SparkSession, sf_dir: str) -> str:
-    """Changes when a file of the tables does that the stored results come from."""
-    files = reduce(DataFrame.unionByName, [
-        table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size",
-                                          "_metadata.file_modification_time").distinct()
-        for name in ("documents", "labels")])
-    return str(files.agg(F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()[0])
+    """Changes when a file of the tables does that the stored results come from. Comes from a listing
+    of the files; nothing is read."""
+    return str([workspace.listing(spark, f"{sf_dir}/{name}.parquet") for name in ("documents", "labels")])
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], T]) -> T:

@@ -1,6 +1,8 @@
 """CSV and Parquet sources and sinks."""
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,16 +48,16 @@ def read_csv(
 def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
     """The files below a path, those with equal first lines together.
 
-    Only the names of files reach the driver, which lists them anyway.
+    The names come from Spark's own listing, and of each file only the first line is read: some
+    kilobytes, several files at a time.
     """
-    lines = spark.read.text(path).select(
-        F.regexp_replace("value", "^\uFEFF|\r$", "").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"))
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("line", "place").alias("header"))
-    alike = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
-    return [row["files"] for row in alike.orderBy("header").collect()]
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = pool.map(lambda file: workspace.first_line(spark, unquote(file)), files)
+        alike: dict[str, list[str]] = {}
+        for file, header in zip(files, headers):
+            alike.setdefault(header.removeprefix("\ufeff").rstrip("\r"), []).append(unquote(file))
+    return [sorted(alike[header]) for header in sorted(alike)]
 
 
 def write_csv(df: DataFrame, path: str) -> str:

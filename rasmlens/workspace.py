@@ -34,6 +34,28 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in files.globStatus(at) or ()]
 
 
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of change of a file, or of all files below a folder."""
+    at, files = _on_filesystem(spark, path)
+    found, each = [], files.listFiles(at, True)
+    while each.hasNext():
+        status = each.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file in UTF-8, which may be compressed."""
+    at, files = _on_filesystem(spark, path)
+    jvm, stream = spark._jvm, files.open(at)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(at)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     at, files = _on_filesystem(spark, path)
     files.delete(at, True)
