@@ -76,14 +76,13 @@ def noun_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col(schema.F046).alias("articles"))
 
 
-def _article_tagger():
-    return lambda words: [w.startswith("ال") for w in words]
-
-
 def noun_hook_by_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``noun_hook`` by a tagger in Python, which sees every distinct word once."""
+    def load():
+        return lambda words: [w.startswith("ال") for w in words]
+
     rows = add_tokens(documents(spark, sf_dir)).select("doc_id", schema.TOKENS)
-    return count_by_vocabulary(rows, _article_tagger, "doc_id", "articles").select("doc_id", "articles")
+    return count_by_vocabulary(rows, load, "doc_id", "articles").select("doc_id", "articles")
 
 
 def long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
