@@ -8,19 +8,23 @@ Keys are split into shards by hash, each with a small cascade of its own.
 """
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rasmlens.llm.frames import digest, prepare_workers, stored
 
 KEYS_PER_SHARD = 1 << 18
-#: Cascades that are handed to the executors at once. More are handed out in passes.
+#: Cascades of no more bytes are broadcast.
 BROADCAST_BYTES = 64 << 20
+#: Tasks among which the rows of one shard are dealt out.
+SALTS = 8
 MAX_LEVELS = 200
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -171,26 +175,49 @@ class Cascade:
     def mark(self, rows: DataFrame, key: str = "key", name: str = "listed") -> DataFrame:
         """Add ``name``: whether the row's key is listed (false for a null key).
 
-        The rows are never shuffled or joined. The cascades of a pass have at most
-        ``broadcast_bytes``; a list that needs more takes several passes, each over the
-        rows of its own shards.
+        Cascades that have at most ``broadcast_bytes`` together are broadcast, and rows stay where they
+        are. Larger ones stay in the shared folder's table and go to tasks shard by shard, with
+        the rows of that shard; the driver sees none of them. A shard's rows are dealt out to
+        ``SALTS`` tasks, as one key may have many.
         """
         prepare_workers(rows.sparkSession)
-        largest = self.filters.agg(F.max(F.length("blob"))).first()[0] or 1
-        each = max(1, self.broadcast_bytes // largest)
+        known = F.col(key).isNotNull()
         h1, h2 = digest(F.col(key))
-        out = None
-        for first in range(0, self.shards, each):
-            part = rows
-            if each < self.shards:
-                part = rows.where(shard_of(h2, self.shards).between(first, first + each - 1))
-            blobs = {r["shard"]: r["blob"] for r in self.filters.where(
-                F.col("shard").between(first, first + each - 1)).toLocalIterator()}
+        size = self.filters.agg(F.sum(F.length("blob"))).first()[0] or 0
+        if size <= self.broadcast_bytes:
+            blobs = {r["shard"]: r["blob"] for r in self.filters.collect()}
             sent = rows.sparkSession.sparkContext.broadcast(blobs)
-            part = part.withColumn(name, F.coalesce(
-                _lookup(sent)(h1, h2, shard_of(h2, self.shards)) & F.col(key).isNotNull(), F.lit(False)))
-            out = part if out is None else out.unionByName(part)
-        return out
+            return rows.withColumn(name, F.coalesce(
+                _lookup(sent)(h1, h2, shard_of(h2, self.shards)) & known, F.lit(False)))
+        place = shard_of(h2, self.shards) * SALTS + F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+        asked = rows.select(
+            place.alias("place"), F.lit(1).alias("side"), h1.alias("h1"), h2.alias("h2"), known.alias("known"),
+            F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+        copies = self.filters.select(
+            F.explode(F.sequence(F.col("shard") * SALTS, F.col("shard") * SALTS + (SALTS - 1))).alias("place"),
+            F.lit(0).alias("side"), "blob")
+        dealt = (asked.unionByName(copies, allowMissingColumns=True)
+                 .repartition(self.shards * SALTS, "place").sortWithinPartitions("place", "side"))
+        out = T.StructType([dealt.schema["row"], T.StructField("listed", T.BooleanType())])
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """A place's cascade comes first, then its rows; a place without listed keys has none."""
+            current, levels = None, []
+            for batch in batches:
+                of, side = batch.column("place").to_numpy(), batch.column("side").to_numpy()
+                cuts = np.flatnonzero(np.diff(of.astype("i8") * 2 + side)) + 1
+                for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)]):
+                    part = batch.slice(start, end - start)
+                    if of[start] != current:
+                        current, levels = of[start], []
+                    if side[start] == 0:
+                        levels = unpack_levels(part.column("blob")[0].as_py())
+                        continue
+                    h1, h2 = (part.column(c).to_numpy(zero_copy_only=False).astype("i8").view("u8") for c in ("h1", "h2"))
+                    found = walk(levels, h1, h2) & part.column("known").to_numpy(zero_copy_only=False).astype(bool)
+                    yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found)], names=["row", "listed"])
+
+        return dealt.mapInArrow(look_up, out).select("row.*", F.col("listed").alias(name))
 
 
 def shard_of(h2: Column, shards: int) -> Column:

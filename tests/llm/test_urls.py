@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rasmlens.llm import urls
+from rasmlens.llm.frames import stored
 from rasmlens.llm.queries import URL_RULES
 
 
@@ -43,14 +44,18 @@ def test_against_plain(spark):
 
 @pytest.mark.parametrize("share", [0.0, 0.001, 0.3, 0.9, 1.0])
 def test_cascade_is_exact_over_its_universe(spark, share):
-    """Many shards, and several passes of few cascades each."""
+    """Many shards, broadcast or dealt out with their rows, of which one key has a third."""
     keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), "id")
     listed = keys.where(F.col("id") < 5000 * share)
-    cascade = urls.Cascade.build(listed, keys.unionByName(keys), keys_per_shard=300, broadcast_bytes=1500)
-    marked = cascade.mark(keys, "key", "found")
+    cascade = urls.Cascade.build(listed, keys.unionByName(keys), keys_per_shard=300)
     assert cascade.shards > 10
-    assert marked.count() == 5000
-    assert marked.where(F.col("found") != (F.col("id") < 5000 * share)).count() == 0
+    hot = keys.unionByName(keys.where("id = 7").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2500)))).drop("n"))
+    hot = hot.unionByName(spark.createDataFrame([(None, -1)] * 3, "key string, id long"))
+    for cascade.broadcast_bytes in (1500, 0, 1 << 20):
+        marked = stored(cascade.mark(hot, "key", "found"), "marked")
+        assert marked.columns == ["key", "id", "found"] and marked.count() == 7503
+        assert marked.where(F.col("found") != F.coalesce(
+            F.col("key").isNotNull() & (F.col("id") < 5000 * share), F.lit(False))).count() == 0
 
 
 def test_levels_survive_storing():
