@@ -1,10 +1,13 @@
 """Exact inner-product search over vectors of descending length.
 
 Vectors are rotated to the principal axes of all of them, so that their first components
-hold most of every inner product. Candidates lie in ranges of descending length. By the
+hold most of every inner product. Candidates lie in ranges of descending length, which are
+gone through in waves, longest first. By the
 Cauchy-Schwarz inequality a query visits only the ranges whose longest vector could still
 reach its threshold; inside a range, partial sums over the first axes plus the product
-of the remaining lengths discard what cannot reach it. The rest is scored in integers.
+of the remaining lengths discard what cannot reach it. The rest is scored in integers. After a
+wave, a query's threshold is the least of its best scores so far, so later waves give
+few rows, or none.
 """
 
 import math
@@ -21,6 +24,8 @@ from rasmlens.llm.sharding import SAMPLE_PER_RANGE, range_of
 
 #: Candidates held in memory together, and the longest ones that give first thresholds.
 BLOCK_ROWS, SEED_ROWS = 8192, 2048
+#: Ranges of the first wave, and how many times as many the next one has.
+FIRST_WAVE, WAVE_GROWTH = 2, 4
 #: Queries scored together.
 QUERY_ROWS = 256
 #: Pairs scored together.
@@ -138,7 +143,8 @@ def top_k(
     are left out; empty tables give no rows.
 
     Candidates never lie in memory in more than ``block_rows`` at once, and queries pass by
-    them in batches. The broadcast block has ``seed_rows`` vectors.
+    them in batches. The broadcast block has ``seed_rows`` vectors. A wave has four times the
+    ranges of the one before, so there are few waves, and what they found is stored.
     """
     spark = candidates.sparkSession
     prepare_workers(spark)
@@ -151,7 +157,8 @@ def top_k(
     dims = max(dims, asked.agg(F.coalesce(F.max(F.size("v")), F.lit(1))).first()[0])
     axes = principal_axes(base, dims)
     keyed = base.withColumn("key", descending("length", "number"))
-    placed = keyed.withColumn("block", range_of("key", _bounds(keyed, n, block_rows)))
+    placed = stored(keyed.withColumn("block", range_of("key", _bounds(keyed, n, block_rows))).select(
+        "block", "id", "v", "length"), "placed")
     heads = sorted(placed.groupBy("block").agg(F.max("length").alias("longest")).collect(), key=lambda r: r["block"])
     longest = np.array([r["longest"] for r in heads])
     blocks = np.array([r["block"] for r in heads], "i4")
@@ -160,7 +167,7 @@ def top_k(
     sent = spark.sparkContext.broadcast(_collected(seed, dims, axes))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each query with its threshold and the ranges it has to visit."""
+        """Each query with its first threshold."""
         first = sent.value
         for batch in batches:
             ids, m = batch.column("id").to_numpy(), matrix(batch.column("v"), dims)
@@ -172,17 +179,9 @@ def top_k(
                 full = np.flatnonzero(counts == k)
                 ends = np.cumsum(counts)
                 least[at + full] = score[ends[full] - 1]
-            size = np.linalg.norm(m, axis=1)
-            visits = [blocks[s * longest * (1 + SLACK) + 1e-6 >= t] for s, t in zip(size, least)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("v"), pa.array(least), pa.array(visits, pa.list_(pa.int32()))],
-                names=["id", "v", "least", "blocks"])
-
-    visits = asked.mapInArrow(ask, "id long, v array<long>, least double, blocks array<int>").select(
-        F.explode("blocks").alias("block"), F.lit(1).alias("side"), "id", "v", "least")
-    both = placed.select(
-        "block", F.lit(0).alias("side"), "id", "v", F.lit(0.0).alias("least")).unionByName(visits)
-    dealt = both.repartition(max(1, len(blocks)), "block").sortWithinPartitions("block", "side")
+                [batch.column("id"), batch.column("v"), pa.array(np.linalg.norm(m, axis=1)), pa.array(least)],
+                names=["id", "v", "size", "least"])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The candidates of a range come first, then its queries, batch by batch."""
@@ -208,10 +207,44 @@ def top_k(
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(asking[q]), pa.array(c), pa.array(score)], names=["query_id", "found", "score"])
 
-    found = dealt.mapInArrow(visit, "query_id long, found long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", F.col("found").alias(id), "score"))
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
+    asked = stored(asked.mapInArrow(ask, "id long, v array<long>, size double, least double"), "asked")
+    best = spark.createDataFrame([], "query_id long, found long, score long, rank int")
+    least, start, size = asked.select(F.col("id").alias("query_id"), "least"), 0, FIRST_WAVE
+    while start < len(blocks):
+        wave = slice(start, start + size)
+        visits = asked.drop("least").join(least.withColumnRenamed("query_id", "id"), "id").select(
+            "id", "v", "size", "least").mapInArrow(
+            lambda batches, of=blocks[wave], far=longest[wave]: to_visit(batches, of, far),
+            "block int, side int, id long, v array<long>, least double")
+        among = F.col("block").between(int(blocks[wave][0]), int(blocks[wave][-1]))
+        both = placed.where(among).select(
+            "block", F.lit(0).alias("side"), "id", "v", F.lit(0.0).alias("least")).unionByName(visits)
+        dealt = both.repartition(len(blocks[wave]), "block").sortWithinPartitions("block", "side")
+        found = dealt.mapInArrow(visit, "query_id long, found long, score long")
+        best = stored(best.drop("rank").unionByName(found).withColumn("rank", F.row_number().over(by_score)).where(
+            F.col("rank") <= k), "best")
+        # The k-th best score so far; a query that has fewer keeps its threshold.
+        kth = best.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("kth"))
+        least = least.join(kth, "query_id", "left").select("query_id", F.greatest("least", "kth").alias("least"))
+        least = stored(least, "least")
+        start, size = start + size, size * WAVE_GROWTH
+    return best.select("query_id", "rank", F.col("found").alias(id), "score")
+
+
+def to_visit(
+    batches: Iterator[pa.RecordBatch], blocks: np.ndarray, longest: np.ndarray,
+) -> Iterator[pa.RecordBatch]:
+    """A row for each query and range that could still reach the query's threshold."""
+    for batch in batches:
+        size, least = batch.column("size").to_numpy(), batch.column("least").to_numpy()
+        for at in range(0, len(size), QUERY_ROWS):
+            reach = size[at:at + QUERY_ROWS, None] * longest * (1 + SLACK) + 1e-6
+            q, b = np.nonzero(reach >= least[at:at + QUERY_ROWS, None])
+            rows = pa.array(q + at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks[b]), pa.array(np.ones(len(q), "i4")),
+                 *[batch.column(c).take(rows) for c in ("id", "v", "least")]], names=["block", "side", "id", "v", "least"])
 
 
 def _collected(seed: DataFrame, dims: int, axes: np.ndarray) -> Block:
