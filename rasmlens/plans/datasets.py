@@ -152,7 +152,7 @@ class Lab:
         """The arena with at least the named classifiers (all by default) fitted."""
         estimators = default_estimators()
         missing = [n for n in names or estimators if n not in self.arena]
-        self.arena.add_all({n: estimators[n] for n in missing})
+        self.arena.add_all({n: estimators[n] for n in missing}, parallelism=max(1, len(missing)))
         return self.arena
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasmlens import schema, workspace
+from rasmlens.functions import DEFAULT, TextProfile, normalize_arabic
+from rasmlens.functions.lexicon import WHITESPACE
 
 
 # The cells that pandas' CSV reader takes as missing.
@@ -60,6 +62,15 @@ def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
     return [sorted(alike[header]) for header in sorted(alike)]
 
 
+def read_words(spark: SparkSession, path: str, profile: TextProfile = DEFAULT) -> DataFrame:
+    """A word list, one word a line, as the table ``word`` that ``prepare`` and ``run_stream`` take for
+    stop-words. Blank lines and what follows a ``#`` are left out; with the profile's
+    ``normalize_lexicon``, words get the spelling of cleaned text."""
+    word = F.btrim(F.split(F.regexp_replace("value", "^\uFEFF", ""), "#")[0], F.lit(WHITESPACE))
+    spelled = normalize_arabic(word, profile) if profile.normalize_lexicon else word
+    return spark.read.text(path).select(spelled.alias("word")).where("word <> ''").distinct()
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Write unless a finished table is there already; returns the path.
 

@@ -138,3 +138,16 @@ def test_first_lines_of_files(spark, tmp_path):
     assert read("d.csv.gz") == "name,x"
     back = sources.read_csv(spark, str(tmp_path))
     assert {tuple(r) for r in back.select("name", "x").collect()} == {("1", "2"), ("4", "3"), ("5", "6")}
+
+
+def test_word_list_file(spark, tmp_path):
+    from dataclasses import replace
+
+    from rasmlens.functions import DEFAULT
+    (tmp_path / "words.txt").write_text("\ufeffمن\n  إلى \n\n# note\nعلى # twice\nمن\r\n", encoding="utf-8")
+    words = lambda profile: {r.word for r in sources.read_words(spark, str(tmp_path / "words.txt"), profile).collect()}
+    assert words(DEFAULT) == {"من", "إلى", "على"}
+    assert words(replace(DEFAULT, normalize_lexicon=True)) == {"من", "الى", "على"}
+    banned = sources.read_words(spark, str(tmp_path / "words.txt"))
+    rows = spark.createDataFrame([(1, "من البيت على كتاب مدرسة قلم ورق")], "id int, text string")
+    assert ops.prepare(rows, stopwords=banned, keys=("id",)).first()["tokens"] == ["البيت", "كتاب", "مدرسة", "قلم", "ورق"]
