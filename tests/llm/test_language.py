@@ -1,5 +1,6 @@
 import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -68,6 +69,32 @@ def test_mixture_climbs_to_the_best_proportions():
     assert likelihood[0] >= best - 0.5 and abs(share[0, 0] - 0.7) < 0.08
 
 
+def test_language_sets_against_all_subsets():
+    """The set chosen by growing has the best penalised likelihood of all sets, or one as good."""
+    rng = np.random.default_rng(6)
+    p = rng.dirichlet(np.full(60, 0.5), 4)
+    same = 0
+    docs = 60
+    for _ in range(docs):
+        among = rng.choice(4, rng.integers(1, 4), replace=False)
+        share = rng.dirichlet(np.full(len(among), 4.0))
+        n = rng.multinomial(int(rng.integers(60, 3000)), share @ p[among]).astype("f8")
+        full = np.flatnonzero(n)
+        counts = language._Counts(np.zeros(len(full), "i8"), n[full], p[:, full], 1)
+
+        def value(languages):
+            start = np.zeros((1, 4))
+            start[0, list(languages)] = 1 / len(languages)
+            return language.mixture(counts, start, 300, 1e-7)[1][0] / 3 - np.log(n.sum()) * len(languages)
+
+        chosen = tuple(np.flatnonzero(language.infer(counts, 1.0, 300)[0]).tolist())
+        values = {s: value(s) for k in range(1, 5) for s in combinations(range(4), k)}
+        best = max(values.values())
+        same += values[chosen] >= best - 1e-6
+        assert values[chosen] >= best - 3.0, (chosen, values)
+    assert same >= 0.9 * docs
+
+
 def test_no_language_learnt(documents):
     model = language.train(documents([(1, "text", None), (2, None, "aa")]))
     assert model.languages == ()
