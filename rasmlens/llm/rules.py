@@ -140,8 +140,9 @@ def _spread() -> Column:
 
 
 def _key(groups: list[str], level: int) -> Column:
-    """The first ``level`` keys as one value; nulls in it are equal to each other."""
-    return F.struct(F.lit(level).alias("level"), *groups[:level])
+    """The first ``level`` keys as one value, the others null; nulls in it are equal to each other."""
+    return F.struct(F.lit(level).alias("level"), *[
+        (F.col(g) if i < level else F.lit(None).cast("string")).alias(g) for i, g in enumerate(groups)])
 
 
 def drawn(sketches: DataFrame, reach: float) -> DataFrame:
@@ -176,15 +177,17 @@ def fences(rows: DataFrame, groups: list[str], reach: float, min_rows: int) -> D
     """
     base = stored(sketch(rows, groups), "sketches")
     levels = range(len(groups), -1, -1)
+    # The sketches of all levels are merged, and their fences drawn, in one go.
+    merged = base.select(F.explode(F.array(*[_key(groups, level) for level in levels])).alias("key"), "measure", "bucket", "n"
+                         ).groupBy("key", "measure", "bucket").agg(F.sum("n").alias("n"))
+    found = stored(drawn(stored(merged, "merged"), reach).where(
+        (F.col("total") >= min_rows) | (F.col("key.level") == 0)), "fences")
     out = base.select(*groups).distinct()
     for level in levels:
-        merged = base.select(_key(groups, level).alias("key"), "measure", "bucket", "n").groupBy(
-            "key", "measure", "bucket").agg(F.sum("n").alias("n"))
-        parent = drawn(stored(merged, "merged"), reach).select(
-            F.col("key").alias(f"key_{level}"), F.when((F.col("total") >= min_rows) | F.lit(level == 0), F.col("f")).alias(f"f_{level}"))
+        parent = found.where(F.col("key.level") == level).select(F.col("key").alias(f"key_{level}"), F.col("f").alias(f"f_{level}"))
         out = out.join(parent, _key(groups, level) == F.col(f"key_{level}"), "left")
-    return out.select(_key(groups, len(groups)).alias("key"), *[
-        F.coalesce(*[F.col(f"f_{level}")[name] for level in levels]).alias(name) for name in _measures()])
+    return stored(out.select(_key(groups, len(groups)).alias("key"), *[
+        F.coalesce(*[F.col(f"f_{level}")[name] for level in levels]).alias(name) for name in _measures()]), "chosen")
 
 
 def judge(
