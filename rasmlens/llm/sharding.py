@@ -17,6 +17,8 @@ from rasmlens.llm.frames import prepare_workers, stored
 
 #: Ranges for one shard, and sampled keys for one range.
 RANGES_PER_SHARD, SAMPLE_PER_RANGE = 16, 16
+#: Rows of a range, about, where that makes more ranges. One task puts a range in order.
+ROWS_PER_RANGE = 1 << 20
 #: A range of more than so many times its share of the bytes is subdivided.
 OVERFULL = 2.0
 MAX_ROUNDS = 8
@@ -89,8 +91,8 @@ def shard(
         F.monotonically_increasing_id().alias("number"), F.col(text).alias("text"))
     rows = stored(numbered.select(
         "id", "size", "text_crc32", "number", record_key(F.col("text"), F.col("number")).alias("key")), "records")
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    bounds, filled = splitters(rows, total, shards * RANGES_PER_SHARD)
+    total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    bounds, filled = splitters(rows, total, max(shards * RANGES_PER_SHARD, math.ceil(n / ROWS_PER_RANGE)))
     offsets = pd.DataFrame({
         "range": filled["range"].astype("int32"),
         "bytes_before": (filled["bytes"].cumsum() - filled["bytes"]).astype("int64"),

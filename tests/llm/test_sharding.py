@@ -35,6 +35,12 @@ def test_equal_texts_stay_together_unless_too_many(documents):
     assert apart <= 4  # only at the four ends between shards
 
 
+def test_more_rows_make_more_ranges(documents, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 7)
+    rows = [(i, "x" * (i % 50)) for i in range(900)]
+    check(rows, sharding.shard(documents(rows), shards=3).collect(), 3, 66)
+
+
 def test_few_and_no_rows(documents):
     assert sharding.shard(documents([])).count() == 0
     assert sharding.shard(documents([(1, None)]), shards=40).count() == 1
