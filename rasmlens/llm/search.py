@@ -154,7 +154,8 @@ def top_k(
     base = stored(base.withColumn("length", F.sqrt(length2)).withColumn(
         "number", F.monotonically_increasing_id()), "vectors")
     n, dims = base.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    dims = max(dims, asked.agg(F.coalesce(F.max(F.size("v")), F.lit(1))).first()[0])
+    n_asked, widest = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    dims = max(dims, widest)
     axes = principal_axes(base, dims)
     keyed = base.withColumn("key", descending("length", "number"))
     placed = stored(keyed.withColumn("block", range_of("key", _bounds(keyed, n, block_rows))).select(
@@ -208,7 +209,11 @@ def top_k(
                         [pa.array(asking[q]), pa.array(c), pa.array(score)], names=["query_id", "found", "score"])
 
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
-    asked = stored(asked.mapInArrow(ask, "id long, v array<long>, size double, least double"), "asked")
+    # Few queries are few bytes, which would make them one task.
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(math.ceil(n_asked / QUERY_ROWS), max(shuffled, math.ceil(n_asked / (256 * QUERY_ROWS))))
+    asked = stored(asked.repartition(max(1, tasks), "id").mapInArrow(
+        ask, "id long, v array<long>, size double, least double"), "asked")
     best = spark.createDataFrame([], "query_id long, found long, score long, rank int")
     least, start, size = asked.select(F.col("id").alias("query_id"), "least"), 0, FIRST_WAVE
     while start < len(blocks):
