@@ -7,7 +7,6 @@ lengths and nothing is padded.
 """
 
 import base64
-import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,24 +19,18 @@ from pyspark.sql import types as T
 
 from rasmlens.llm.frames import prepare_workers, stored
 
-#: Entries, and characters of an entry, that a worker's table of encoded words may hold.
-TABLE_ENTRIES, TABLE_CHARS = 200_000, 40
 
-
-class Encoder(dict):
+class Encoder:
     """Token ids as little-endian unsigned 32-bit integers, by a byte-level BPE vocabulary.
 
-    The vocabulary's own splitting rule always starts a new word at a space before a
-    letter or digit. So what lies between two such spaces is encoded alone, and common
-    stretches are looked up. Texts that spell the vocabulary's special token, which
-    the full tokenizer reads as that one id, go to the full tokenizer.
+    A text is encoded in one call, without Python objects for its words or ids. Texts
+    that spell the vocabulary's special token, which the full tokenizer reads as that one
+    id, go to the full tokenizer.
     """
 
-    BREAK = re.compile(r" (?=[^\W_])")
     SPECIAL = "<|endoftext|>"
 
     def __init__(self, name: str):
-        super().__init__()
         import public_tokenizers
         import tiktoken
         ranks_file = public_tokenizers.path(f"{name}.tiktoken")
@@ -45,25 +38,15 @@ class Encoder(dict):
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding(
             name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-            special_tokens={}).encode_ordinary
+            special_tokens={}).encode_to_numpy
         self.full_path = public_tokenizers.path(f"{name}.json")
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.plain(" " + word), "<u4").tobytes()
-        if len(word) <= TABLE_CHARS:
-            if len(self) >= TABLE_ENTRIES:
-                self.clear()
-            self[word] = ids
-        return ids
-
     def __call__(self, text: str) -> bytes:
         if self.SPECIAL in text:
             from tokenizers import Tokenizer
             full = Tokenizer.from_file(self.full_path)
             return np.array(full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        first, *others = self.BREAK.split(text)
-        start = np.array(self.plain(first), "<u4").tobytes()
-        return start + b"".join(map(self.__getitem__, others))
+        return self.plain(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=2)

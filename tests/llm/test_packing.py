@@ -35,6 +35,15 @@ def test_encoder_is_the_full_tokenizer(full):
         assert np.frombuffer(fast(text), "<u4").tolist() == ids_of(full, text), repr(text)
 
 
+def test_a_text_is_encoded_in_one_call(full, monkeypatch):
+    fast, calls = encoder("byte_bpe_50k"), []
+    plain = fast.plain
+    monkeypatch.setattr(fast, "plain", lambda text, **options: calls.append(text) or plain(text, **options))
+    text = " ".join(f"word{i}, other" for i in range(500))
+    assert np.frombuffer(fast(text), "<u4").tolist() == ids_of(full, text)
+    assert calls == [text]
+
+
 def test_binary_lengths():
     for n in range(1, 5000):
         parts = binary_lengths(n, 1024)
