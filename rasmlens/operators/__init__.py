@@ -3,7 +3,7 @@ from rasmlens.operators.arena import (
 from rasmlens.operators.clean import add_stylometrics, add_tokens, clean, prepare
 from rasmlens.operators.density import kernel_density
 from rasmlens.operators.evidence import (
-    duality_gap, forest_nodes, importance_by_hand, split_gains)
+    duality_gap, forest_nodes, forest_votes, importance_by_hand, split_gains)
 from rasmlens.operators.explore import (
     class_composition, correlation_matrix, distribution_by_class, label_counts, row_count,
     token_counts, top_tokens)
@@ -25,8 +25,8 @@ __all__ = [
     "bernoulli_sample", "best_trial", "class_composition", "clean", "confusion_counts",
     "confusion_matrix", "correlation_matrix", "count_by_vocabulary", "default_estimators",
     "distribution_by_class", "duality_gap", "evaluate_on_test", "feature_importance", "feature_stages",
-    "fit_features", "fit_trial", "forest_nodes", "hash_sample", "hash_split", "importance_by_hand",
-    "inference_sweep", "ingest", "kernel_density", "label_counts", "melt", "percentiles_by_class",
+    "fit_features", "fit_trial", "forest_nodes", "forest_votes", "hash_sample", "hash_split",
+    "importance_by_hand", "inference_sweep", "ingest", "kernel_density", "label_counts", "melt", "percentiles_by_class",
     "prepare", "random_split", "random_split_two_stage", "ranking", "roc_auc", "row_count",
     "sample_limit", "scale_by_deviation", "score", "split_gains", "split_index", "tag_vocabulary",
     "term_counts", "term_idf", "tfidf", "token_counts", "top_tokens", "union_all", "vectorize",

@@ -1,11 +1,18 @@
 """What shows that a fitted classifier is the one its settings ask for."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Widths of the band of margins around 1 in which a support vector's weight falls from 1 to 0.
 BANDS = (0.02, 0.05, 0.1, 0.2, 0.4, 0.8)
+#: Vectors that a task opens to their full length at a time.
+OPENED = 256
 
 
 def cells_of(rows: DataFrame, *keep: str) -> DataFrame:
@@ -81,11 +88,63 @@ def duality_gap(model, train: DataFrame, reg: float, hinge: bool = False) -> Dat
 
 
 def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
-    """``tree, node, left, right, feature, n, stats`` of a stored forest; leaves have -1 for children. ``stats`` are
-    the class weights of the rows that reached the node."""
+    """``tree, node, left, right, feature, bound, stats`` of a stored forest; leaves have -1 for children. ``stats``
+    are the class weights of the rows that reached the node."""
     return spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*").select(
         "tree", F.col("id").alias("node"), F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
-        F.col("split.featureIndex").alias("feature"), F.col("impurityStats").alias("stats"))
+        F.col("split.featureIndex").alias("feature"),
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("bound"), F.col("impurityStats").alias("stats"))
+
+
+def forest_votes(rows: DataFrame, nodes: DataFrame, n_features: int, *keep: str) -> DataFrame:
+    """``keep`` and ``votes`` for every row: the class shares of the leaves that its ``features`` reach,
+    added up over the trees in their order. Splits are by thresholds.
+
+    The nodes, which are as many as the model has, go to the tasks as arrays. A vector stays where it
+    is and goes down all trees at once, so a row costs the same whatever the number of rows.
+    """
+    found = nodes.toArrow()
+    tree, node = (found.column(c).to_numpy() for c in ("tree", "node"))
+    shape = (int(tree.max()) + 1, int(node.max()) + 1)
+
+    def by_tree(name: str) -> np.ndarray:
+        values = found.column(name).to_numpy()
+        cells = np.zeros(shape, values.dtype)
+        cells[tree, node] = values
+        return cells
+
+    left, right, feature = (by_tree(c) for c in ("left", "right", "feature"))
+    bound = np.nan_to_num(by_tree("bound"))
+    stats = np.array(found.column("stats").to_pylist(), float)
+    shares = np.zeros((*shape, stats.shape[1]))
+    shares[tree, node] = stats / stats.sum(axis=1, keepdims=True)
+    opened = rows.select(*keep, F.unwrap_udt("features").alias("v"))
+    at = F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1))
+    sparse = opened.select(*keep, at.alias("_at"), F.col("v.values").alias("_x"))
+    out = T.StructType([*sparse.select(*keep).schema.fields, T.StructField("votes", T.ArrayType(T.DoubleType()))])
+    names = [*keep, "votes"]
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = np.arange(shape[0])
+        for batch in batches:
+            for start in range(0, batch.num_rows, OPENED):
+                part = batch.slice(start, OPENED)
+                each = np.arange(part.num_rows)
+                lengths = part.column("_at").value_lengths().to_numpy()
+                x = np.zeros((part.num_rows, n_features))
+                x[np.repeat(each, lengths), part.column("_at").flatten().to_numpy()] = part.column("_x").flatten().to_numpy()
+                reached = np.zeros((part.num_rows, shape[0]), left.dtype)
+                while (inner := left[trees, reached] >= 0).any():
+                    small = x[each[:, None], feature[trees, reached]] <= bound[trees, reached]
+                    below = np.where(small, left[trees, reached], right[trees, reached])
+                    reached = np.where(inner, below, reached)
+                votes = np.zeros((part.num_rows, shares.shape[2]))
+                for k in trees:
+                    votes += shares[k, reached[:, k]]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in keep), pa.array(list(votes), pa.list_(pa.float64()))], names=names)
+
+    return sparse.mapInArrow(descend, out)
 
 
 def total(stats: Column) -> Column:

@@ -120,6 +120,20 @@ def test_importance_follows_from_the_stored_trees(spark, points):
     assert gains.count() == nodes.where("left >= 0").count() > 0
 
 
+def test_votes_follow_from_the_stored_trees(spark, points, plan_of):
+    model = RandomForestClassifier(numTrees=9, maxDepth=4, seed=3).fit(points)
+    path = sources.save_classifier(model, workspace.fresh_dir(spark, "forest"), "RandomForest")
+    first = points.first().features.toArray()
+    sparse = [(1, Vectors.sparse(6, [1, 4], [float(first[1]), float(first[4])])), (1, Vectors.sparse(6, [], []))]
+    rows = points.select("label", "features").unionByName(
+        spark.createDataFrame([*sparse, (None, Vectors.dense(first))], points.schema))
+    votes = ops.forest_votes(model.transform(rows), ops.forest_nodes(spark, path), 6, "label", "rawPrediction")
+    assert "Join" not in plan_of(votes) and "Exchange" not in plan_of(votes)
+    got = votes.collect()
+    assert len(got) == rows.count() and sum(r.label is None for r in got) == 1
+    assert all(r.votes == r.rawPrediction.toArray().tolist() for r in got)
+
+
 def test_spoiled_statistics_are_found(spark):
     rows = [(0, 0, 1, 2, 3, [6.0, 4.0]), (0, 1, -1, -1, -1, [5.0, 1.0]), (0, 2, -1, -1, -1, [1.0, 2.0])]
     nodes = spark.createDataFrame(rows, "tree int, node int, left int, right int, feature int, stats array<double>")
