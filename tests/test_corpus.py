@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rasmlens import operators as ops
 from rasmlens import schema, sources, workspace
+from rasmlens.plans import datasets
 
 
 def test_melt(spark):
@@ -282,3 +283,23 @@ def test_samples(spark):
     assert limited == sorted(kept)[:5]
     with pytest.raises(ValueError):
         ops.hash_sample(df, "id", 1.5)
+
+
+def own_tables(spark, folder, n=60):
+    docs = [(i, " ".join(f"the{chr(97 + i % 7)}ab word{j % 5}xy" for j in range(9)), "en", "s", 1) for i in range(n)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(0, n, 2)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_labelled_rows_are_prepared_alone(spark, tmp_path):
+    at = own_tables(spark, tmp_path)
+    alone = datasets.prepared_labelled(spark, at)
+    assert not datasets.stands(spark, at, "prepared")
+    assert spark.read.parquet(datasets.once(spark, at, "prepared_labelled", lambda: None)).count() == 30
+    whole = datasets.prepared(spark, at)
+    assert whole.count() == 60
+    from_whole = datasets.prepared_labelled(spark, at)
+    assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, from_whole.collect()))
