@@ -303,3 +303,10 @@ def test_labelled_rows_are_prepared_alone(spark, tmp_path):
     assert whole.count() == 60
     from_whole = datasets.prepared_labelled(spark, at)
     assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, from_whole.collect()))
+
+
+def test_files_of_vectors_hold_few_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(datasets, "VECTOR_FILE_ROWS", 4)
+    vectors = datasets.Lab(spark, own_tables(spark, tmp_path)).vectors
+    sizes = [r["count"] for r in vectors.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 30 and max(sizes) <= 4
