@@ -9,6 +9,10 @@ from rasmlens.operators import prepare
 from rasmlens.plans.datasets import corpus, lab, labelled, once
 from rasmlens.plans.text import long_list
 
+#: Micro-batches in which a query takes a folder at most. Each costs some seconds whatever it holds, so
+#: their number must not grow with the tables; folders of few files go by the least number of files.
+MOST_BATCHES = 16
+
 PREPARED_OUT = T.StructType([
     T.StructField("text_md5", T.StringType()),
     T.StructField("label", T.IntegerType()),
@@ -25,9 +29,18 @@ def _feed(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "feed", write)
 
 
+def _files_a_batch(spark: SparkSession, folder: str, least: int = 5) -> int:
+    files = len(workspace.matching(spark, f"{folder}/*.json"))
+    return max(least, -(-files // MOST_BATCHES))
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = _feed(spark, sf_dir)
+    return streaming.read_stream(spark, feed, _files_a_batch(spark, feed))
+
+
 def stream_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = streaming.read_stream(spark, _feed(spark, sf_dir))
-    rows = prepare(feed).select(
+    rows = prepare(_stream(spark, sf_dir)).select(
         F.md5("text").alias("text_md5"), "label", schema.N_TOKENS,
         F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
     output = workspace.fresh_dir(spark, "prepared_stream")
@@ -51,7 +64,7 @@ def stream_stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     output = workspace.fresh_dir(spark, "prepared_batches")
     query = streaming.write_batches(
-        streaming.read_stream(spark, _feed(spark, sf_dir)), output, workspace.fresh_dir(spark, "checkpoint"),
+        _stream(spark, sf_dir), output, workspace.fresh_dir(spark, "checkpoint"),
         each, interval=None)
     query.awaitTermination()
     return streaming.read_batches(spark, output, PREPARED_OUT)
@@ -60,7 +73,7 @@ def stream_stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_running_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The accuracy that a stream over the predictions' folder keeps, after two runs."""
     predictions, folder = _predicted(spark, sf_dir, "NaiveBayes"), workspace.fresh_dir(spark, "tracked")
-    for files in (2, 1000):
+    for files in (_files_a_batch(spark, predictions, 2), 1000):
         query = streaming.track_accuracy(
             spark, predictions, f"{folder}/totals", f"{folder}/checkpoint", interval=None, max_files_per_trigger=files)
         query.awaitTermination()
@@ -75,11 +88,12 @@ def _predicted(spark: SparkSession, sf_dir: str, name: str | None = None) -> str
         model = work.fit(chosen).model(chosen)
         folder = workspace.fresh_dir(spark, "served")
         output = f"{folder}/predictions"
+        feed = _feed(spark, sf_dir)
         streaming.run_stream(
-            spark, _feed(spark, sf_dir), output, f"{folder}/checkpoint",
+            spark, feed, output, f"{folder}/checkpoint",
             sources.save_fitted(work.features, f"{folder}/prep_features"),
             sources.save_classifier(model, folder, chosen),
-            interval=None)
+            max_files_per_trigger=_files_a_batch(spark, feed), interval=None)
         return output
     return once(spark, sf_dir, f"predicted by {name}", run)
 
@@ -120,7 +134,7 @@ def stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def console_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a query to the console reported to have read."""
-    feed = streaming.read_stream(spark, _feed(spark, sf_dir)).select("label")
+    feed = _stream(spark, sf_dir).select("label")
     query = streaming.write_console(feed, interval=None)
     query.awaitTermination()
     return spark.createDataFrame([(sum(p["numInputRows"] for p in query.recentProgress),)], "n long")
@@ -128,7 +142,7 @@ def console_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timed_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written by a query on a timed trigger that is stopped once all have come."""
-    feed = streaming.read_stream(spark, _feed(spark, sf_dir))
+    feed = _stream(spark, sf_dir)
     output = workspace.fresh_dir(spark, "timed")
     query = streaming.write_stream(
         feed.select("text", "label"), output, workspace.fresh_dir(spark, "checkpoint"), interval="1 second")

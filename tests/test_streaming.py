@@ -226,3 +226,22 @@ def test_running_accuracy_after_each_batch_and_a_restart(spark, tmp_path, fitted
         streaming.track_accuracy(spark, out, totals, tracked, interval=None, max_files_per_trigger=2).awaitTermination()
         assert tuple(streaming.running_accuracy(spark, totals).first()) == tuple(streaming.stream_accuracy(output).first())
         assert output.count() == 6 * (step + 1)
+
+
+def test_number_of_batches_does_not_follow_the_files(spark, tmp_path, monkeypatch):
+    from rasmlens import workspace
+    from rasmlens.plans import streams
+    feed, predictions = str(tmp_path / "feed"), str(tmp_path / "predictions")
+    rows = spark.range(200).select(F.lit("نص").alias("text"), (F.col("id") % 2).cast("int").alias("label"))
+    streaming.write_feed(rows.repartition(100), feed)
+    files = sum(name.endswith(".json") for name in os.listdir(feed))
+    a_batch = streams._files_a_batch(spark, feed, 2)
+    assert files > 5 * streams.MOST_BATCHES and (a_batch - 1) * streams.MOST_BATCHES < files <= a_batch * streams.MOST_BATCHES
+    assert [streams._files_a_batch(spark, feed, n) for n in (5, 50)] == [a_batch, 50]
+    assert streams._files_a_batch(spark, str(tmp_path / "none"), 2) == 2
+    rows.withColumn("prediction", F.lit(1.0)).repartition(100).write.json(predictions)
+    monkeypatch.setattr(streams, "_predicted", lambda *_: predictions)
+    monkeypatch.setattr(workspace, "fresh_dir", lambda _, name, make=workspace.fresh_dir: (
+        str(tmp_path / name) if name == "tracked" else make(_, name)))
+    assert tuple(streams.stream_running_accuracy(spark, "unused").first()) == (200, 0.5)
+    assert len(streaming.finished_batches(spark, str(tmp_path / "tracked" / "totals"))) <= streams.MOST_BATCHES
