@@ -1,6 +1,7 @@
 from rasmlens.operators.arena import (
     ModelArena, Trial, best_trial, default_estimators, feature_importance, fit_trial, ranking)
-from rasmlens.operators.clean import add_stylometrics, add_tokens, clean, prepare
+from rasmlens.operators.clean import (
+    add_stylometrics, add_tokens, clean, list_tokens, prepare, prepare_listed)
 from rasmlens.operators.density import kernel_density
 from rasmlens.operators.evidence import (
     duality_gap, forest_nodes, forest_votes, importance_by_hand, split_gains)
@@ -26,8 +27,8 @@ __all__ = [
     "confusion_matrix", "correlation_matrix", "count_by_vocabulary", "default_estimators",
     "distribution_by_class", "duality_gap", "evaluate_on_test", "feature_importance", "feature_stages",
     "fit_features", "fit_trial", "forest_nodes", "forest_votes", "hash_sample", "hash_split",
-    "importance_by_hand", "inference_sweep", "ingest", "kernel_density", "label_counts", "melt", "percentiles_by_class",
-    "prepare", "random_split", "random_split_two_stage", "ranking", "roc_auc", "row_count",
+    "importance_by_hand", "inference_sweep", "ingest", "kernel_density", "label_counts", "list_tokens", "melt",
+    "percentiles_by_class", "prepare", "prepare_listed", "random_split", "random_split_two_stage", "ranking", "roc_auc", "row_count",
     "sample_limit", "scale_by_deviation", "score", "split_gains", "split_index", "tag_vocabulary",
     "term_counts", "term_idf", "tfidf", "token_counts", "top_tokens", "union_all", "vectorize",
 ]

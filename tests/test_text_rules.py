@@ -11,7 +11,7 @@ from rasmlens.functions import (
     looks_like_noun, normalize_arabic, split_words, syllables, tokenize, type_token_ratio)
 from rasmlens.functions import lexicon as lex
 from rasmlens.functions import normalize as rules
-from rasmlens.operators import add_stylometrics, add_tokens, clean, prepare
+from rasmlens.operators import add_stylometrics, add_tokens, clean, list_tokens, prepare, prepare_listed
 
 
 def apply(spark, rule, values, kind="string"):
@@ -203,3 +203,50 @@ def test_text_rules_run_once_and_without_python(spark, plan_of):
     assert plan.count("Generate inline") == 1
     assert plan.count("{2,}, 0") == 1
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def odd_texts():
+    rng = random.Random(7)
+    edges = (lex.DIACRITICS + lex.TATWEEL + lex.HAMZA_TO_ALEF + lex.ALEF_WASLA + lex.ALEF_MAKSURA + lex.HAMZA_CARRIERS
+             + "".join(map(chr, range(0xFEF5, 0xFEFD))) + lex.WHITESPACE + ".,!?:;_'\"-*éÜß٣۴²½" + "‌‏\x00\U0001F600\U00010400")
+    arabic = [chr(c) for c in range(0x600, 0x700)]
+    pools = [edges, arabic, "ابتكقل من \n", list(edges) + arabic + list("aB9 ") + [chr(c) for c in range(0x20, 0x2000, 7)]]
+    return [None, "", " ", "ـ"] + ["".join(rng.choices(rng.choice(pools), k=rng.randrange(60))) for _ in range(400)]
+
+
+@pytest.mark.parametrize("profile", [
+    DEFAULT, replace(DEFAULT, hamza="hamza"), replace(DEFAULT, fold_alef_maksura=True),
+    replace(DEFAULT, punctuation_tokens=True)], ids=["alef", "hamza", "maksura", "punctuation"])
+def test_tokens_of_the_spelled_text_are_those_of_the_cleaned_one(spark, profile):
+    df = spark.createDataFrame(list(enumerate(odd_texts())), "id int, text string")
+    listed = list_tokens(df, profile).select(
+        "tokens", split_words(F.col("clean_text_columns"), profile).alias("want"),
+        "clean_text_columns", normalize_arabic(F.col("text"), profile).alias("clean")).collect()
+    assert sum(len(r["tokens"]) for r in listed) > 500
+    for r in listed:
+        assert r["tokens"] == r["want"] and r["clean_text_columns"] == r["clean"]
+
+
+def test_nothing_is_cleaned_between_words_where_only_tokens_are_read(spark, plan_of):
+    df = spark.createDataFrame([(1, "كتاب قلم درس ورق معلم")], "id int, text string")
+    assert "btrim(" not in plan_of(prepare(df).drop("clean_text_columns", "text")).split("Physical Plan")[-1]
+    assert prepare(df).columns[:5] == ["id", "text", "clean_text_columns", "tokens", "n_tokens"]
+
+
+def test_tokens_left_by_a_table_are_worked_out_once(spark, plan_of):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, ["a"])], "id int, tokens array<string>")
+    words = spark.createDataFrame([("a",)], "word string")
+    left = drop_stopwords_by_table(df, words, ["id"]).where(F.size("tokens") > 0)
+    assert plan_of(left).count("array_contains(") == 1
+    assert [tuple(r) for r in left.collect()] == [(1, ["b"])]
+
+
+def test_listed_rows_are_prepared_like_texts(spark):
+    df = spark.createDataFrame(
+        [(1, "كتاب قلم درس ورق معلم طالب علم"), (1, "كتاب قلم كتاب ورق معلم طالب علم"), (2, "كتاب درس"), (3, None)],
+        "id int, text string")
+    words = spark.createDataFrame([("كتاب",), ("درس",), (None,), ("كتاب",)], "word string")
+    got = prepare_listed(list_tokens(df), words, ("id",))
+    want = prepare(df, stopwords=words, keys=("id",))
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 2
