@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasmlens import schema, sources, streaming, workspace
-from rasmlens.operators import prepare
+from rasmlens.operators import list_tokens, prepare, prepare_listed
 from rasmlens.plans.datasets import corpus, lab, labelled, once
 from rasmlens.plans.text import long_list
 
@@ -51,21 +51,19 @@ def stream_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The preparation with a table of stop-words, of a stream: each micro-batch is matched with the list."""
-    banned = long_list(spark, sf_dir).distinct()
-    path = workspace.fresh_dir(spark, "long_list")
-    banned.write.parquet(path)
+    """The preparation with a table of stop-words, of a stream: each micro-batch is tokenised on its way
+    in, held with its tokens, and matched with the list."""
+    banned = long_list(spark, sf_dir)
 
     def each(batch: DataFrame) -> DataFrame:
-        rows = prepare(batch, stopwords=spark.read.parquet(path), keys=(streaming.ROW,))
+        rows = prepare_listed(batch, banned, (streaming.ROW,))
         return rows.select(
-            F.md5("text").alias("text_md5"), "label", schema.N_TOKENS,
-            F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
+            "text_md5", "label", schema.N_TOKENS, F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
 
     output = workspace.fresh_dir(spark, "prepared_batches")
     query = streaming.write_batches(
-        _stream(spark, sf_dir), output, workspace.fresh_dir(spark, "checkpoint"),
-        each, interval=None)
+        list_tokens(_stream(spark, sf_dir)).select(F.md5("text").alias("text_md5"), "label", schema.TOKENS),
+        output, workspace.fresh_dir(spark, "checkpoint"), each, interval=None)
     query.awaitTermination()
     return streaming.read_batches(spark, output, PREPARED_OUT)
 

@@ -5,12 +5,12 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasmlens import schema
+from rasmlens import schema, workspace
 from rasmlens.functions import DEFAULT, drop_stopwords_by_table, normalize, split_words
 from rasmlens.functions import looks_like_noun, normalize_arabic, syllables, tokenize
 from rasmlens.operators import (
-    add_stylometrics, add_tokens, clean, count_by_vocabulary, prepare, token_counts)
-from rasmlens.plans.datasets import corpus, documents, labelled, tokenized
+    add_stylometrics, add_tokens, clean, count_by_vocabulary, prepare, prepare_listed, token_counts)
+from rasmlens.plans.datasets import corpus, documents, labelled, once, tokenized
 
 UNIFORM = replace(DEFAULT, hamza="hamza")
 MAKSURA = replace(DEFAULT, fold_alef_maksura=True)
@@ -86,14 +86,22 @@ def noun_hook_by_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short = tokenized(spark, sf_dir).select(F.explode("tokens").alias("word")).where(F.length("word") == 3)
-    return spark.createDataFrame([(w,) for w in DEFAULT.stopwords], "word string").unionByName(short)
+    """The distinct words of the list, as a stored table: Spark then knows how large it is before it plans
+    the match, and does not move the words of all rows to meet a list that could be broadcast."""
+    def write() -> str:
+        path = workspace.fresh_dir(spark, "long_list")
+        short = tokenized(spark, sf_dir).select(F.explode("tokens").alias("word")).where(F.length("word") == 3)
+        listed = spark.createDataFrame([(w,) for w in DEFAULT.stopwords], "word string").unionByName(short)
+        listed.distinct().write.parquet(path)
+        return path
+
+    return spark.read.parquet(once(spark, sf_dir, "long_list", write))
 
 
 def prepare_stopword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole preparation with a table of stop-words: the list itself, and every word of
     three letters that occurs."""
-    rows = prepare(documents(spark, sf_dir), stopwords=long_list(spark, sf_dir), keys=("doc_id",))
+    rows = prepare_listed(tokenized(spark, sf_dir), long_list(spark, sf_dir), ("doc_id",))
     return rows.select("doc_id", schema.N_TOKENS, F.col(schema.F023).alias("f023"), F.col(schema.F046).alias("f046"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rasmlens import schema
 from rasmlens.functions import DEFAULT, TextProfile
-from rasmlens.operators.clean import prepare
+from rasmlens.operators.clean import list_tokens, prepare, prepare_listed
 from rasmlens.sources.models import load_classifier, load_features
 from rasmlens.streaming.batches import ROW, read_batches, write_batches
 from rasmlens.streaming.triggers import triggered
@@ -46,9 +46,12 @@ def classify(
 ) -> DataFrame:
     """Predictions for raw texts; the same call serves a batch and, without a table of
     ``stopwords``, a stream. ``f023`` and ``f046`` are the names that ``features`` was fitted with."""
-    vectors = features.transform(prepare(
-        rows, profile, f023=f023, f046=f046, stopwords=stopwords, keys=keys))
-    return model.transform(vectors).select("text", "label", "prediction")
+    return _predicted(prepare(
+        rows, profile, f023=f023, f046=f046, stopwords=stopwords, keys=keys), features, model)
+
+
+def _predicted(prepared: DataFrame, features: PipelineModel, model) -> DataFrame:
+    return model.transform(features.transform(prepared)).select("text", "label", "prediction")
 
 
 def write_stream(
@@ -135,8 +138,9 @@ def run_stream(
             classify(rows, features, model, profile, f023, f046), output, checkpoint, interval)
     else:
         query = write_batches(
-            rows, output, checkpoint,
-            lambda batch: classify(batch, features, model, profile, f023, f046, stopwords, (ROW,)), interval)
+            list_tokens(rows, profile).drop(schema.CLEAN), output, checkpoint,
+            lambda batch: _predicted(
+                prepare_listed(batch, stopwords, (ROW,), profile, f023, f046), features, model), interval)
     if seconds is None:
         query.awaitTermination()
     else:

@@ -245,3 +245,15 @@ def test_number_of_batches_does_not_follow_the_files(spark, tmp_path, monkeypatc
         str(tmp_path / name) if name == "tracked" else make(_, name)))
     assert tuple(streams.stream_running_accuracy(spark, "unused").first()) == (200, 0.5)
     assert len(streaming.finished_batches(spark, str(tmp_path / "tracked" / "totals"))) <= streams.MOST_BATCHES
+
+
+def test_a_batch_is_held_with_its_tokens(spark, tmp_path, fitted, monkeypatch):
+    held = []
+    kept = streaming.flow.write_batches
+    monkeypatch.setattr(streaming.flow, "write_batches", lambda rows, *a: held.append(rows.columns) or kept(rows, *a))
+    feed = str(tmp_path / "in")
+    write_files(feed, rows(6))
+    streaming.run_stream(
+        spark, feed, str(tmp_path / "out"), str(tmp_path / "checkpoint"), fitted["features_path"],
+        fitted["model_path"], interval=None, stopwords=banned(spark))
+    assert held == [["text", "label", "tokens"]]
