@@ -15,13 +15,14 @@ from rasmlens.streaming.batches import ROW, read_batches, write_batches
 from rasmlens.streaming.triggers import triggered
 
 
-def write_feed(df: DataFrame, path: str, rows_per_file: int = 0) -> str:
+def write_feed(df: DataFrame, path: str, rows_per_file: int = 0, compression: str = "none") -> str:
     """Write all ``(text, label)`` rows as JSON files for the stream to pick up.
 
-    Each partition becomes a file, or several of at most ``rows_per_file`` rows.
+    Each partition becomes a file, or several of at most ``rows_per_file`` rows. A compressed file is
+    read by one task, so it should hold few rows.
     """
     writer = df.select("text", "label").write.mode("append")
-    writer.option("maxRecordsPerFile", rows_per_file).json(path)
+    writer.option("maxRecordsPerFile", rows_per_file).json(path, compression=compression)
     return path
 
 
@@ -55,11 +56,11 @@ def _predicted(prepared: DataFrame, features: PipelineModel, model) -> DataFrame
 
 
 def write_stream(
-    rows: DataFrame, path: str, checkpoint: str, interval: str | None = "3 seconds"
+    rows: DataFrame, path: str, checkpoint: str, interval: str | None = "3 seconds", compression: str = "none"
 ) -> StreamingQuery:
     """Append JSON files exactly once. ``interval=None`` takes what is there, in
     micro-batches, and stops."""
-    writer = (rows.writeStream.outputMode("append").format("json")
+    writer = (rows.writeStream.outputMode("append").format("json").option("compression", compression)
               .option("path", path).option("checkpointLocation", checkpoint))
     return triggered(writer, interval).start()
 
@@ -122,12 +123,13 @@ def run_stream(
     f023: str = schema.F023,
     f046: str = schema.F046,
     stopwords: DataFrame | None = None,
+    compression: str = "none",
 ) -> tuple[DataFrame | None, float]:
     """Load the saved models, classify the feed and evaluate what was written.
 
     Runs until the feed is used up (``interval=None``) or for ``seconds``. ``stopwords`` is a table
     of any size with the column ``word``, which takes the place of the profile's list; the output
-    is then one folder per micro-batch (see ``read_batches``).
+    is then one folder per micro-batch (see ``read_batches``), which ``compression`` does not reach.
     """
     if interval is not None and seconds is None:
         raise ValueError("an endless trigger needs a time limit")
@@ -135,7 +137,7 @@ def run_stream(
     features, model = load_features(features_path), load_classifier(spark, model_path)
     if stopwords is None:
         query = write_stream(
-            classify(rows, features, model, profile, f023, f046), output, checkpoint, interval)
+            classify(rows, features, model, profile, f023, f046), output, checkpoint, interval, compression)
     else:
         query = write_batches(
             list_tokens(rows, profile).drop(schema.CLEAN), output, checkpoint,

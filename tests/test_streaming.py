@@ -257,3 +257,15 @@ def test_a_batch_is_held_with_its_tokens(spark, tmp_path, fitted, monkeypatch):
         spark, feed, str(tmp_path / "out"), str(tmp_path / "checkpoint"), fitted["features_path"],
         fitted["model_path"], interval=None, stopwords=banned(spark))
     assert held == [["text", "label", "tokens"]]
+
+
+def test_a_compressed_feed_is_served_whole_and_compressed(spark, tmp_path, fitted):
+    feed, out, texts = str(tmp_path / "in"), str(tmp_path / "out"), rows(20) + [(None, 1), ("قصير جدا", None)]
+    streaming.write_feed(spark.createDataFrame(texts, schema.STREAM_IN).coalesce(2), feed, 4, "lz4")
+    assert len([name for name in os.listdir(feed) if name.endswith(".json.lz4")]) == 6
+    result, _ = streaming.run_stream(
+        spark, feed, out, str(tmp_path / "checkpoint"), fitted["features_path"], fitted["model_path"],
+        interval=None, compression="lz4")
+    batch = streaming.classify(spark.createDataFrame(texts, schema.STREAM_IN), fitted["features"], fitted["model"])
+    assert Counter(map(tuple, result.collect())) == Counter(map(tuple, batch.collect()))
+    assert {name.split(".", 1)[1] for name in os.listdir(out) if name.startswith("part-")} == {"json.lz4"}
