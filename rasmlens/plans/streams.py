@@ -13,9 +13,9 @@ from rasmlens.plans.text import long_list
 #: their number must not grow with the tables; folders of few files go by the least number of files.
 MOST_BATCHES = 16
 
-#: The texts are written as the feed and again as the answer, which is most of what a query writes. Both are
-#: compressed, and a file of the feed holds few rows, as it cannot be split any more.
-CODEC, FEED_FILE_ROWS = "lz4", 1000
+#: The text of every row is written as the feed and again as the answer; the answer is compressed. The feed
+#: is not: whole files that cannot be split leave cores idle at the end of every batch.
+CODEC = "lz4"
 
 PREPARED_OUT = T.StructType([
     T.StructField("text_md5", T.StringType()),
@@ -29,7 +29,7 @@ PREPARED_OUT = T.StructType([
 def _feed(spark: SparkSession, sf_dir: str) -> str:
     def write() -> str:
         path = workspace.fresh_dir(spark, "incoming")
-        return streaming.write_feed(corpus(spark, sf_dir), path, FEED_FILE_ROWS, CODEC)
+        return streaming.write_feed(corpus(spark, sf_dir), path)
     return once(spark, sf_dir, "feed", write)
 
 
@@ -38,14 +38,9 @@ def _files_a_batch(spark: SparkSession, folder: str, least: int = 5) -> int:
     return max(least, -(-files // MOST_BATCHES))
 
 
-def _feed_files_a_batch(spark: SparkSession, feed: str) -> int:
-    """Two for every core at least, so that a batch of files that cannot be split keeps all cores busy."""
-    return _files_a_batch(spark, feed, max(5, 2 * spark.sparkContext.defaultParallelism))
-
-
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _feed(spark, sf_dir)
-    return streaming.read_stream(spark, feed, _feed_files_a_batch(spark, feed))
+    return streaming.read_stream(spark, feed, _files_a_batch(spark, feed))
 
 
 def stream_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +95,7 @@ def _predicted(spark: SparkSession, sf_dir: str, name: str | None = None) -> str
             spark, feed, output, f"{folder}/checkpoint",
             sources.save_fitted(work.features, f"{folder}/prep_features"),
             sources.save_classifier(model, folder, chosen),
-            max_files_per_trigger=_feed_files_a_batch(spark, feed), interval=None, compression=CODEC)
+            max_files_per_trigger=_files_a_batch(spark, feed), interval=None, compression=CODEC)
         return output
     return once(spark, sf_dir, f"predicted by {name}", run)
 
